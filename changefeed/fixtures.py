@@ -445,7 +445,8 @@ DUMP_FILES = 8
 def _dump_lines(parts: list[DataFrame], path: str) -> None:
     # every file is a whole dump: its lines stay together and in order
     lines = _union(parts).repartition(DUMP_FILES, "part")
-    lines.sortWithinPartitions("part", "rank", "place").select("value").write.text(path)
+    ordered = lines.sortWithinPartitions("part", "rank", "place").select("part", "value")
+    ordered.write.partitionBy("part").text(path)
 
 
 def _copy_text(value: Column) -> Column:
@@ -528,7 +529,8 @@ def mysql_dump_path(spark: SparkSession, sf_dir: str) -> str:
             .agg(F.array_join(F.array_sort(F.collect_list(
                 F.struct("o_orderkey", order_tuple.alias("t")))).getField("t"), ",").alias("t"))
             .select(
-                F.pmod("place", F.lit(DUMP_FILES)).alias("part"), F.lit(1).alias("rank"), "place",
+                F.pmod("place", F.lit(DUMP_FILES)).alias("part"), F.lit(1).alias("rank"),
+                (F.col("place") * 2).alias("place"),
                 F.concat(F.lit("INSERT INTO `orders` VALUES "), F.col("t"), F.lit(";")).alias("value"),
             )
         )
@@ -541,19 +543,14 @@ def mysql_dump_path(spark: SparkSession, sf_dir: str) -> str:
                 _sql_text(F.col("text")), F.lit(");"),
             ).alias("value"),
         )
-        heads = spark.range(DUMP_FILES)
-        marks = [
-            heads.select(
-                F.col("id").alias("part"), F.lit(rank).alias("rank"),
-                F.lit(-1).cast("bigint").alias("place"),
-                F.concat(
-                    F.lit("-- CHANGE MASTER TO MASTER_LOG_FILE='mysql-bin.00000"),
-                    F.lit(rank).cast("string"), F.lit("', MASTER_LOG_POS="),
-                    (F.col("id") + 154).cast("string"), F.lit(";"),
-                ).alias("value"),
-            )
-            for rank in (0, 3)
-        ]
-        _dump_lines([*marks, statements, texts], path)
+        # the log position moves on with every statement; a dump may note it often
+        marks = statements.select(
+            "part", "rank", (F.col("place") + 1).alias("place"),
+            F.concat(
+                F.lit("-- CHANGE MASTER TO MASTER_LOG_FILE='mysql-bin.000003', MASTER_LOG_POS="),
+                (F.col("place") * 8 + 154).cast("string"), F.lit(";"),
+            ).alias("value"),
+        )
+        _dump_lines([marks, statements, texts], path)
 
     return stored(spark, "mysql-dump", sf_dir, write)

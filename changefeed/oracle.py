@@ -400,8 +400,9 @@ ORACLE: dict[str, str] = {
             ("o_totalprice", _text("cast(o_totalprice as decimal(12,2))"))])} as data from orders
         union all select 'shop', 'documents', {_object([
             ("col_0", _text("doc_id")), ("col_1", _quoted("text"))])} from documents""",
-    "dump_positions": """select 'mysql-bin.000003' as log_file, least(d, 8) + 153 as log_pos
-        , 3 as pos_hi from (select 8 as d)""",
+    "dump_positions": """
+        select 'mysql-bin.000003' as log_file, max(b) * 16 + 154 as log_pos, 3 as pos_hi
+        from (select o_orderkey // 16 as b from orders) group by b % 8""",
     "ddl_intercept": _with("""
         , t as (select lsn, type, "schema", case when type = 'INSERT' and "schema" = 'public'
                 then '_cdc_ddl_log' else "table" end as tab from feed),

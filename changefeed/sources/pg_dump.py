@@ -133,10 +133,10 @@ def _dump_rows(spark: SparkSession, path: str) -> DataFrame:
     )
     # The two scans must cut the files alike: a closing line has to find itself.
     is_end = F.col("value") == COPY_END
-    moved = ~F.col("mark").eqNullSafe(F.struct("block", "line"))
+    is_mark = F.col("mark").eqNullSafe(F.struct("block", "line"))
     keep = F.when(
-        is_end & moved, F.raise_error(F.lit("input splits changed between two scans"))
-    ).otherwise(F.col("open") & ~is_end)
+        is_end & ~is_mark, F.raise_error(F.lit("input splits changed between two scans"))
+    ).otherwise(F.col("open") & ~is_mark)
     # kept out of the join condition, where it would be asked of other pairs too
     return compute_once(placed, "_keep", keep).filter("_keep").drop("mark", "_keep")
 
