@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from changefeed.functions.json_text import is_valid_json
 from changefeed.functions.subjects import DEFAULT_PREFIX, subject
+from changefeed.session import compute_once
 
 # The event types.
 EVENT_TYPES = [
@@ -110,7 +111,8 @@ def read_envelope(df: DataFrame, value: str = "value") -> DataFrame:
         _ENVELOPE_SCHEMA,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"},
     )
-    rows = df.withColumn("_env", parsed)
+    rows = compute_once(df, value, F.col(value))
+    rows = compute_once(rows, "_env", parsed)
     env = F.col("_env")
     broken = (
         env["_corrupt"].isNotNull() | ~is_valid_json(F.col(value)) | env.isNull()
@@ -119,7 +121,7 @@ def read_envelope(df: DataFrame, value: str = "value") -> DataFrame:
         ~F.coalesce(env["type"].isin(EVENT_TYPES), F.lit(False)),
         F.concat(F.lit("unknown event type: "), F.coalesce(env["type"], F.lit(""))),
     )
-    rows = rows.withColumn("envelope_error", error)
+    rows = compute_once(rows, "envelope_error", error)
     good = F.col("envelope_error").isNull()
     times = {"timestamp", "sourceTimestamp"}
     fields = [

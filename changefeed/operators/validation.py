@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from changefeed.functions.json_text import is_valid_json
 from changefeed.operators.envelope import TABLE_EVENT_TYPES
+from changefeed.session import compute_once
 
 INVALID_DATA = "invalid JSON data"
 
@@ -19,12 +20,13 @@ def _passes():
 
 
 def accepted(df: DataFrame) -> DataFrame:
-    return df.filter(_passes())
+    return compute_once(df, "data", F.col("data")).filter(_passes())
 
 
 def rejected(df: DataFrame) -> DataFrame:
     """The quarantine side, with ``reject_reason``."""
-    return df.filter(~_passes()).withColumn("reject_reason", F.lit(INVALID_DATA))
+    bad = compute_once(df, "data", F.col("data")).filter(~_passes())
+    return bad.withColumn("reject_reason", F.lit(INVALID_DATA))
 
 
 def validate(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -21,7 +21,6 @@ from changefeed.functions.values import (
 )
 from changefeed.operators.envelope import EVENT_COLUMNS, make_event
 from changefeed.operators.ordered import LOWEST, asof_join
-from changefeed.session import compute_once
 
 
 def stamp_binlog_file(
@@ -119,13 +118,12 @@ def decode_binlog(binlog: DataFrame) -> DataFrame:
         .when(action == "ddl", "DDL")
         .otherwise("COMMIT")
     )
-    rows = compute_once(rows, "_data", data)
     is_row = action.isin("insert", "update", "delete")
     event = make_event(
         type_name,
         F.when(action != "xid", F.col("schema")),
         F.when(is_row, F.col("table")),
-        F.col("_data"),
+        data,
         F.when(is_row, format_binlog_pos(F.col("file"), F.col("log_pos"))),
         F.col("captured_at"),
     )

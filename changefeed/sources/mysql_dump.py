@@ -12,7 +12,6 @@ from changefeed.functions.positions import binlog_file_number
 from changefeed.functions.values import json_key, json_object, positional_key
 from changefeed.operators.envelope import EVENT_COLUMNS, make_event
 from changefeed.operators.filters import filter_tables
-from changefeed.session import compute_once
 from changefeed.sources.pg_dump import read_lines
 
 # The statement head and the recorded log position.
@@ -100,8 +99,8 @@ def read_mysql_dump(
         names.alias("_names"),
         F.posexplode(F.regexp_extract_all("body", F.lit(TUPLE), F.lit(0))).alias("idx", "_tuple"),
     )
-    tuples = compute_once(tuples, "_data", _object(F.col("_tuple"), F.col("_names")))
-    event = make_event("INSERT", schema, F.col("table"), F.col("_data"), "", timestamp)
+    data = _object(F.col("_tuple"), F.col("_names"))
+    event = make_event("INSERT", schema, F.col("table"), data, "", timestamp)
     nothing = F.lit(None).cast("bigint")
     return tuples.select(
         F.lit(source).alias("source"),

@@ -161,9 +161,9 @@ def read_pg_dump(
     ``idx`` keep the order of the lines in their file.
     """
     rows = filter_tables(_dump_rows(spark, path).filter(_good_names()), tables)
-    rows = compute_once(rows, "_data", _copy_row(F.col("value"), F.col("names"), raw))
+    data = _copy_row(F.col("value"), F.col("names"), raw)
     event = make_event(
-        "INSERT", F.col("schema"), F.col("table"), F.col("_data"), start_lsn, timestamp
+        "INSERT", F.col("schema"), F.col("table"), data, start_lsn, timestamp
     )
     hi, lo = position_halves(F.lit(start_lsn))
     return rows.select(

@@ -13,7 +13,6 @@ from changefeed.functions.positions import binlog_file_number, lsn_high, lsn_low
 from changefeed.functions.values import json_key, json_object, quoted_or_null
 from changefeed.operators.envelope import EVENT_COLUMNS, make_event
 from changefeed.operators.ordered import number_rows, running_number
-from changefeed.session import compute_once
 
 # Fixed value: rows per snapshot chunk unless the caller says otherwise.
 CHUNK_ROWS = 10_000
@@ -173,8 +172,7 @@ def rows_to_events(
     """
     kept = keep or []
     image = df.drop(*kept)
-    df = compute_once(df, "_data", row_image(image, typed))
-    event = make_event("INSERT", schema, table, F.col("_data"), lsn, timestamp)
+    event = make_event("INSERT", schema, table, row_image(image, typed), lsn, timestamp)
     hi, lo = position_halves(F.lit(lsn))
     return df.select(
         F.lit(source).alias("source"),

@@ -31,7 +31,6 @@ from changefeed.functions.values import (
 from changefeed.operators.ddl import DDL_LOG_TABLE
 from changefeed.operators.envelope import EVENT_COLUMNS, make_event
 from changefeed.operators.ordered import asof_join
-from changefeed.session import compute_once
 from changefeed.sources.tuples import row_tuples
 
 # Message type bytes.
@@ -285,12 +284,11 @@ def _decoded(
         (kind == BEGIN) & (F.octet_length(payload) >= 21),
         pg_micros_to_epoch_ms(_unsigned(payload, 10, 8)),
     )
-    rows = compute_once(rows, "_data", data)
     event = make_event(
         type_name,
         F.col("namespace"),
         F.when(is_ddl, "").otherwise(F.col("rel_name")),
-        F.col("_data"),
+        data,
         format_lsn(F.col("lsn")),
         F.col("captured_at"),
         began,
