@@ -16,13 +16,6 @@ SHORT_ESCAPES = [
     ("\f", "\\f"),
 ]
 
-# The other control characters and DEL become \u00xx in lower case.
-OTHER_CONTROLS = [
-    chr(code)
-    for code in (*range(0x20), 0x7F)
-    if chr(code) not in {short for short, _ in SHORT_ESCAPES}
-]
-
 # Printable ASCII without quote and backslash: the common case, and always valid.
 _PLAIN = r"^[\x20\x21\x23-\x5b\x5d-\x7e]*+\z"
 _NEEDS_ESCAPE = r'[\x00-\x1f"\\\x7f]'
@@ -43,11 +36,20 @@ def _replace_all(text: Column, pairs) -> Column:
     return text
 
 
+def _control(char: Column) -> Column:
+    """Any control character or DEL as lower-case backslash-u, others as they are."""
+    code = F.ascii(char)
+    digits = F.lpad(F.lower(F.hex(code)), 4, "0")
+    return F.when((code < 0x20) | (code == 0x7F), F.concat(F.lit("\\u"), digits)).otherwise(char)
+
+
 def json_escape(text: Column) -> Column:
     """Escape text for use inside a JSON string; other UTF-8 passes through."""
     valid = F.make_valid_utf8(text)
     short = _replace_all(valid, SHORT_ESCAPES)
-    long = _replace_all(short, [(c, f"\\u{ord(c):04x}") for c in OTHER_CONTROLS])
+    long = F.array_join(
+        F.transform(F.regexp_extract_all(short, F.lit("(?s)."), F.lit(0)), _control), ""
+    )
     return (
         F.when(text.rlike(_PLAIN), text)
         .when(~valid.rlike(_NEEDS_ESCAPE), valid)
@@ -56,6 +58,11 @@ def json_escape(text: Column) -> Column:
     )
 
 
+def bare_quote(text: Column) -> Column:
+    """Quote text that is known to need no escape."""
+    return F.concat(F.lit('"'), text, F.lit('"'))
+
+
 def json_quote(text: Column) -> Column:
     return F.concat(F.lit('"'), json_escape(text), F.lit('"'))
 

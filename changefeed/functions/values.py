@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,20 +54,24 @@ def mysql_kind(type_name: Column) -> Column:
     )
 
 
-def render_pg_kind(text: Column, kind: Column) -> Column:
+def render_pg_kind(
+    text: Column, kind: Column, quote: Callable[[Column], Column] = json_quote
+) -> Column:
     """Text value of a known kind to JSON text."""
     return (
         F.when(kind == NUMBER, text)
         .when(kind == BOOL, F.when(text == "t", "true").otherwise("false"))
         .when((kind == JSON) & is_valid_json(text), text)
-        .otherwise(json_quote(text))
+        .otherwise(quote(text))
     )
 
 
-def render_pg_cell(marker: Column, text: Column, kind: Column) -> Column:
+def render_pg_cell(
+    marker: Column, text: Column, kind: Column, quote: Callable[[Column], Column] = json_quote
+) -> Column:
     """One tuple cell: null, unchanged, text or an unknown marker."""
     return (
-        F.when(marker == "t", render_pg_kind(text, kind))
+        F.when(marker == "t", render_pg_kind(text, kind, quote))
         .when(marker == "n", "null")
         .when(marker == "u", '"unchanged"')
         .otherwise('"unknown"')
@@ -79,26 +85,20 @@ def render_pg_value(text: Column, oid: Column, marker: Column | None = None) ->
     return render_pg_cell(marker, text, pg_kind(oid))
 
 
-def _instant(text: Column) -> Column:
-    # Zone-less source times are UTC; the result always has milliseconds.
-    parsed = text.try_cast("timestamp")
-    shown = F.date_format(parsed, "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
-    return F.coalesce(F.concat(F.lit('"'), shown, F.lit('"')), json_quote(text))
-
-
 def render_mysql_kind(text: Column, kind: Column) -> Column:
     is_true = F.lower(text).isin("1", "true")
-    readable = F.when(F.is_valid_utf8(text), text).otherwise(
-        F.base64(text.cast("binary"))
+    # zone-less source times are UTC; the result always has milliseconds
+    instant = F.date_format(text.try_cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
+    unreadable = (kind == BYTES) & ~F.is_valid_utf8(text)
+    shown = F.when(unreadable, F.base64(text.cast("binary"))).otherwise(
+        F.coalesce(F.when(kind == INSTANT, instant), text)
     )
     return (
         F.when(text.isNull(), "null")
         .when(kind == NUMBER, text)
         .when(kind == BOOL, F.when(is_true, "true").otherwise("false"))
         .when((kind == JSON) & is_valid_json(text), text)
-        .when(kind == INSTANT, _instant(text))
-        .when(kind == BYTES, json_quote(readable))
-        .otherwise(json_quote(text))
+        .otherwise(json_quote(shown))
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from changefeed.functions.json_text import OTHER_CONTROLS, SHORT_ESCAPES
+from changefeed.functions.json_text import SHORT_ESCAPES
 
 _ROW = (
     "('{{\"id\":' || user_id || ', \"value\":' || cast({value} as decimal(12,2)) || "
@@ -49,7 +49,9 @@ def _with(body: str, *ctes: str) -> str:
 def _escaped(column: str) -> str:
     """Replace chain in the order of the escape tables."""
     text = column
-    pairs = SHORT_ESCAPES + [(c, f"\\u{ord(c):04x}") for c in OTHER_CONTROLS if c != "\0"]
+    short = {raw for raw, _ in SHORT_ESCAPES}
+    others = [chr(code) for code in (*range(1, 0x20), 0x7F) if chr(code) not in short]
+    pairs = SHORT_ESCAPES + [(c, f"\\u{ord(c):04x}") for c in others]
     for raw, mark in pairs:
         shown = f"chr({ord(raw)})"
         text = f"replace({text}, {shown}, '{mark}')"

@@ -14,12 +14,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 CELL_LIST = "array<struct<m: string, t: binary>>"
-TUPLES = f"struct<one: {CELL_LIST}, two: {CELL_LIST}, cut: boolean>"
+TUPLES = f"struct<one: {CELL_LIST}, two: {CELL_LIST}, cut: boolean, plain: boolean>"
 
 _TEXT = ord("t")
 _ROW_KINDS = [ord(kind) for kind in "IUD"]
 _OLD_MARKS = [ord(mark) for mark in "KO"]
 
+# bytes that are neither control characters, quote, backslash nor beyond ASCII
+_PLAIN = np.zeros(256, dtype=bool)
+_PLAIN[0x20:0x7F] = True
+_PLAIN[[ord('"'), ord("\\")]] = False
+
 
 def _number(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     value = np.zeros(len(at), dtype=np.int64)
@@ -69,7 +74,8 @@ class _Walk:
         self.has, self.fits, self.after = has, fits, at
         self._cells = (data, first, marker, begin, size)
 
-    def to_arrow(self) -> pa.Array:
+    def to_arrow(self) -> tuple[pa.Array, np.ndarray]:
+        """The cells as lists, and for each row whether all its text is plain."""
         data, first, marker, begin, size = self._cells
         # cells of rows that did not fit stay empty and are never read
         is_text = marker == _TEXT
@@ -86,25 +92,30 @@ class _Walk:
                 pa.py_buffer(data[taken]),
             ],
         )
+        odd = np.concatenate(([0], np.cumsum(~_PLAIN[data[taken]])))
+        row_ends = odd[ends[first]]
+        plain = row_ends[1:] == row_ends[:-1]
         shown = np.where(marker < 128, marker, ord("?")).astype(np.uint8)
         markers = pa.Array.from_buffers(
             pa.string(),
             len(marker),
             [None, pa.py_buffer(np.arange(len(marker) + 1, dtype=np.int32)), pa.py_buffer(shown)],
         )
-        return pa.ListArray.from_arrays(
+        cells = pa.ListArray.from_arrays(
             pa.array(first.astype(np.int32)),
             pa.StructArray.from_arrays([markers, texts], ["m", "t"]),
             mask=pa.array(~(self.has & self.fits)),
         )
+        return cells, plain
 
 
 def cut_tuples(payload: pa.Array) -> pa.Array:
-    """``struct<one, two, cut>`` per row message.
+    """``struct<one, two, cut, plain>`` per row message.
 
     ``two`` is the new tuple of an update that also carries its old one. Other
     messages, and updates and deletes that end after the relation id, have
-    neither. ``cut`` marks a message that ends too early.
+    neither. ``cut`` marks a message that ends too early, ``plain`` one whose text
+    needs no JSON escape at all.
     """
     payload = payload.cast(pa.large_binary())
     _, spots, content = payload.buffers()
@@ -133,8 +144,11 @@ def cut_tuples(payload: pa.Array) -> pa.Array:
     two = _Walk(data, one.after + 1, end, has_new)
 
     cut = (has & ~one.fits) | (has_new & ~two.fits) | (more & ~has_new)
+    first, first_plain = one.to_arrow()
+    second, second_plain = two.to_arrow()
     return pa.StructArray.from_arrays(
-        [one.to_arrow(), two.to_arrow(), pa.array(cut)], ["one", "two", "cut"]
+        [first, second, pa.array(cut), pa.array(first_plain & second_plain)],
+        ["one", "two", "cut", "plain"],
     )
 
 

@@ -8,12 +8,13 @@ message. The message layouts are those of the public protocol documentation.
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changefeed.functions.json_text import bare_quote, json_quote
 from changefeed.functions.payload import build_update
 from changefeed.functions.positions import (
     format_lsn,
@@ -158,16 +159,25 @@ def attach_relations(
 # --- tuples ----------------------------------------------------------------
 
 
-def _image(cells: Column, keys: Column, kinds: Column) -> Column:
-    return json_object(
-        F.transform(
-            cells,
-            lambda cell, i: F.concat(
-                F.coalesce(F.get(keys, i), positional_key(i)),
-                render_pg_cell(cell["m"], cell["t"].cast("string"), F.coalesce(F.get(kinds, i), F.lit("text"))),
-            ),
+def _image(cells: Column, keys: Column, kinds: Column, plain: Column) -> Column:
+    def image(quote: Callable[[Column], Column]) -> Column:
+        return json_object(
+            F.transform(
+                cells,
+                lambda cell, i: F.concat(
+                    F.coalesce(F.get(keys, i), positional_key(i)),
+                    render_pg_cell(
+                        cell["m"],
+                        cell["t"].cast("string"),
+                        F.coalesce(F.get(kinds, i), F.lit("text")),
+                        quote,
+                    ),
+                ),
+            )
         )
-    )
+
+    # whether anything needs escaping is known per row: most rows need nothing
+    return F.when(cells.isNotNull(), F.when(plain, image(bare_quote)).otherwise(image(json_quote)))
 
 
 # --- messages --------------------------------------------------------------
@@ -245,8 +255,9 @@ def _decoded(
         ),
     )
     keys, kinds = F.col("keys"), F.col("kinds")
-    image_one = F.when(one.isNotNull(), _image(one, keys, kinds))
-    image_two = F.when(two.isNotNull(), _image(two, keys, kinds))
+    plain = F.col("_tuples.plain")
+    image_one = _image(one, keys, kinds, plain)
+    image_two = _image(two, keys, kinds, plain)
     old_image = F.when(has_old, image_one)
     new_image = F.when(has_old, image_two).otherwise(image_one)
     data = (
