@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from changefeed.operators.envelope import EVENT_TYPES
@@ -23,7 +23,7 @@ def reject_count(df: DataFrame) -> DataFrame:
     return rejected(df).agg(F.count("*").alias("failed"))
 
 
-def observe_events(df: DataFrame, name: str = "events") -> DataFrame:
+def observe_events(df: DataFrame, name: str | Observation = "events") -> DataFrame:
     """Count events by type while the query runs; read them from its progress."""
     counts = [
         F.count_if(F.col("type") == kind).alias(kind.lower()) for kind in EVENT_TYPES
