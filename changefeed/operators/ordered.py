@@ -98,25 +98,29 @@ def asof_join(
 
 
 def _broadcast_asof(left, right, on, order, inclusive) -> DataFrame | None:
-    if not is_small(right):
-        return None
     pos = order[0]
-    # right is bounded from here on: these windows and counts run over it only
+    width = F.octet_length(F.to_json("_v"))
     shape = (
         right.groupBy(*on)
         .agg(
             F.count("*").alias("n"),
+            F.sum(width).alias("bytes"),
             F.min(pos).alias("first"),
             F.max(pos).alias("last"),
         )
         .agg(
             F.count("*").alias("keys"),
+            F.sum("n").alias("rows"),
+            F.sum("bytes").alias("bytes"),
             F.max("n").alias("n"),
             F.min("first").alias("first"),
             F.max("last").alias("last"),
         )
         .first()
     )
+    if (shape["rows"] or 0) > BROADCAST_ROWS or (shape["bytes"] or 0) > BROADCAST_BYTES:
+        return None
+    # right is bounded from here on: the windows and counts below run over it only
     cells = 1
     if shape["n"] is not None and shape["n"] > VERSIONS_PER_CELL:
         cells = max(1, min(shape["n"], BROADCAST_ROWS // shape["keys"]))

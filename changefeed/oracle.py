@@ -352,7 +352,7 @@ ORACLE: dict[str, str] = {
         _EVENT_WAL,
     ),
     "wal_unknown_relations": _with(
-        f"""select {_pos_text('pos')} as lsn, type, rel_id, idx, 'unknown relation' as reject_reason
+        f"""select {_pos_text('pos')} as lsn, type, cast(rel_id as bigint) as rel_id, idx, 'unknown relation' as reject_reason
         from (select pos, type, list_position(['click','error','purchase','signup','view'],
                 event_type) + 9 as rel_id, 0 as idx from versions
               where type in ('INSERT','UPDATE','DELETE','TRUNCATE') and announced is null
@@ -403,7 +403,7 @@ ORACLE: dict[str, str] = {
         union all select 'shop', 'documents', {_object([
             ("col_0", _text("doc_id")), ("col_1", _quoted("text"))])} from documents""",
     "dump_positions": """
-        select 'mysql-bin.000003' as log_file, max(b) * 16 + 154 as log_pos, 3 as pos_hi
+        select 'mysql-bin.000003' as log_file, max(b) * 16 + 154 as log_pos, cast(3 as bigint) as pos_hi
         from (select o_orderkey // 16 as b from orders) group by b % 8""",
     "ddl_intercept": _with("""
         , t as (select lsn, type, "schema", case when type = 'INSERT' and "schema" = 'public'
@@ -414,7 +414,7 @@ ORACLE: dict[str, str] = {
         where tab in ('click', '')"""),
     "ddl_rows": _with("""
         select 'pg' as source, 'public' as "schema", lsn, pos >> 32 as pos_hi,
-            pos & 4294967295 as pos_lo, 0 as seq, 0 as idx, 'ALTER TABLE' as command_tag,
+            pos & 4294967295 as pos_lo, cast(0 as bigint) as seq, 0 as idx, 'ALTER TABLE' as command_tag,
             'table' as object_type, 'public' as schema_name, 'public.' || event_type as object_identity,
             case when user_id % 2 = 1 then 'ALTER TABLE ' || event_type end as query
         from feed where type = 'DDL'"""),
@@ -467,7 +467,7 @@ ORACLE: dict[str, str] = {
             cast(sum(case type when 'DELETE' then 0 when 'INSERT' then 2 else 1 end) as bigint) as delivered,
             count(*) filter (type <> 'DELETE') as distinct_delivered,
             count(*) filter (type = 'INSERT') as duplicates,
-            count(*) filter (type = 'DELETE') as missing, 0 as unexpected
+            count(*) filter (type = 'DELETE') as missing, cast(0 as bigint) as unexpected
         from feed group by source"""),
     "bootstrap_union": _with(f"""
         , live as (select * from good where type in ('INSERT','UPDATE','DELETE','TRUNCATE'))

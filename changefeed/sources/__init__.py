@@ -13,6 +13,7 @@ from changefeed.sources.snapshot import (
 )
 from changefeed.sources.wal import (
     attach_relations,
+    changed_layouts,
     decode_wal,
     read_relations,
     wal_rejects,
@@ -20,6 +21,7 @@ from changefeed.sources.wal import (
 
 __all__ = [
     "attach_relations",
+    "changed_layouts",
     "chunk_at",
     "current_files",
     "decode_binlog",

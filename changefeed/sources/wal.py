@@ -127,6 +127,24 @@ def read_relations(wal: DataFrame) -> DataFrame:
     ).mapInArrow(_decode_relations, RELATION_SCHEMA)
 
 
+def changed_layouts(relations: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """Announcements that differ from the one before them.
+
+    Databases announce a layout again and again; a kept catalogue needs only the
+    changes. ``earlier`` is what the catalogue holds already.
+    """
+    rows = relations.withColumn("_print", F.to_json(F.struct("namespace", "name", "columns")))
+    before = relations if earlier is None else relations.unionByName(earlier)
+    before = before.select(
+        "source", "rel_id", "lsn_pos", "seq",
+        F.to_json(F.struct("namespace", "name", "columns")).alias("_prev"),
+    )
+    marked = asof_join(
+        rows, before, ["source", "rel_id"], ["lsn_pos", "seq"], ["_prev"], inclusive=False
+    )
+    return marked.filter(~F.col("_print").eqNullSafe(F.col("_prev"))).drop("_print", "_prev")
+
+
 def _layouts(relations: DataFrame) -> DataFrame:
     """Relations with all that depends on columns only worked out once."""
     return relations.select(
@@ -247,7 +265,7 @@ def _decoded(
     has_old = (kind == UPDATE) & after_id.isin("K", "O")
     rows = rows.withColumn("_tuples", row_tuples(payload))
     one, two = F.col("_tuples.one"), F.col("_tuples.two")
-    cut = F.col("_tuples.cut") | ((kind == TRUNCATE) & F.col("rel_id").isNull())
+    cut = F.col("_tuples.cut") | (about_table & F.col("rel_id").isNull())
     rows = rows.withColumn(
         "reject_reason",
         F.when(about_table & ~known & F.col("rel_id").isNotNull(), UNKNOWN_RELATION).when(

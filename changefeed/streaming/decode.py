@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from changefeed.functions.positions import combined_position
 from changefeed.operators.transactions import assign_transactions
 from changefeed.sources.binlog import current_files, decode_binlog, stamp_binlog_file
-from changefeed.sources.wal import RELATION_SCHEMA, decode_wal, read_relations
+from changefeed.sources.wal import RELATION_SCHEMA, changed_layouts, decode_wal, read_relations
 from changefeed.streaming.publish import load_batches, store_batch
 
 Prepare = Callable[[DataFrame, int], DataFrame]
@@ -30,12 +30,15 @@ def wal_decoder(
     """``prepare`` for captured Postgres messages; layouts live in ``catalogue``.
 
     New layouts are stored before the rows are decoded, so a layout and its rows
-    may arrive in one batch.
+    may arrive in one batch. Repeated announcements are not stored: the catalogue
+    grows with schema changes only.
     """
 
     def prepare(batch: DataFrame, batch_id: int) -> DataFrame:
         spark = batch.sparkSession
-        store_batch(read_relations(batch), catalogue, batch_id)
+        earlier = load_batches(spark, catalogue, RELATION_SCHEMA, before=batch_id)
+        new = changed_layouts(read_relations(batch), earlier.drop("batch_id"))
+        store_batch(new, catalogue, batch_id)
         known = load_batches(spark, catalogue, RELATION_SCHEMA, before=batch_id + 1)
         return decode_wal(batch, known.drop("batch_id"), tables, capture_ddl)
 

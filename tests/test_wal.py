@@ -9,7 +9,7 @@ import pytest
 
 from changefeed.operators.schema_history import schema_history
 from changefeed.plans import live_postgres
-from changefeed.sources import decode_wal, read_relations, wal_rejects
+from changefeed.sources import changed_layouts, decode_wal, read_relations, wal_rejects
 from changefeed.sources.tuples import cut_tuples
 
 WAL = "source string, lsn bigint, seq bigint, payload binary, captured_at bigint"
@@ -128,13 +128,14 @@ def test_table_filter_and_ddl_capture(spark):
 def test_rejects(spark, broadcast):
     good = ins(1, "42", "Alice", "t")
     messages = [ins(1, "0", "early", "t"), USERS, good, good[:-1], good[:9], good[:7], good[:5],
-                ins(8, "1"), trunc(0, 1, 55), trunc(0, 1, 2)[:8], upd(1, ["1", "a", "t"], ["1", "b", "t"])[:-3]]
+                ins(8, "1"), trunc(0, 1, 55), trunc(0, 1, 2)[:8], upd(1, ["1", "a", "t"], ["1", "b", "t"])[:-3], b"D", b"U"]
     bad = wal_rejects(wal_of(spark, messages), broadcast=broadcast)
     got = sorted((r.pos_lo, r.idx, r.reject_reason) for r in bad.collect())
     cut, unknown = "truncated message", "unknown relation"
     assert got == [
         (100, 0, unknown), (400, 0, cut), (500, 0, cut), (600, 0, cut), (700, 0, cut),
         (800, 0, unknown), (900, 1, unknown), (1000, 0, cut), (1100, 0, cut),
+        (1200, 0, cut), (1300, 0, cut),
     ]
     events = decode_wal(wal_of(spark, messages), broadcast=broadcast)
     assert sorted((r.type, r.pos_lo) for r in events.collect()) == [("INSERT", 300), ("TRUNCATE", 900)]
@@ -152,6 +153,16 @@ def test_layout_changes_and_sources_do_not_mix(spark):
     assert [[c.name for c in r.columns] for r in history] == [["a"], ["b", "c"], ["a"]]
 
 
+def test_only_changed_layouts_are_kept(spark):
+    first, second = rel(1, "t", [("a", 23)]), rel(1, "t", [("b", 25)])
+    relations = read_relations(wal_of(spark, [first, first, second, second, first]))
+    new = changed_layouts(relations)
+    assert sorted(r.lsn_pos for r in new.collect()) == [100, 300, 500]
+    later = read_relations(wal_of(spark, [first, first, second]))
+    shifted = later.selectExpr("* except (lsn_pos)", "lsn_pos + 1000 as lsn_pos").select(later.columns)
+    assert [r.lsn_pos for r in changed_layouts(shifted, new).collect()] == [1300]
+
+
 def test_nan_is_quarantined(spark):
     wal = wal_of(spark, [rel(1, "t", [("v", 701)]), ins(1, "NaN"), ins(1, "1.5")])
     assert [r.data for r in live_postgres(wal).collect()] == ['{"v":1.5}']
