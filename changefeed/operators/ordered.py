@@ -23,6 +23,9 @@ from changefeed.session import settle
 SEGMENT_BITS = 20
 BLOCK_BITS = 16
 
+# Rows of one segment that are worked on together; a fuller segment is dealt out.
+SEGMENT_ROWS = 2_000_000
+
 # A lookup side is broadcast only below both bounds; each has another way beyond.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -45,6 +48,16 @@ def is_small(df: DataFrame) -> bool:
     return size["n"] <= BROADCAST_ROWS and (size["b"] or 0) <= BROADCAST_BYTES
 
 
+def _content_hash(df: DataFrame) -> Column:
+    """The same number for a row however often it is computed."""
+    plain = [
+        field.name
+        for field in df.schema
+        if not any(part in field.dataType.simpleString() for part in ("map<", "variant"))
+    ]
+    return F.xxhash64(*[F.col(f"`{name}`") for name in plain])
+
+
 def lookup_join(
     df: DataFrame,
     table: DataFrame,
@@ -59,9 +72,8 @@ def lookup_join(
     """
     if is_small(table):
         return df.join(F.broadcast(table), on, how)
-    salted = df.withColumn(
-        "_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
-    )
+    # By content, so that a task run again sends its rows where it sent them before.
+    salted = df.withColumn("_salt", F.pmod(_content_hash(df), F.lit(salts)).cast("int"))
     copies = table.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
@@ -174,26 +186,48 @@ def _broadcast_asof(left, right, on, order, inclusive) -> DataFrame | None:
 def _segment_asof(left, right, on, order, inclusive) -> DataFrame:
     pos = order[0]
     segment = F.shiftright(pos, SEGMENT_BITS)
-    wanted = left.filter(F.col(pos).isNotNull()).select(*on, segment.alias("_seg"))
+    sizes = settle(
+        left.filter(F.col(pos).isNotNull())
+        .groupBy(*on, segment.alias("_seg"))
+        .agg(F.count("*").alias("_n"))
+    )
     right = right.withColumn("_seg", segment)
     # Rows without a position match nothing; spread them over their own groups.
-    stray = -(F.pmod(F.monotonically_increasing_id(), F.lit(4096)) + 1)
+    stray = -(F.pmod(_content_hash(left), F.lit(4096)) + 1)
     left = left.withColumn("_seg", F.coalesce(segment, stray))
+    group = [*on, "_seg"]
 
-    last_in_segment = right.groupBy(*on, "_seg").agg(
+    last_in_segment = right.groupBy(*group).agg(
         F.max_by("_v", F.struct(*order)).alias("_v")
     )
     inherited = _inherit(
-        wanted.distinct(), last_in_segment, on, lambda over: F.last("_v", True).over(over),
+        sizes.select(*group), last_in_segment, on, lambda over: F.last("_v", True).over(over),
         combine=lambda near, far: F.coalesce(near, far), value="_v",
     ).withColumnRenamed("_v", "_in")
 
+    full = sizes.filter(F.col("_n") > SEGMENT_ROWS).select(
+        *group, F.ceil(F.col("_n") / SEGMENT_ROWS).cast("int").alias("_parts")
+    )
+    if not full.isEmpty():
+        # Many rows at few positions (copies, say): deal the rows of such a segment
+        # out to parts, each of which gets all the versions of the segment.
+        parts = F.coalesce(F.col("_parts"), F.lit(1))
+        dealt = F.pmod(F.monotonically_increasing_id(), parts).cast("int")
+        copied = F.explode(F.sequence(F.lit(0), parts - 1))
+        # Settled, because a task run again might deal its rows differently.
+        left = settle(lookup_join(left, full, group, "left").withColumn("_part", dealt))
+        right = right.dropDuplicates([*on, *order])
+        right = lookup_join(right, full, group, "left").withColumn("_part", copied)
+        inherited = lookup_join(inherited, full, group, "left").withColumn("_part", copied)
+        left, right, inherited = (side.drop("_parts") for side in (left, right, inherited))
+        group = [*group, "_part"]
+
     mixed = left.withColumn("_is_left", F.lit(True)).unionByName(
         right.withColumn("_is_left", F.lit(False)), allowMissingColumns=True
     )
     side = F.col("_is_left") if inclusive else ~F.col("_is_left")
     within = (
-        Window.partitionBy(*on, "_seg")
+        Window.partitionBy(*group)
         .orderBy(*order, side)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -202,7 +236,7 @@ def _segment_asof(left, right, on, order, inclusive) -> DataFrame:
         .filter("_is_left")
         .drop("_v")
     )
-    return local.join(inherited, [*on, "_seg"], "left").withColumn(
+    return local.join(inherited, group, "left").withColumn(
         "_v", F.coalesce("_near", "_in")
     )
 
@@ -272,15 +306,16 @@ def number_rows(df: DataFrame, order: list[str], out: str) -> DataFrame:
     identical rows split over several partitions.
     """
     spread = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*[F.col(name) for name in order], F.col("_tie"))
-        .sortWithinPartitions(*order, "_tie")
+        df.withColumn("_hash", _content_hash(df))
+        .withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(*order, "_hash", "_tie")
+        .sortWithinPartitions(*order, "_hash", "_tie")
         .withColumn("_part", F.spark_partition_id())
         .withColumn(
             "_at",
             F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)),
         )
-        .drop("_tie")
+        .drop("_hash", "_tie")
     )
     settled = settle(spread)
     # one row per partition of the shuffle above: bounded by the plan, not the data

@@ -51,6 +51,20 @@ def test_asof_join(spark, small_segments, inclusive, broadcast):
     assert rows == brute(left, right, inclusive)
 
 
+@pytest.mark.parametrize("inclusive", [True, False])
+def test_asof_join_deals_out_full_segments(spark, small_segments, monkeypatch, inclusive):
+    monkeypatch.setattr(ordered, "SEGMENT_ROWS", 20)
+    left = skewed(4, 300, 1 << 40) + [("hot", 17, 1)] * 300
+    right = [(*row, f"v{i}") for i, row in enumerate(skewed(5, 200, 1 << 40))]
+    got = asof_join(
+        spark.createDataFrame(left, "k string, pos bigint, seq int").repartition(7),
+        spark.createDataFrame(right, "k string, pos bigint, seq int, v string"),
+        ["k"], ["pos", "seq"], ["v"], broadcast=False, inclusive=inclusive,
+    )
+    rows = sorted((tuple(r) for r in got.collect()), key=str)
+    assert rows == brute(left, right, inclusive)
+
+
 def test_asof_join_keeps_rows_without_position(spark, small_segments):
     left = spark.createDataFrame([("a", None, 0), ("a", 5, 0)] * 3, "k string, pos bigint, seq int")
     right = spark.createDataFrame([("a", 1, 0, "x")], "k string, pos bigint, seq int, v string")
