@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from changefeed.functions.positions import format_lsn, lsn_high, lsn_low
 from changefeed.operators.envelope import EVENT_COLUMNS
-from changefeed.session import shared_dir
+from changefeed.session import gone_at_exit, shared_dir
 
 _written: dict[tuple, str] = {}
 
@@ -32,6 +32,7 @@ def stored(
     if key not in _written:
         path = f"{shared_dir(spark)}/changefeed-{kind}-{uuid.uuid4().hex}"
         write(path)
+        gone_at_exit(spark, path)
         _written[key] = path
     return _written[key]
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +26,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
-    Only a local session may fall back to a folder of its own; on a cluster a
-    missing setting is an error, because executors would not see the files.
+    ``spark.checkpoint.dir`` comes first. A session in one process may do without
+    it and uses its warehouse folder; on a cluster, ``local-cluster`` included, a
+    missing setting is an error, because executors might not see the files.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -34,13 +36,20 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="changefeed-")
+    made = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/changefeed-{uuid.uuid4().hex}"
     spark.sparkContext.setCheckpointDir(made)
+    gone_at_exit(spark, made)
     return made
 
 
+def gone_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the storage remove ``path`` when this session's process ends."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into reliable storage and go on from there."""
     spark = df.sparkSession
