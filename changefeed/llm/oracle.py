@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from changefeed.llm.licenses import TEMPLATES
+
 _LOWER = "translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER.format(t='text')}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -73,4 +75,114 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from judged
 """
 
-ORACLE = {"op3_decontaminate": OP3, "op8_rule_cascade": OP8}
+
+
+def _license_sql() -> str:
+    rows = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in TEMPLATES)
+    grams = (
+        "list_distinct(list_transform(range(1, len({w})), lambda i: {w}[i] || ' ' || {w}[i + 1]))"
+    )
+    return rf"""
+with template as (
+    select row_number() over () as t, name, {grams.format(w='w')} as grams
+    from (select name, regexp_extract_all(lower(body), '[\p{{L}}\p{{N}}]+') as w from (values {rows}) v(name, body))
+), unit as (
+    select doc_id, u, {grams.format(w='w')} as grams
+    from (select doc_id, u, regexp_extract_all(body, '[\p{{L}}\p{{N}}]+') as w
+          from (select doc_id, row_number() over () as u, body from (
+                select doc_id, lower(coalesce(text, '')) as body from documents
+                union all select doc_id, unnest(regexp_split_to_array(lower(text), '\n\n+')) from documents where contains(text, chr(10) || chr(10))
+                union all select doc_id, unnest(string_split(lower(text), chr(10))) from documents where contains(text, chr(10)))))
+    where len(w) > 1
+), pair as (
+    select doc_id, u, name, len(unit.grams) as a, len(template.grams) as b,
+           2.0::double * len(list_intersect(unit.grams, template.grams)) / (len(unit.grams) + len(template.grams)) as dice
+    from unit join template on len(unit.grams) between ceil(len(template.grams) * 0.8 / 1.2 - 1e-9) and floor(len(template.grams) * 1.2 / 0.8 + 1e-9)
+), per as (
+    select doc_id, count(distinct u) as n_units, count(*) filter (where dice >= 0.8) as n_matches,
+           string_agg(distinct name, ',' order by name) filter (where dice >= 0.8) as licenses,
+           max(dice) filter (where dice >= 0.8) as best
+    from pair group by 1
+)
+select doc_id, coalesce(n_units, 0) as n_units, coalesce(n_matches, 0) as n_matches, coalesce(licenses, '') as licenses,
+       round(coalesce(best, 0.0), 9) as best_dice
+from documents left join per using (doc_id)
+"""
+
+
+OP2 = r"""
+with line as (
+    select doc_id, i, lines[i] as line, len(lines) as n_lines, ('0x' || substr(md5(lines[i]), 1, 8))::bigint as h
+    from (select doc_id, string_split(text, chr(10)) as lines from documents where text is not null),
+         unnest(range(1, len(lines) + 1)) as t(i)
+), ended as (
+    select *, i = n_lines or (i >= 2 and (h + 3 * lag(h) over (partition by doc_id order by i)) % 3 = 0) as ends from line
+), numbered as (
+    select *, coalesce(sum(ends::int) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as idx
+    from ended
+), chunk as (
+    select doc_id, idx, count(*) as n, string_agg(line, chr(10) order by i) as body from numbered group by 1, 2
+), judged as (
+    select *, n >= 2 and row_number() over (partition by body order by doc_id, idx) > 1 as gone from chunk
+), kept as (
+    select doc_id, sum(n) as n_lines, count(*) as n_chunks, count(*) filter (where gone) as removed,
+           coalesce(sum(n) filter (where gone), 0) as removed_lines,
+           md5(coalesce(string_agg(body, chr(10) order by idx) filter (where not gone), '')) as kept_md5
+    from judged group by 1
+)
+select doc_id, coalesce(n_lines, 0)::bigint as n_lines, coalesce(n_chunks, 0) as n_chunks, coalesce(removed, 0) as removed,
+       coalesce(removed_lines, 0)::bigint as removed_lines, kept_md5
+from documents left join kept using (doc_id)
+"""
+
+
+def _kd_sql(levels: int = 3) -> str:
+    """``levels`` cuts in two, each at the weighted median of every node's widest dimension."""
+    name = "('0x' || substr(md5({x}), 1, 8))::bigint"
+    crc_table = [0] * 256
+    for i in range(256):
+        c = i
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        crc_table[i] = c
+    steps = [
+        f"""crc_table as (select {crc_table}::bigint[] as t),
+crc as (
+    select distinct text, case when text is null or text = '' then 0 else xor(list_reduce(
+        list_prepend(4294967295::bigint, list_transform(range(0, strlen(text)), lambda i: ('0x' || hex(encode(text))[2 * i + 1:2 * i + 2])::bigint)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::bigint) end as crc
+    from documents, crc_table
+), row0 as (
+    select doc_id, strlen(coalesce(d.text, '')) + 1 as size, crc, {name.format(x='doc_id::varchar')} as tie,
+           (strlen(coalesce(d.text, '')) + 1)::double as a, {name.format(x='lang')}::double as b, {name.format(x='source')}::double as c
+    from documents d join crc on crc.text is not distinct from d.text
+), span as (select min(a) la, max(a) ha, min(b) lb, max(b) hb, min(c) lc, max(c) hc from row0
+), level0 as (
+    select doc_id, size, crc, tie, 0 as leaf, {2 ** levels} as holds,
+           """
+        + ", ".join(
+            f"coalesce(({x} - l{x}) / (case when h{x} > l{x} then h{x} - l{x} else 1.0::double end), -1.0::double) as {x}" for x in "abc"
+        )
+        + " from row0, span)"
+    ]
+    for k in range(levels):
+        steps.append(
+            f"""wide{k} as (
+    select leaf, sum(size) as total, max(a) - min(a) as wa, max(b) - min(b) as wb, max(c) - min(c) as wc from level{k} group by 1
+), run{k} as (
+    select l.*, total, sum(size) over (partition by leaf order by
+        case when wa >= wb and wa >= wc then a when wb >= wc then b else c end, tie, doc_id, crc) as upto
+    from level{k} l join wide{k} using (leaf)
+), level{k + 1} as (
+    select doc_id, size, crc, tie, a, b, c, holds // 2 as holds,
+           case when (upto - size / 2) * holds <= total * (holds // 2) then leaf else leaf + holds // 2 end as leaf
+    from run{k})"""
+        )
+    return (
+        "with " + ", ".join(steps)
+        + f""" select doc_id, size::bigint as size, crc::bigint as text_crc32, 'bytes' as law, leaf::int as shard,
+       row_number() over (partition by leaf order by tie, doc_id, crc) - 1 as slot, null::int as grown_shard from level{levels}"""
+    )
+
+
+ORACLE = {"op1_license_scan": _license_sql(), "op2_line_chunks": OP2, "op9_kd_shards": _kd_sql(), "op3_decontaminate": OP3, "op8_rule_cascade": OP8}

@@ -8,11 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changefeed.llm.common import table
+from changefeed.llm import kd_shards, licenses, line_chunks
 from changefeed.llm.decontaminate import find_contamination, judge
 from changefeed.llm.rules import cascade
 from changefeed.llm.simhash import near_duplicates
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences found in each document: units compared, matches, names and the best score."""
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_units", F.size("matches").cast("bigint").alias("n_matches"),
+        F.array_join(F.array_sort(F.array_distinct("matches.name")), ",").alias("licenses"),
+        F.round(F.coalesce(F.array_max("matches.dice"), F.lit(0.0)), 9).alias("best_dice"),
+    )
+
+
+def op2_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What removing globally repeated line chunks leaves of each document."""
+    return line_chunks.remove_repeated(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_chunks", "removed", "removed_lines", F.md5("text").alias("kept_md5")
+    )
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = judge(find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
     ids = F.array_sort(F.transform("items", lambda x: x.cast("string")))
@@ -26,6 +44,13 @@ def op8_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade(table(spark, sf_dir, "documents"))
 
 
+def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards.shard_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
@@ -33,5 +58,7 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_decontaminate, op8_rule_cascade, op10_golay_simhash)
+    f.__name__: f for f in (
+        op1_license_scan, op2_line_chunks, op3_decontaminate, op8_rule_cascade, op9_kd_shards, op10_golay_simhash,
+    )
 }
