@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changefeed.llm.common import table
-from changefeed.llm import kd_shards, licenses, line_chunks
+import public_tokenizers
+from changefeed.llm import cotraining, kd_shards, licenses, line_chunks, pieces, repair_store, suffix_dedup
 from changefeed.llm.decontaminate import find_contamination, judge
 from changefeed.llm.rules import cascade
 from changefeed.llm.simhash import near_duplicates
@@ -40,6 +41,34 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = repair_store.store_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2
+    )
+    return repair_store.read_store(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op5_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of both views and the verdict for every document."""
+    docs = table(spark, sf_dir, "documents")
+    scored = cotraining.score_documents(docs, cotraining.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("row.doc_id", "p_content", "p_metadata", "score", "kept")
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeated(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op7_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether decoding them gives the text back."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = pieces.encode_pieces(table(spark, sf_dir, "documents"), model)
+    return pieces.decode_pieces(encoded, model).select(
+        "doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("bigint").alias("n_tokens"), "ids_crc32",
+        F.sha2("decoded", 256).alias("decoded_sha256"), F.expr("decoded <=> text").alias("round_trip"),
+    )
+
+
 def op8_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade(table(spark, sf_dir, "documents"))
 
@@ -59,6 +88,7 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_license_scan, op2_line_chunks, op3_decontaminate, op8_rule_cascade, op9_kd_shards, op10_golay_simhash,
+        op1_license_scan, op2_line_chunks, op3_decontaminate, op4_repair_tokens, op5_cotraining,
+        op6_suffix_dedup, op7_piece_viterbi, op8_rule_cascade, op9_kd_shards, op10_golay_simhash,
     )
 }
