@@ -21,7 +21,7 @@ inside it is found by the running sum of the lengths. Parquet pages are
 compressed on top. Spark's writer commits whole files only, so a lost executor
 repeats its blocks and leaves no half-written ones.
 
-Words are encoded once per task and remembered (up to ``CACHE``): the tokenizer
+Words are encoded once per worker and remembered (up to ``CACHE``): the tokenizer
 drops blanks and never joins across them, so whole texts give the same ids.
 
 Cases: a null or empty text is the end id alone; rows of equal ids stand together
@@ -30,7 +30,9 @@ in any order; a null id comes first; an empty table gives no blocks.
 
 from __future__ import annotations
 
+import re
 import uuid
+from functools import cache
 from zlib import crc32
 
 import numpy as np
@@ -41,13 +43,19 @@ from pyspark.sql import functions as F
 from changefeed.llm.common import in_parts, utf8
 from changefeed.session import gone_at_exit, shared_dir
 
-BLOCK_IDS = 2_000_000
+BLOCK_IDS = 500_000
 CACHE = 300_000
+SIGN = re.compile(rb"(?<=[a-zA-Z])([.,])(?=[ \n]|$)")
 ROUNDS, PAIRS, LEAST_COUNT = 4, 2048, 8
 
 
 class WordEncoder(dict):
-    """Ids, as bytes, of each blank-separated word seen so far."""
+    """Ids, as bytes, of each blank-separated word seen so far.
+
+    The tokenizer lower-cases, so A-Z are lowered first, and it parts letters from
+    signs, so a stop or comma between a letter and a blank is set apart: fewer
+    different words remain. Texts that may hold a special token go whole.
+    """
 
     def __init__(self, path: str):
         super().__init__()
@@ -55,33 +63,30 @@ class WordEncoder(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
 
-    def learn(self, words: set[str]) -> None:
-        """Encode words not seen before, all at once."""
-        plain: dict[str, tuple[str, str]] = {}
-        for word in words:
-            # Lower case and a trailing stop or comma apart, ASCII letters are encoded alike.
-            core, sign = (word[:-1], word[-1]) if word[-1:] in (".", ",") else (word, "")
-            plain[word] = (core.lower(), sign) if core.isascii() and core.isalpha() else (word, "")
-        wanted = [w for w in {w for pair in plain.values() for w in pair} if w not in self]
-        for word, found in zip(wanted, self.tokenizer.encode_batch_fast(wanted, add_special_tokens=False)):
-            self[word] = np.array(found.ids, np.uint32).tobytes()
-        for word, (core, sign) in plain.items():
-            self[word] = self[core] + self[sign] if (core, sign) != (word, "") else self[core]
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        cut = [text.replace("\n", " ").split(" ") for text in texts]
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, np.uint32).tobytes() for x in found]
+
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
         out = []
-        for at in range(0, len(cut), 64):
-            part = cut[at : at + 64]
+        for at in range(0, len(texts), 64):
             if len(self) > CACHE:
                 self.clear()
-            unseen = {w for words in part for w in words if w not in self}
-            if unseen:
-                self.learn(unseen)
-            out.extend(b"".join(map(self.__getitem__, words)) for words in part)
+            part = texts[at : at + 64]
+            cut = [None if b"<|" in t else SIGN.sub(rb" \1", t.lower()).replace(b"\n", b" ").split(b" ") for t in part]
+            unseen = list({w for words in cut if words for w in words if w not in self})
+            self.update(zip(unseen, self._encoded([w.decode() for w in unseen])))
+            for text, words in zip(part, cut):
+                out.append(self._encoded([text.decode()])[0] if words is None else b"".join(map(self.__getitem__, words)))
         return out
 
 
+@cache
+def word_encoder(path: str) -> WordEncoder:
+    """One encoder for each Python worker, so that its words outlive a task."""
+    return WordEncoder(path)
+
+
 def compress(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, int, np.ndarray, np.ndarray]:
     """(symbols, starts, base, rules, lengths) of one block of documents."""
     symbols = ids.astype(np.int64)
@@ -191,12 +196,12 @@ def write_store(
                 _packed(rules.ravel()), _packed(lengths), _packed(symbols),
             )
 
-        encoder = WordEncoder(tokenizer)
+        encoder = word_encoder(tokenizer)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 part = batch.column(0)[0].as_py()
-                texts = [raw.decode() if raw else "" for raw in utf8(batch.column(2))]
+                texts = [raw or b"" for raw in utf8(batch.column(2))]
                 for k, ids in zip(batch.column(1), encoder.encode_all(texts)):
                     held.append((k.as_py(), ids + end))
                     size += len(held[-1][1]) // 4

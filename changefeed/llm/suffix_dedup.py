@@ -171,7 +171,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     texts = _run_texts(docs.join(lists, same).select("key", "mark", "raw", "runs")).withColumn("b", F.xxhash64("body"))
 
     different = settle(texts.groupBy("k", "b", "body").agg(F.count("*").alias("copies")))
-    several = different.groupBy("k").agg(F.count("*").alias("c")).filter("c > 1").select("k")
+    # anchors whose texts all have copies are decided: each window of theirs repeats
+    several = (
+        different.groupBy("k").agg(F.count("*").alias("c"), F.min("copies").alias("least"))
+        .filter("c > 1 and least = 1").select("k")
+    )
     sorted_spans = (
         different.join(several, "k", "left_semi").select("k", "b", "body")
         .repartition("k").sortWithinPartitions("k")
