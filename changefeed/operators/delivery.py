@@ -10,6 +10,12 @@ from changefeed.operators.ordered import lookup_join
 EVENT_KEY = ["source", "pos_hi", "pos_lo", "seq", "idx"]
 
 
+def _identified(df: DataFrame) -> DataFrame:
+    """Add ``_content``: what tells rows without a log position (snapshots, dumps) apart."""
+    content = F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in ("schema", "table", "data") if c in df.columns])
+    return df.withColumn("_content", F.when(F.col("pos_hi").isNull(), F.to_json(content)))
+
+
 def acked_positions(df: DataFrame) -> DataFrame:
     """Furthest delivered position of each source; empty positions are ignored."""
     at = F.struct("pos_hi", "pos_lo", "lsn")
@@ -50,7 +56,9 @@ def resume_from(
     rows = lookup_join(df, starts, ["source"], "left")
     here = F.struct("pos_hi", "pos_lo")
     fresh = F.col("_after").isNull() if default == "earliest" else F.lit(False)
-    return rows.filter(fresh | (here > F.col("_after"))).select(*df.columns)
+    # without a position nothing can have been acknowledged
+    unplaced = F.col("pos_hi").isNull()
+    return rows.filter(fresh | unplaced | (here > F.col("_after"))).select(*df.columns)
 
 
 def delivery_audit(expected: DataFrame, delivered: DataFrame) -> DataFrame:
@@ -59,10 +67,12 @@ def delivery_audit(expected: DataFrame, delivered: DataFrame) -> DataFrame:
     Copies are counted per event before anything is compared, so an event
     delivered very often costs one row.
     """
-    want = expected.select(*EVENT_KEY).distinct().withColumn("_want", F.lit(1))
-    got = delivered.groupBy(*EVENT_KEY).agg(F.count("*").alias("_copies"))
-    both = want.join(got, EVENT_KEY, "full")
-    copies = F.coalesce(F.col("_copies"), F.lit(0))
+    key = [*EVENT_KEY, "_content"]
+    want = _identified(expected).select(*key, F.lit(1).alias("_want"), F.lit(0).alias("_copies"))
+    got = _identified(delivered).select(*key, F.lit(None).cast("int").alias("_want"), F.lit(1).alias("_copies"))
+    # grouping, unlike a join, brings null positions together
+    both = want.unionByName(got).groupBy(*key).agg(F.max("_want").alias("_want"), F.sum("_copies").alias("_copies"))
+    copies = F.col("_copies")
     return both.groupBy("source").agg(
         F.count("_want").alias("expected"),
         F.sum(copies).alias("delivered"),
@@ -75,6 +85,6 @@ def delivery_audit(expected: DataFrame, delivered: DataFrame) -> DataFrame:
 
 def drop_redelivered(df: DataFrame) -> DataFrame:
     """One copy of each event; on a stream, set a watermark first."""
-    if df.isStreaming:
-        return df.dropDuplicatesWithinWatermark(EVENT_KEY)
-    return df.dropDuplicates(EVENT_KEY)
+    rows, key = _identified(df), [*EVENT_KEY, "_content"]
+    kept = rows.dropDuplicatesWithinWatermark(key) if df.isStreaming else rows.dropDuplicates(key)
+    return kept.drop("_content")

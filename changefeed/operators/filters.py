@@ -20,19 +20,19 @@ def listed_tables(
     """Is the row's table on the list?
 
     Bare names ignore the schema. With ``qualified`` each entry is an exact
-    ``schema.table``, whatever characters it contains.
+    ``schema.table`` cut at the first dot, or a pair (schema, table), which also
+    names schemas with a dot.
     """
-    names = sorted(set(tables))
     if not qualified:
-        return F.col(table_col).isin(names)
+        return F.col(table_col).isin(sorted(set(tables)))
     # Testing the parts, not their concatenation, lets the test reach the scan.
     by_schema: dict[str, list[str]] = {}
-    for name in names:
-        schema, _, table = name.partition(".")
+    for name in set(tables):
+        schema, table = name.partition(".")[::2] if isinstance(name, str) else name
         by_schema.setdefault(schema, []).append(table)
     keep = F.lit(False)
     for schema, listed in sorted(by_schema.items()):
-        keep = keep | ((F.col(schema_col) == schema) & F.col(table_col).isin(listed))
+        keep = keep | ((F.col(schema_col) == schema) & F.col(table_col).isin(sorted(listed)))
     return keep
 
 

@@ -11,7 +11,7 @@ from changefeed.operators.ordered import asof_join
 
 HISTORY_SCHEMA = (
     "source string, schema string, `table` string, position string, timestamp bigint, "
-    "columns array<struct<name: string, typeName: string, typeOid: int>>, "
+    "columns array<struct<name: string, typeName: string, typeOid: bigint>>, "
     "lsn_pos bigint, seq bigint"
 )
 

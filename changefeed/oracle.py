@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from changefeed.functions.json_text import SHORT_ESCAPES
+# JSON's short escapes, written out here so that the check stands alone.
+_ESCAPES = [(chr(92), chr(92) * 2), (chr(34), chr(92) + chr(34)), (chr(10), chr(92) + "n"), (chr(13), chr(92) + "r"),
+            (chr(9), chr(92) + "t"), (chr(8), chr(92) + "b"), (chr(12), chr(92) + "f")]
+
 
 _ROW = (
     "('{{\"id\":' || user_id || ', \"value\":' || cast({value} as decimal(12,2)) || "
@@ -49,9 +52,9 @@ def _with(body: str, *ctes: str) -> str:
 def _escaped(column: str) -> str:
     """Replace chain in the order of the escape tables."""
     text = column
-    short = {raw for raw, _ in SHORT_ESCAPES}
+    short = {raw for raw, _ in _ESCAPES}
     others = [chr(code) for code in (*range(1, 0x20), 0x7F) if chr(code) not in short]
-    pairs = SHORT_ESCAPES + [(c, f"\\u{ord(c):04x}") for c in others]
+    pairs = _ESCAPES + [(c, f"\\u{ord(c):04x}") for c in others]
     for raw, mark in pairs:
         shown = f"chr({ord(raw)})"
         text = f"replace({text}, {shown}, '{mark}')"

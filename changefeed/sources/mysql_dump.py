@@ -20,7 +20,9 @@ LOG_POSITION = r"MASTER_LOG_FILE='([^']+)',\s*MASTER_LOG_POS=(\d+)"
 
 _QUOTED = r"'[^'\\]*+(?:(?:\\.|'')[^'\\]*+)*+'"
 TUPLE = rf"\((?:{_QUOTED}|[^()'])*+\)"
-VALUE = rf"{_QUOTED}|[^,()'\s]+"
+# A character set introducer (_binary, _utf8mb4) belongs to the literal after it.
+INTRODUCER = r"_[a-z0-9]+ +(?=')"
+VALUE = rf"(?:{INTRODUCER})?{_QUOTED}|[^,()'\s]+"
 
 # String escapes other than the backslash itself.
 STRING_ESCAPES = [
@@ -42,6 +44,7 @@ def _unescape(text: Column) -> Column:
 
 def _value(token: Column) -> Column:
     """A quoted string by content, a bare NULL as null, other tokens as text."""
+    token = F.regexp_replace(token, f"^{INTRODUCER}", "")
     inner = F.substring(token, F.lit(2), F.length(token) - 2)
     return (
         F.when(token.startswith("'"), json_quote(_unescape(inner)))

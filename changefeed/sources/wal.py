@@ -45,7 +45,7 @@ CUT_SHORT = "truncated message"
 RELATION_SCHEMA = (
     "source string, lsn_pos bigint, seq bigint, timestamp bigint, rel_id bigint, "
     "namespace string, name string, "
-    "columns array<struct<name: string, typeName: string, typeOid: int>>"
+    "columns array<struct<name: string, typeName: string, typeOid: bigint>>"
 )
 
 
@@ -89,7 +89,7 @@ def _relation_fields(body: bytes) -> tuple[int, str, str, list[dict]]:
 
 def _decode_relations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     column = pa.struct(
-        [("name", pa.string()), ("typeName", pa.string()), ("typeOid", pa.int32())]
+        [("name", pa.string()), ("typeName", pa.string()), ("typeOid", pa.int64())]
     )
     schema = pa.schema(
         [

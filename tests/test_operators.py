@@ -236,3 +236,35 @@ def test_observed_counts(spark):
     observed = observe_events(rows, seen)
     observed.collect()
     assert (seen.get["total"], seen.get["insert"], seen.get["ddl"]) == (3, 2, 1)
+
+
+def test_rows_without_a_position(spark):
+    from changefeed.operators.delivery import delivery_audit, drop_redelivered, resume_from
+
+    rows = [("a", None, None, 0, 0, None, "s", "t", str(i)) for i in range(20)]
+    schema = "source string, pos_hi bigint, pos_lo bigint, seq bigint, idx int, lsn string, schema string, table string, data string"
+    events = spark.createDataFrame(rows, schema)
+    acked = spark.createDataFrame([("a", 1, 1)], "source string, pos_hi bigint, pos_lo bigint")
+    assert drop_redelivered(events.unionByName(events)).count() == 20
+    assert resume_from(events, acked).count() == 20
+    audit = delivery_audit(events, events).first()
+    assert (audit.expected, audit.delivered, audit.missing, audit.unexpected) == (20, 20, 0, 0)
+
+
+def test_qualified_names_with_dots(spark):
+    from changefeed.operators.filters import filter_tables
+
+    rows = spark.createDataFrame([("shop.eu", "click"), ("shop", "eu.click"), ("shop", "eu")], "schema string, table string")
+    assert filter_tables(rows, ["shop.eu.click"], qualified=True).collect() == [("shop", "eu.click")]
+    assert filter_tables(rows, [("shop.eu", "click")], qualified=True).collect() == [("shop.eu", "click")]
+
+
+def test_binary_introducer(spark):
+    from pyspark.sql import functions as F
+
+    from changefeed.sources.mysql_dump import VALUE
+
+    row = spark.createDataFrame([("(1,_binary 'abc',NULL,'x')",)], "t string").select(
+        F.regexp_extract_all("t", F.lit(VALUE), F.lit(0)).alias("v")
+    ).first()
+    assert row.v == ["1", "_binary 'abc'", "NULL", "'x'"]
