@@ -30,8 +30,8 @@ in any order; a null id comes first; an empty table gives no blocks.
 
 from __future__ import annotations
 
-import re
 import uuid
+from array import array
 from functools import cache
 from zlib import crc32
 
@@ -44,43 +44,64 @@ from changefeed.llm.common import in_parts, utf8
 from changefeed.session import gone_at_exit, shared_dir
 
 BLOCK_IDS = 500_000
-CACHE = 300_000
-SIGN = re.compile(rb"(?<=[a-zA-Z])([.,])(?=[ \n]|$)")
+CACHE = 500_000
+LATIN_END = chr(0x180)  # letters below are composed and have simple lower cases
 ROUNDS, PAIRS, LEAST_COUNT = 4, 2048, 8
 
 
-class WordEncoder(dict):
+class WordEncoder:
     """Ids, as bytes, of each blank-separated word seen so far.
 
     The tokenizer lower-cases, so A-Z are lowered first, and it parts letters from
-    signs, so a stop or comma between a letter and a blank is set apart: fewer
-    different words remain. Texts that may hold a special token go whole.
+    signs, so a word that ends in a letter and a stop or comma is put together from
+    its stem: fewer different words are encoded. Words of Latin letters alone pass
+    normalising and splitting unchanged and skip both. Texts that may hold a special
+    token go whole.
     """
 
     def __init__(self, path: str):
-        super().__init__()
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, np.uint32).tobytes() for x in found]
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole = Tokenizer.from_file(path)
+        self.bare = Tokenizer(self.whole.model)
+        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.known: dict[bytes, bytes] = {}
+        self.signs = dict(zip(b".,", _encoded(self.whole, [".", ","])))
+
+    def _learn(self, words: set[bytes]) -> None:
+        unseen = words.difference(self.known)
+        signed = [w for w in unseen if w[-1:] in (b".", b",") and w[-2:-1].isalpha()]
+        stems = unseen.difference(signed).union([w[:-1] for w in signed]).difference(self.known)
+        letters, others = {}, {}
+        for stem in stems:
+            word = stem.decode().lower()
+            if word.isalpha() and max(word) < LATIN_END:
+                letters[stem] = word
+            else:
+                others[stem] = stem.decode()
+        for tokenizer, found in ((self.bare, letters), (self.whole, others)):
+            self.known.update(zip(found, _encoded(tokenizer, list(found.values()))))
+        for w in signed:
+            self.known[w] = self.known[w[:-1]] + self.signs[w[-1]]
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         out = []
         for at in range(0, len(texts), 64):
-            if len(self) > CACHE:
-                self.clear()
+            if len(self.known) > CACHE:
+                self.known.clear()
             part = texts[at : at + 64]
-            cut = [None if b"<|" in t else SIGN.sub(rb" \1", t.lower()).replace(b"\n", b" ").split(b" ") for t in part]
-            unseen = list({w for words in cut if words for w in words if w not in self})
-            self.update(zip(unseen, self._encoded([w.decode() for w in unseen])))
+            cut = [None if b"<|" in t else t.lower().replace(b"\n", b" ").split(b" ") for t in part]
+            self._learn(set().union(*filter(None, cut)))
+            ids = self.known.__getitem__
             for text, words in zip(part, cut):
-                out.append(self._encoded([text.decode()])[0] if words is None else b"".join(map(self.__getitem__, words)))
+                out.append(_encoded(self.whole, [text.decode()])[0] if words is None else b"".join(map(ids, words)))
         return out
 
 
+def _encoded(tokenizer, texts: list[str]) -> list[bytes]:
+    return [array("I", x.ids).tobytes() for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 @cache
 def word_encoder(path: str) -> WordEncoder:
     """One encoder for each Python worker, so that its words outlive a task."""
