@@ -30,6 +30,7 @@ in any order; a null id comes first; an empty table gives no blocks.
 
 from __future__ import annotations
 
+import os
 import uuid
 from array import array
 from functools import cache
@@ -104,7 +105,8 @@ def _encoded(tokenizer, texts: list[str]) -> list[bytes]:
 
 @cache
 def word_encoder(path: str) -> WordEncoder:
-    """One encoder for each Python worker, so that its words outlive a task."""
+    """One encoder for each Python worker, so that its words outlive a task; tasks are the parallel part."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return WordEncoder(path)
 
 
