@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from functools import cache
 
 import ahocorasick
@@ -45,6 +46,7 @@ class Pieces:
         self.fallback = min((s for _, s in pieces.values()), default=0.0) - 10.0
         self.raw = {number: piece.replace(BLANK, " ").encode() for number, (piece, _) in pieces.items()}
         self.raw |= {number: bytes([i]) for i, number in enumerate(byte_ids)}
+        self.single = {p for p, _ in pieces.values() if len(p) == 1}
         longer = [p for p, _ in pieces.values() if len(p) > 1]
         inner = "".join(re.escape(c) for c in sorted({c for p in longer for c in p} - {BLANK}))
         crossing = any(BLANK in p.lstrip(BLANK) for p in longer)
@@ -56,27 +58,25 @@ class Pieces:
         """Ids of the best split of a text in which blanks are already replaced."""
         size = len(text)
         best, back = [0.0] + [-np.inf] * size, [None] * (size + 1)
-        done = 0  # positions up to here also have their fallback considered
-
-        def settle_to(end: int, done: int) -> int:
-            for at in range(done + 1, end + 1):
-                score = best[at - 1] + self.fallback
-                if score > best[at]:
-                    best[at], back[at] = score, (1, None)
-            return end
-
-        for last, (length, score, number) in self.automaton.iter(text):
-            end = last + 1
-            if end - 1 > done:
-                done = settle_to(end - 1, done)
-            score += best[end - length]
-            if score > best[end]:
-                best[end], back[end] = score, (length, number)
-        settle_to(size, done)
+        if self.single.issuperset(text):
+            # each character is a piece, and its score is above the fallback's
+            for last, piece in self.automaton.iter(text):
+                score = piece[1] + best[last + 1 - piece[0]]
+                if score > best[last + 1]:
+                    best[last + 1], back[last + 1] = score, piece
+        else:
+            done = 0  # positions up to here also have their fallback considered
+            for last, piece in self.automaton.iter(text):
+                self._fall_back(best, back, done, last)
+                done = max(done, last)
+                score = piece[1] + best[last + 1 - piece[0]]
+                if score > best[last + 1]:
+                    best[last + 1], back[last + 1] = score, piece
+            self._fall_back(best, back, done, size)
         ids: list[int] = []
         at = size
         while at:
-            length, number = back[at]
+            length, _, number = back[at]
             if number is None:
                 ids.extend(self.byte_ids[b] for b in reversed(text[at - 1].encode()))
             else:
@@ -84,6 +84,13 @@ class Pieces:
             at -= length
         return ids[::-1]
 
+    def _fall_back(self, best: list, back: list, done: int, end: int) -> None:
+        """Offer the positions after ``done`` up to ``end`` the character before them as bytes."""
+        for at in range(done + 1, end + 1):
+            score = best[at - 1] + self.fallback
+            if score > best[at]:
+                best[at], back[at] = score, (1, score, None)
+
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.empty(0, np.int32)
@@ -93,7 +100,7 @@ class Pieces:
             if ids is None:
                 if len(known) >= CACHE:
                     known.clear()
-                ids = known[cut] = np.array(self.viterbi(cut), np.int32).tobytes()
+                ids = known[cut] = array("i", self.viterbi(cut)).tobytes()
             out.append(ids)
         return np.frombuffer(b"".join(out), np.int32)
 
