@@ -7,9 +7,10 @@ How equal strings meet although they start anywhere: of all ``GRAM``-byte pieces
 inside a window of ``LENGTH`` bytes the one with the least hash is its anchor, and
 equal windows have equal anchors. Neighbouring windows mostly share theirs, so a
 text falls into *runs* of windows with one anchor. Anchors that occur once cannot
-belong to a repeated string; the texts of the other runs go to the shard of their
-anchor. Equal run texts are merged on the way: with two copies all their windows
-repeat. An anchor left with several different texts is decided by sorting their
+belong to a repeated string. Of the other runs only anchor, place and a 128-bit
+BLAKE2 digest of their text are shuffled; texts with equal digests are equal, and
+all their windows repeat. Where an anchor has texts without a copy beside others,
+one text for each digest goes to the shard of the anchor and is decided by sorting
 suffixes (see ``induced_sort``), in shards of whole anchors of ``SHARD_BYTES`` or
 one anchor if that is larger; queues there go to disk. Two neighbouring suffixes
 that share ``LENGTH`` bytes are repeated windows.
@@ -22,13 +23,14 @@ never cross texts.
 from __future__ import annotations
 
 import hashlib
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changefeed.llm.common import bounded_broadcast, in_parts
+from changefeed.llm.common import BROADCAST_BYTES, bounded_broadcast, in_parts
 from changefeed.llm.induced_sort import CAP, repeated_starts
 from changefeed.session import settle
 
@@ -75,46 +77,59 @@ def _runs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return h[(least[starts] & _PLACE).astype(np.int64)].view(np.int64), starts, counts
 
 
-_RUNS = "array<struct<k: bigint, start: bigint, n: bigint>>"
-
-
 def _all_runs(docs: DataFrame) -> DataFrame:
-    """(key, mark, k, start, n): a row for each run."""
-    schema = docs.select("key", "mark", F.lit(0).cast("bigint").alias("k"), F.lit(0).cast("bigint").alias("start"), F.lit(0).cast("bigint").alias("n")).schema
+    """(key, mark, k, start, n, b): a row for each run; b is the digest of its text."""
+    schema = docs.select(
+        "key", "mark", *[F.lit(0).cast("bigint").alias(c) for c in ("k", "start", "n")], F.lit(b"").cast("binary").alias("b")
+    ).schema
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                found = [runs(raw.as_py() or b"") for raw in part.column(2)]
+                found, digests = [], []
+                for raw in part.column(2):
+                    raw = raw.as_py() or b""
+                    found.append(runs(raw))
+                    view = memoryview(raw)
+                    digests.extend(
+                        blake2b(view[s : s + n + LENGTH - 1], digest_size=16).digest()
+                        for s, n in zip(found[-1][1].tolist(), found[-1][2].tolist())
+                    )
                 owner = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(owner), part.column(1).take(owner), *[pa.array(np.concatenate([f[i] for f in found])) for i in range(3)]],
-                    names=["key", "mark", "k", "start", "n"],
+                    [
+                        part.column(0).take(owner), part.column(1).take(owner),
+                        *[pa.array(np.concatenate([f[i] for f in found])) for i in range(3)], pa.array(digests, pa.binary()),
+                    ],
+                    names=["key", "mark", "k", "start", "n", "b"],
                 )
 
     return docs.mapInArrow(run, schema)
 
 
 def _run_texts(with_lists: DataFrame) -> DataFrame:
-    """(key, mark, k, start, n, body) from texts with their list of runs."""
-    schema = with_lists.select(
-        "key", "mark", *[F.lit(0).cast("bigint").alias(c) for c in ("k", "start", "n")], F.lit(b"").cast("binary").alias("body")
-    ).schema
-    names = [f.name for f in schema]
+    """(k, b, body) from texts with a list of runs."""
 
     def run(batches):
-        def rows(batch, types):
-            for key, mark, raw, listed in zip(*batch.columns):
-                key, mark, raw = key.as_py(), mark.as_py(), raw.as_py()
+        def rows(batch):
+            for raw, listed in zip(*batch.columns):
+                raw = raw.as_py()
                 for r in listed.as_py():
-                    yield key, mark, r["k"], r["start"], r["n"], raw[r["start"] : r["start"] + r["n"] + LENGTH - 1]
+                    yield r["k"], r["b"], raw[r["start"] : r["start"] + r["n"] + LENGTH - 1]
 
         for batch in batches:
-            types = [batch.column(0).type, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            yield from in_parts(rows(batch, types), names, types)
+            yield from in_parts(rows(batch), ["k", "b", "body"], [pa.int64(), pa.binary(), pa.binary()])
+
+    return with_lists.mapInArrow(run, "k bigint, b binary, body binary")
 
-    return with_lists.mapInArrow(run, schema)
+
+def _with_lists(docs: DataFrame, lists: DataFrame, row_bytes: int, column: str) -> DataFrame:
+    """Texts that have an entry in (key, mark, ``column``), broadcast if measured small."""
+    size = lists.agg(F.sum(F.size(column) * row_bytes + 64)).first()[0] or 0
+    lists = (F.broadcast(lists) if size <= BROADCAST_BYTES else lists).withColumnsRenamed({"key": "_k", "mark": "_m"})
+    same = docs["key"].eqNullSafe(F.col("_k")) & (docs["mark"] == F.col("_m"))
+    return docs.join(lists, same).select("raw", column)
 
 
 def _spans(flags: np.ndarray) -> list[dict]:
@@ -153,45 +168,41 @@ def _sorted_shards(batches):
         if group:
             yield from shard(group)
 
-    yield from in_parts(rows(), ["k", "b", "spans"], [pa.int64(), pa.int64(), _SPAN])
+    yield from in_parts(rows(), ["k", "b", "spans"], [pa.int64(), pa.binary(), _SPAN])
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(key, mark, spans): byte ranges to remove from each text of (key, mark, raw)."""
     counted = _all_runs(docs)
     often = counted.groupBy("k").agg(F.count("*").alias("c")).filter("c > 1").select("k")
-    listed = settle(
-        counted.join(bounded_broadcast(settle(often), 24), "k", "left_semi")
-        .groupBy("key", "mark").agg(F.collect_list(F.struct("k", "start", "n")).alias("runs"))  # of one text
-    )
-    size = listed.agg(F.sum(F.size("runs") * 24 + 64)).first()[0] or 0
-    lists = F.broadcast(listed) if size <= 32 * 1024 * 1024 else listed
-    lists = lists.withColumnsRenamed({"key": "_k", "mark": "_m"})
-    same = docs["key"].eqNullSafe(F.col("_k")) & (docs["mark"] == F.col("_m"))
-    texts = _run_texts(docs.join(lists, same).select("key", "mark", "raw", "runs")).withColumn("b", F.xxhash64("body"))
-
-    different = settle(texts.groupBy("k", "b", "body").agg(F.count("*").alias("copies")))
+    found = settle(counted.join(bounded_broadcast(settle(often), 24), "k", "left_semi"))
+    different = settle(found.groupBy("k", "b").agg(F.count("*").alias("copies")))
     # anchors whose texts all have copies are decided: each window of theirs repeats
-    several = (
+    several = settle(
         different.groupBy("k").agg(F.count("*").alias("c"), F.min("copies").alias("least"))
         .filter("c > 1 and least = 1").select("k")
     )
+    # one text stands for its copies; only such texts of undecided anchors are moved and sorted
+    place = F.struct("key", "mark", "start", "n")
+    chosen = (
+        found.join(bounded_broadcast(several, 24), "k", "left_semi")
+        .groupBy("k", "b").agg(F.min(place).alias("at"))
+        .groupBy("at.key", "at.mark").agg(F.collect_list(F.struct("k", "b", "at.start", "at.n")).alias("runs"))  # of one text
+    )
     sorted_spans = (
-        different.join(several, "k", "left_semi").select("k", "b", "body")
+        _run_texts(_with_lists(docs, settle(chosen), 48, "runs"))
         .repartition("k").sortWithinPartitions("k")
-        .mapInArrow(_sorted_shards, "k bigint, b bigint, spans array<struct<s: bigint, e: bigint>>")
+        .mapInArrow(_sorted_shards, "k bigint, b binary, spans array<struct<s: bigint, e: bigint>>")
     )
-    whole = different.filter("copies > 1").select(
-        "k", "b", F.array(F.struct(F.lit(0).cast("bigint").alias("s"), (F.length("body") - LENGTH + 1).cast("bigint").alias("e"))).alias("spans")
+    every = F.array(F.struct(F.lit(0).cast("bigint").alias("s"), F.col("n").alias("e")))
+    copied = found.join(bounded_broadcast(different.filter("copies > 1").select("k", "b"), 48), ["k", "b"], "left_semi")
+    marked = settle(sorted_spans.groupBy("k", "b").agg(F.flatten(F.collect_list("spans")).alias("spans")))
+    width = marked.agg(F.sum(F.size("spans") * 16 + 64)).first()[0] or 0
+    parts = copied.select("key", "mark", "start", every.alias("spans")).unionByName(
+        found.join(F.broadcast(marked) if width <= BROADCAST_BYTES else marked, ["k", "b"]).select("key", "mark", "start", "spans")
     )
-    marked = settle(whole.unionByName(sorted_spans).groupBy("k", "b").agg(F.flatten(F.collect_list("spans")).alias("spans")))
-    width = marked.agg(F.sum(F.size("spans") * 16 + 48)).first()[0] or 0
     places = F.expr(f"transform(spans, x -> named_struct('s', start + x.s, 'e', start + x.e + {LENGTH - 1}))")
-    return (
-        texts.select("key", "mark", "k", "b", "start")
-        .join(F.broadcast(marked) if width <= 32 * 1024 * 1024 else marked, ["k", "b"])
-        .groupBy("key", "mark").agg(F.flatten(F.collect_list(places)).alias("spans"))  # of one text
-    )
+    return parts.groupBy("key", "mark").agg(F.flatten(F.collect_list(places)).alias("spans"))  # of one text
 
 
 def _cut(raw: bytes, spans: list[dict]) -> tuple[bytes, int]:
@@ -213,7 +224,7 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     spans = settle(repeated_spans(named).withColumnsRenamed({"key": "_k", "mark": "_m"}))
     size = spans.agg(F.sum(F.size("spans") * 16 + 64)).first()[0] or 0
     same = named["key"].eqNullSafe(F.col("_k")) & (named["mark"] == F.col("_m"))
-    joined = named.join(F.broadcast(spans) if size <= 32 * 1024 * 1024 else spans, same, "left").select("key", "raw", "spans")
+    joined = named.join(F.broadcast(spans) if size <= BROADCAST_BYTES else spans, same, "left").select("key", "raw", "spans")
     schema = joined.select(
         "key", *[F.lit(0).cast("bigint").alias(c) for c in ("n_bytes", "n_removed", "n_spans")],
         F.lit(b"").cast("binary").alias("kept"), F.lit("").cast("string").alias("kept_sha256"),
