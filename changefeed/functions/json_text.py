@@ -29,6 +29,17 @@ _STRING_LITERAL = (
 _LONG_DIGITS = r"(\d)\d{300,}+"
 _PARSER_LIMIT = 1000
 
+# Fixed value: nesting beyond this depth is refused by the format's own gate.
+_DEEPEST = 10_000
+
+# Innermost containers of a text whose strings are all empty: only scalars inside.
+_WS = r"[ \t\n\r]*+"
+_SCALAR = r'(?:""|true|false|null|-?+(?:0|[1-9]\d*+)(?:\.\d++)?+(?:[eE][+-]?+\d++)?+)' + _WS
+_FIELD = f'""{_WS}:{_WS}{_SCALAR}'
+_INNERMOST = (
+    rf"\[{_WS}(?:{_SCALAR}(?:,{_WS}{_SCALAR})*+)?+\]|\{{{_WS}(?:{_FIELD}(?:,{_WS}{_FIELD})*+)?+\}}"
+)
+
 
 def _replace_all(text: Column, pairs) -> Column:
     for old, new in pairs:
@@ -74,14 +85,44 @@ def _parses(text: Column) -> Column:
     return F.coalesce(F.try_parse_json(text).isNotNull() & one, F.lit(False))
 
 
+def _depth(text: Column) -> Column:
+    """Deepest nesting of brackets in a text without strings."""
+    steps = F.split(F.regexp_replace(text, F.lit(r"[^\[\]{}]"), F.lit("")), "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(state: Column, char: Column) -> Column:
+        change = F.when(char.isin("[", "{"), 1).when(char.isin("]", "}"), -1).otherwise(0)
+        now = state["now"] + change
+        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
+
+    return F.aggregate(steps, start, step, lambda state: state["most"])
+
+
+def _flattened(text: Column) -> Column:
+    """The text with its deepest levels, where valid, put down to numbers.
+
+    One pass takes one level; the blanks keep neighbours from growing together.
+    """
+    levels = F.least(_depth(text), F.lit(_DEEPEST + 1)) - _PARSER_LIMIT // 2
+    passes = F.when(levels > 0, F.sequence(F.lit(1), levels))
+    return F.when(
+        levels <= _DEEPEST - _PARSER_LIMIT // 2,
+        F.aggregate(passes, text, lambda t, _: F.regexp_replace(t, F.lit(_INNERMOST), F.lit(" 0 "))),
+    )
+
+
 def is_valid_json(text: Column) -> Column:
     """True when the text is exactly one strict JSON value (false for null).
 
-    Literals beyond the parser's own size limits are shortened and tried again,
-    so long texts are judged whole. Nesting deeper than 1000 counts as invalid.
+    Literals beyond the parser's own size limits are shortened and levels beyond
+    its nesting limit are folded, then it is tried again, so long and deep texts
+    are judged whole. Nesting deeper than 10,000 is invalid.
     """
     shortened = F.regexp_replace(text, F.lit(_STRING_LITERAL), F.lit('""'))
     shortened = F.regexp_replace(shortened, F.lit(_LONG_DIGITS), F.lit("$11"))
-    return _parses(text) | (
-        F.coalesce(F.length(text) > _PARSER_LIMIT, F.lit(False)) & _parses(shortened)
+    brackets = F.length(F.regexp_replace(shortened, F.lit(r"[^\[{]"), F.lit("")))
+    return (
+        _parses(text)
+        | (F.coalesce(F.length(text) > _PARSER_LIMIT, F.lit(False)) & _parses(shortened))
+        | (F.coalesce(brackets > _PARSER_LIMIT // 2, F.lit(False)) & _parses(_flattened(shortened)))
     )

@@ -58,6 +58,16 @@ def _content_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{name}`") for name in plain])
 
 
+def _with_tie(right: DataFrame) -> DataFrame:
+    """Rows of one key and order are told apart by the content of their values."""
+    plain = [
+        F.col("_v")[field.name]
+        for field in right.schema["_v"].dataType
+        if not any(part in field.dataType.simpleString() for part in ("map<", "variant"))
+    ]
+    return right.withColumn("_tie", F.xxhash64(*plain) if plain else F.lit(0).cast("bigint"))
+
+
 def lookup_join(
     df: DataFrame,
     table: DataFrame,
@@ -93,7 +103,8 @@ def asof_join(
 
     ``order`` names columns of both sides, a BIGINT position first, tie-breakers
     after it; ``inclusive=False`` asks for strictly before. Left rows with
-    nothing before them get nulls. With ``broadcast`` the right side is settled
+    nothing before them get nulls; of right rows that agree in key and order the
+    one with the largest content hash counts, on every path. With ``broadcast`` the right side is settled
     and measured first; when it is small and has few versions per key, the left
     side is not shuffled at all.
     """
@@ -111,12 +122,12 @@ def asof_join(
 
 def _broadcast_asof(left, right, on, order, inclusive) -> DataFrame | None:
     pos = order[0]
-    width = F.octet_length(F.to_json("_v"))
+    size = F.octet_length(F.to_json("_v"))
     shape = (
         right.groupBy(*on)
         .agg(
             F.count("*").alias("n"),
-            F.sum(width).alias("bytes"),
+            F.sum(size).alias("bytes"),
             F.min(pos).alias("first"),
             F.max(pos).alias("last"),
         )
@@ -137,8 +148,8 @@ def _broadcast_asof(left, right, on, order, inclusive) -> DataFrame | None:
     if shape["n"] is not None and shape["n"] > VERSIONS_PER_CELL:
         cells = max(1, min(shape["n"], BROADCAST_ROWS // shape["keys"]))
 
-    by_key = Window.partitionBy(*on).orderBy(*order)
-    spans = right.select(
+    by_key = Window.partitionBy(*on).orderBy(*order, "_tie")
+    spans = _with_tie(right).select(
         *[F.col(name).alias(f"_k_{name}") for name in on],
         "_v",
         F.col(pos).alias("_at"),
@@ -169,11 +180,16 @@ def _broadcast_asof(left, right, on, order, inclusive) -> DataFrame | None:
         )
         fullest = (
             spans.groupBy(*[f"_k_{name}" for name in on], "_cell")
-            .count()
-            .agg(F.max("count").alias("most"), F.sum("count").alias("rows"))
+            .agg(F.count("*").alias("n"), F.sum(size).alias("bytes"))
+            .agg(F.max("n").alias("most"), F.sum("n").alias("rows"), F.sum("bytes").alias("bytes"))
             .first()
         )
-        if fullest["most"] > 4 * VERSIONS_PER_CELL or fullest["rows"] > 2 * BROADCAST_ROWS:
+        # a version is copied to every cell it spans, so its bytes are measured again
+        if (
+            fullest["most"] > 4 * VERSIONS_PER_CELL
+            or fullest["rows"] > 2 * BROADCAST_ROWS
+            or (fullest["bytes"] or 0) > BROADCAST_BYTES
+        ):
             return None
         match.append(cell(left[pos]) == F.col("_cell"))
 
@@ -191,14 +207,14 @@ def _segment_asof(left, right, on, order, inclusive) -> DataFrame:
         .groupBy(*on, segment.alias("_seg"))
         .agg(F.count("*").alias("_n"))
     )
-    right = right.withColumn("_seg", segment)
+    right = _with_tie(right).withColumn("_seg", segment)
     # Rows without a position match nothing; spread them over their own groups.
     stray = -(F.pmod(_content_hash(left), F.lit(4096)) + 1)
     left = left.withColumn("_seg", F.coalesce(segment, stray))
     group = [*on, "_seg"]
 
     last_in_segment = right.groupBy(*group).agg(
-        F.max_by("_v", F.struct(*order)).alias("_v")
+        F.max_by("_v", F.struct(*order, "_tie")).alias("_v")
     )
     inherited = _inherit(
         sizes.select(*group), last_in_segment, on, lambda over: F.last("_v", True).over(over),
@@ -216,7 +232,6 @@ def _segment_asof(left, right, on, order, inclusive) -> DataFrame:
         copied = F.explode(F.sequence(F.lit(0), parts - 1))
         # Settled, because a task run again might deal its rows differently.
         left = settle(lookup_join(left, full, group, "left").withColumn("_part", dealt))
-        right = right.dropDuplicates([*on, *order])
         right = lookup_join(right, full, group, "left").withColumn("_part", copied)
         inherited = lookup_join(inherited, full, group, "left").withColumn("_part", copied)
         left, right, inherited = (side.drop("_parts") for side in (left, right, inherited))
@@ -228,7 +243,7 @@ def _segment_asof(left, right, on, order, inclusive) -> DataFrame:
     side = F.col("_is_left") if inclusive else ~F.col("_is_left")
     within = (
         Window.partitionBy(*group)
-        .orderBy(*order, side)
+        .orderBy(*order, side, "_tie")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = (

@@ -192,3 +192,19 @@ def test_jdbc_splits():
     assert len(hashed["predicates"]) == 3 and len(set(hashed["predicates"])) == 3
     with pytest.raises(ValueError):
         jdbc_read_options("public", "users; drop table x")
+
+
+@pytest.mark.parametrize("opening, core, closing", [("[", "1", "]"), ('{"a":', "[]", "}"), ('[{"k\\n": ', '"x["', "}]")])
+def test_deep_json_is_judged_whole(spark, opening, core, closing):
+    cases = []
+    for depth in (300, 900, 1500):
+        cases += [(opening * depth + core + closing * depth, True), (opening * depth + core + closing * (depth - 1), False)]
+        cases += [(opening * depth + bad + closing * depth, False) for bad in ("1[]", "-[]", "{[]:1}", "[1,]")]
+    rows = spark.createDataFrame(cases, "t string, want boolean").select("want", is_valid_json(F.col("t")).alias("got"))
+    assert all(r.got == r.want for r in rows.collect())
+
+
+def test_very_deep_json(spark):
+    cases = [("[" * d + "]" * d, d <= 10_000) for d in (9000, 10_001)]
+    rows = spark.createDataFrame(cases, "t string, want boolean").select("want", is_valid_json(F.col("t")).alias("got"))
+    assert all(r.got == r.want for r in rows.collect())

@@ -115,3 +115,35 @@ def test_lookup_join_beyond_the_bound(spark, monkeypatch):
     large = lookup_join(left, right, ["k"])
     assert sorted(large.collect()) == small
     assert len(lookup_join(left, right, ["k"], "left").collect()) == 1000
+
+
+def _ties(spark):
+    left = spark.sql("select 1 k, id pos, id from range(0, 400)")
+    right = spark.sql("select 1 k, id * 40 pos, v from range(0, 10) lateral view explode(array('a', 'b', 'c')) t as v")
+    return left, right
+
+
+def test_equal_positions_give_one_answer(spark, monkeypatch):
+    left, right = _ties(spark)
+
+    def answer(broadcast):
+        found = asof_join(left, right, ["k"], ["pos"], ["v"], broadcast=broadcast)
+        return sorted((r.id, r.v) for r in found.collect())
+
+    small, cut = answer(True), answer(False)
+    monkeypatch.setattr(ordered, "SEGMENT_ROWS", 50)
+    assert len(small) == 400 and small == cut == answer(False)
+
+
+def test_wide_versions_are_measured_per_cell(spark, monkeypatch):
+    left = spark.sql("select id % 2 k, id pos, id from range(0, 2000)")
+    right = spark.sql(
+        "select 0L k, id pos, 'x' v from range(0, 2000, 2) union all "
+        "select 1L, id * 500 + 1, repeat('y', 5000) from range(0, 4)"
+    )
+    monkeypatch.setattr(ordered, "BROADCAST_BYTES", 200_000)
+    assert ordered._broadcast_asof(
+        left, right.selectExpr("k", "pos", "struct(v) _v"), ["k"], ["pos"], True
+    ) is None
+    found = asof_join(left, right, ["k"], ["pos"], ["v"])
+    assert found.filter("v is not null").count() == 2000
