@@ -11,6 +11,13 @@ Work: hashes of chunks are counted with partial sums before the shuffle; only
 texts whose hash repeats are grouped by text; a chunk with millions of copies is
 one row per task by then.
 
+A chunk's boundaries depend on its lines, so the head and tail of a repeated run
+that lie in chunks with other lines stay in ``remove_repeated`` (its rule is fixed
+by the SQL of op2). ``dedup_lines``, the pipeline's stage, has no chunks: windows of
+``MIN_LINES`` neighbouring lines that hold a word begin at every line, and all but
+the first of equal ones (equal 128-bit BLAKE2 digests) go, which together are the
+whole repeated runs. Blank lines between removed lines go along.
+
 Cases: a null text has no lines and stays null; an empty text is one empty line;
 rows that agree in id and text count as one document and get the same result; a
 null id comes before all others.
@@ -18,10 +25,14 @@ null id comes before all others.
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changefeed.llm.common import bounded_broadcast
+from changefeed.llm.common import BROADCAST_BYTES, bounded_broadcast, utf8
 from changefeed.session import settle
 
 WINDOW, DIVISOR, MIN_LINES = 2, 3, 2
@@ -99,27 +110,109 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return judged
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, with their texts shortened; ``n_chars`` follows if there is one."""
-    names = docs.columns
-    gone = settle(repeated_chunks(docs, key, text).select(F.col("key").alias("_k"), F.col("mark").alias("_m"), "gone"))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(key).alias("id"), F.col(text).alias("body"))
-    packed = whole.select(F.struct("id", "row").alias("both"), "body")
-    rows = with_chunks(packed, "both", "body").withColumn("mark", F.xxhash64("text"))
-    same = (F.col("key.id").eqNullSafe(F.col("_k"))) & (F.col("mark") == F.col("_m"))
-    joined = rows.join(bounded_broadcast(gone, 128), same, "left")
-    short = F.expr(
-        r"""case when gone is null then text else
-            array_join(transform(filter(chunks, c -> not array_contains(gone, c.idx)), c -> c.body), '\n') end"""
+def _pairs(docs: DataFrame, key: str, text: str, places: bool) -> DataFrame:
+    """A row for each ``MIN_LINES`` neighbouring lines that hold a word: (h), or (key, mark, at, h, digest)."""
+    named = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+    empty = named.select("key", "mark", F.lit(0).alias("at"), F.lit(0).cast("bigint").alias("h"), F.lit(b"").alias("digest"))
+    schema = empty.schema if places else empty.select("h").schema
+
+    def run(batches):
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 256):
+                part = batch.slice(begin, 256)
+                owner, at, digests = [], [], []
+                for row, raw in enumerate(utf8(part.column(2))):
+                    for start, digest in line_windows(raw):
+                        owner.append(row)
+                        at.append(start)
+                        digests.append(digest)
+                h = pa.array(np.frombuffer(b"".join(digests), "<i8")[::2])
+                if not places:
+                    yield pa.RecordBatch.from_arrays([h], names=["h"])
+                    continue
+                owner = pa.array(owner, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(owner), part.column(1).take(owner), pa.array(at, pa.int32()), h, pa.array(digests, pa.binary())],
+                    names=["key", "mark", "at", "h", "digest"],
+                )
+
+    return named.mapInArrow(run, schema)
+
+
+def line_windows(raw: bytes | None):
+    """(first line, 128-bit digest) of each ``MIN_LINES`` neighbouring lines that hold a word."""
+    lines = raw.split(b"\n") if raw else []
+    for at in range(len(lines) - MIN_LINES + 1):
+        body = b"\n".join(lines[at : at + MIN_LINES])
+        if not body.isspace():
+            yield at, blake2b(body, digest_size=16).digest()
+
+
+def without_lines(text: str, starts: list[int]) -> str:
+    """``text`` without the lines of the windows at ``starts`` and the blank lines between removed ones."""
+    lines = text.split("\n")
+    gone = np.zeros(len(lines), bool)
+    for d in range(MIN_LINES):
+        gone[np.asarray(starts) + d] = True
+    kept, blank = [], []
+    after_gone = False
+    for line, out in zip(lines, gone.tolist()):
+        if out:
+            if not after_gone:
+                kept += blank
+            blank, after_gone = [], True
+        elif not line.strip():
+            blank.append(line)
+        else:
+            kept += [*blank, line]
+            blank, after_gone = [], False
+    return "\n".join(kept + blank)
+
+
+def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, mark, gone): where the windows of lines start that stand earlier in the table too."""
+    hashes = settle(_pairs(docs, key, text, False).groupBy("h").count().filter("count > 1").select("h"))
+    likely = settle(_pairs(docs, key, text, True).join(bounded_broadcast(hashes, 24), "h", "left_semi").drop("h"))
+    place = F.struct("key", "mark", "at")
+    first = settle(
+        likely.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+        .filter("not (first <=> last)").select("digest", "first")
+    )
+    return (
+        likely.join(bounded_broadcast(first, 96), "digest")
+        .filter(~place.eqNullSafe(F.col("first")))
+        .groupBy("key", "mark")
+        .agg(F.collect_set("at").alias("gone"))  # at most the lines of one document
     )
-    joined = joined.withColumn("short", short)
+
+
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, without repeated runs of lines; ``n_chars`` follows if there is one.
+
+    Every run of at least ``MIN_LINES`` lines that stands earlier in the table goes
+    as a whole, wherever it begins and ends.
+    """
+    gone = settle(repeated_lines(docs, key, text).select(F.col("key").alias("_k"), F.col("mark").alias("_m"), "gone"))
+    if (gone.agg(F.sum(4 * F.size("gone") + 64)).first()[0] or 0) <= BROADCAST_BYTES:
+        gone = F.broadcast(gone)
+
+    @F.arrow_udf("string")
+    def shorten(texts: pa.Array, starts: pa.Array) -> pa.Array:
+        return pa.array(
+            [None if g is None else without_lines(t, g) for t, g in zip(texts.to_pylist(), starts.to_pylist())], pa.string()
+        )
+
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("id"), F.xxhash64(text).alias("mark"))
+    same = (F.col("id").eqNullSafe(F.col("_k"))) & (F.col("mark") == F.col("_m"))
+    joined = rows.join(gone, same, "left").select("row", "gone")
+    body = F.col("row").getField(text)
+    joined = joined.withColumn("short", shorten(F.when(F.col("gone").isNotNull(), body), F.col("gone")))
     out = []
-    for c in names:
+    for c in docs.columns:
+        value = F.col("row").getField(c)
         if c == text:
-            out.append(F.col("short").alias(c))
+            value = F.when(F.col("gone").isNull(), value).otherwise(F.col("short"))
         elif c == "n_chars":
-            kind = docs.schema[c].dataType
-            out.append(F.when(F.col("gone").isNull(), F.col("key.row").getField(c)).otherwise(F.length("short")).cast(kind).alias(c))
-        else:
-            out.append(F.col("key.row").getField(c).alias(c))
+            value = F.when(F.col("gone").isNull(), value).otherwise(F.length("short")).cast(docs.schema[c].dataType)
+        out.append(value.alias(c))
     return joined.select(*out)

@@ -179,6 +179,23 @@ def test_line_chunks(spark, odd):
     assert left[1].removed == 0 and left[2].removed_lines > 45
 
 
+def test_dedup_lines_takes_whole_runs(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    line = lambda: " ".join(word() for _ in range(6))
+    rows, own = [], {}
+    for i in range(30):
+        run = [line() for _ in range(rng.choice([2, 3, 4, 7]))]
+        run[1:1] = [""] * rng.choice([0, 0, 1, 4])
+        for side in range(2):
+            head, tail = [line() for _ in range(3)], [line() for _ in range(2)]
+            own[2 * i + side] = "\n".join(head + tail if side else [*head, *run, *tail])
+            rows.append((2 * i + side, "\n".join([*head, *run, *tail]), 7))
+    out = line_chunks.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string, n_chars int")).collect()
+    assert {r.doc_id: r.text for r in out} == own
+    assert all(r.n_chars == (len(r.text) if r.doc_id % 2 else 7) for r in out)
+
+
 def test_repair_round_trip(spark, odd):
     from tokenizers import Tokenizer
 
