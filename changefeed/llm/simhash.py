@@ -238,7 +238,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: in
     Of several rows with that key one stays. Rows without a key cannot be told
     apart and all stay.
     """
-    found = near_duplicates(docs, key, text, width)
+    return keep_first(docs, near_duplicates(docs, key, text, width), key)
+
+
+def keep_first(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """The rows of ``docs`` whose key is a component id in ``found``, one for each, and those without a key."""
     kept = settle(
         found.filter(F.col(key) == F.col("component_id")).groupBy(key).agg(F.count("*").alias("n"))
     ).withColumnRenamed(key, "_kept")

@@ -16,7 +16,7 @@ import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from changefeed.llm import (
     cotraining, decontaminate, golay, induced_sort, kd_shards, licenses, line_chunks, pieces, repair_store, rules,
-    simhash, suffix_dedup,
+    similar, simhash, suffix_dedup,
 )
 from changefeed.llm.components import components
 from changefeed.llm.common import table
@@ -127,6 +127,44 @@ def test_keep_one(spark, odd):
     assert ids.count(3) == 1 and 4 not in ids and 5 not in ids and None in ids
 
 
+def _near_copies():
+    rng = random.Random(12)
+    rows, base = [], []
+    for i in range(40):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([40, 150, 600]))]
+        base.append(words)
+        for _ in range(3):
+            copy = list(words)
+            for at in rng.sample(range(len(copy)), rng.randint(1, max(1, len(copy) // 35))):
+                copy[at] = f"x{rng.randrange(10**6)}"
+            base.append(copy)
+    base += [[f"h{i}" for i in range(400)]] * 3
+    for j in range(60):  # one group of many near copies
+        copy = [f"h{i}" for i in range(400)]
+        for at in rng.sample(range(400), 3):
+            copy[at] = f"y{j}-{at}"
+        base.append(copy)
+    return list(enumerate(" ".join(w) for w in base)) + [(1000, None), (1001, " "), (1002, "two words"), (1003, "Two  words")]
+
+
+@pytest.mark.parametrize("members", [128, 2])
+def test_keep_one_similar_brute(spark, members, monkeypatch):
+    monkeypatch.setattr(similar, "PLAIN_MEMBERS", members)
+    rows = _near_copies()
+
+    def grams(text):
+        w = (text or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets = {i: grams(t) for i, t in rows}
+    same = lambda a, b: a == b or 5 * len(a & b) >= 4 * len(a | b)
+    links = [(a, b) for a in sets for b in sets if a < b and same(sets[a], sets[b])]
+    want = set(_classes(links, sets).values())
+    docs = spark.createDataFrame(rows + [(None, rows[0][1]), (0, rows[0][1])], "doc_id bigint, text string")
+    got = sorted((r.doc_id for r in similar.keep_one_similar(docs).collect()), key=str)
+    assert got == sorted([*want, None], key=str)
+
+
 def test_contamination(spark, odd):
     items = [(10, PASSAGE), (11, "some words"), (11, "some words"), (None, "an"), (12, None), (13, "...")]
     bench = spark.createDataFrame(items, "item_id bigint, text string")
