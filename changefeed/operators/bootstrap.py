@@ -27,10 +27,11 @@ def snapshot_mode(mode: str | None, chunked=None, backup_file=None) -> DataFrame
     return thunk()
 
 
-def row_key(key: list[str]):
-    """Key values of the row an event is about, as one text array.
+def row_key(key: list[str] | Mapping[str, list[str]]):
+    """Key values of the row an event is about, as one text array; null without a whole key.
 
-    The newest image counts: ``new`` of an update, else the row itself.
+    The newest image counts: ``new`` of an update, else the row itself. A map names
+    the columns for each table, by ``schema.table`` or by the bare name.
     """
     def pick(name: str):
         new = payload_field(F.col("data"), f"$.new['{name}']")
@@ -38,17 +39,43 @@ def row_key(key: list[str]):
         flat = payload_field(F.col("data"), f"$['{name}']")
         return F.when(F.col("type") == "UPDATE", F.coalesce(new, old)).otherwise(flat)
 
-    return F.array(*[pick(name) for name in key])
+    def whole(names: list[str]):
+        picked = F.array(*[pick(name) for name in names])
+        return F.when(~F.exists(picked, lambda value: value.isNull()), picked)
+
+    if not isinstance(key, Mapping):
+        return whole(key)
+    found = F.lit(None).cast("array<string>")
+    for table in sorted(key, key=lambda name: "." in name):
+        if key[table]:
+            named = F.concat_ws(".", "schema", "table") if "." in table else F.col("table")
+            found = F.when(named == table, whole(key[table])).otherwise(found)
+    return found
+
+
+def _partial(live: DataFrame):
+    """Whether an image lacks a stored value that was not sent."""
+    marked = F.col("data").contains(':"unchanged"')
+    if "unchanged_cols" in live.columns:
+        marked = F.coalesce(F.size("unchanged_cols") > 0, marked)
+    return (F.col("type") != "DELETE") & F.coalesce(marked, F.lit(False))
 
 
 def bootstrap(
-    snapshot: DataFrame | None, live: DataFrame, key: list[str] | None = None
+    snapshot: DataFrame | None,
+    live: DataFrame,
+    key: list[str] | Mapping[str, list[str]] | None = None,
 ) -> DataFrame:
     """Snapshot rows followed by live events.
 
     The log position is taken before the snapshot, so a row may be in both. With
-    ``key`` the live event wins and the snapshot row is left out.
+    ``key``, for all tables or as a map from table to columns, the live event wins
+    and the snapshot row is left out. Snapshot rows stay where their table has no
+    key, a key value is missing or null, or the live images are all partial: the
+    snapshot then holds the only copy of a value.
     """
+    partial = _partial(live)
+    changed = live.filter(F.col("type").isin("INSERT", "UPDATE", "DELETE") & ~partial)
     live = live.select(*EVENT_COLUMNS).withColumn("from_snapshot", F.lit(False))
     if snapshot is None:
         return live
@@ -56,10 +83,7 @@ def bootstrap(
     if key:
         on = ["source", "schema", "table", "_key"]
         changed = (
-            live.filter(F.col("type").isin("INSERT", "UPDATE", "DELETE"))
-            .withColumn("_key", row_key(key))
-            .select(*on)
-            .distinct()
+            changed.withColumn("_key", row_key(key)).filter("_key is not null").select(*on).distinct()
         )
         base = base.withColumn("_key", row_key(key)).join(changed, on, "left_anti")
         base = base.drop("_key")

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from changefeed.functions.positions import combined_position
 from changefeed.operators.transactions import assign_transactions
 from changefeed.sources.binlog import current_files, decode_binlog, stamp_binlog_file
-from changefeed.sources.wal import RELATION_SCHEMA, changed_layouts, decode_wal, read_relations
-from changefeed.streaming.publish import load_batches, store_batch
+from changefeed.sources.wal import RELATION_SCHEMA, changed_layouts, decode_wal, read_relations, wal_rejects
+from changefeed.streaming.publish import load_batches, store_batch, with_rejects
 
-Prepare = Callable[[DataFrame, int], DataFrame]
+# Events alone, or events and rejected messages.
+Prepare = Callable[[DataFrame, int], DataFrame | tuple[DataFrame, DataFrame]]
 
 FILE_SCHEMA = "source string, file string"
 TX_SCHEMA = "source string, tx_no bigint, tx_timestamp bigint"
@@ -31,16 +32,17 @@ def wal_decoder(
 
     New layouts are stored before the rows are decoded, so a layout and its rows
     may arrive in one batch. Repeated announcements are not stored: the catalogue
-    grows with schema changes only.
+    grows with schema changes only. Messages that yield no event come second.
     """
 
-    def prepare(batch: DataFrame, batch_id: int) -> DataFrame:
+    def prepare(batch: DataFrame, batch_id: int) -> tuple[DataFrame, DataFrame]:
         spark = batch.sparkSession
         earlier = load_batches(spark, catalogue, RELATION_SCHEMA, before=batch_id)
         new = changed_layouts(read_relations(batch), earlier.drop("batch_id"))
         store_batch(new, catalogue, batch_id)
         known = load_batches(spark, catalogue, RELATION_SCHEMA, before=batch_id + 1)
-        return decode_wal(batch, known.drop("batch_id"), tables, capture_ddl)
+        known = known.drop("batch_id")
+        return decode_wal(batch, known, tables, capture_ddl), wal_rejects(batch, known, tables)
 
     return prepare
 
@@ -68,9 +70,9 @@ def binlog_decoder(state: str) -> Prepare:
 def framed(state: str, inner: Prepare | None = None, boundary: str = "BEGIN") -> Prepare:
     """Wrap a ``prepare`` so that transaction numbers go on across batches."""
 
-    def prepare(batch: DataFrame, batch_id: int) -> DataFrame:
+    def prepare(batch: DataFrame, batch_id: int) -> DataFrame | tuple[DataFrame, DataFrame]:
         spark = batch.sparkSession
-        events = inner(batch, batch_id) if inner else batch
+        events, rejects = with_rejects(inner(batch, batch_id) if inner else batch)
         earlier = load_batches(spark, state, TX_SCHEMA, before=batch_id)
         initial = (
             earlier.groupBy("source")
@@ -91,6 +93,6 @@ def framed(state: str, inner: Prepare | None = None, boundary: str = "BEGIN") ->
             .select("source", "_t.*")
         )
         store_batch(latest, state, batch_id)
-        return rows
+        return rows if rejects is None else (rows, rejects)
 
     return prepare

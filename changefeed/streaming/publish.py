@@ -86,12 +86,17 @@ def load_acked(spark: SparkSession, path: str) -> DataFrame:
     return acked_positions(load_batches(spark, path, ACKED_SCHEMA))
 
 
+def with_rejects(prepared) -> tuple[DataFrame, DataFrame | None]:
+    """What a ``prepare`` returned, as events and rejected messages."""
+    return prepared if isinstance(prepared, tuple) else (prepared, None)
+
+
 def publish_stream(
     df: DataFrame,
     target: str,
     checkpoint: str,
     prefix: str = DEFAULT_PREFIX,
-    prepare: Callable[[DataFrame, int], DataFrame] | None = None,
+    prepare: Callable[[DataFrame, int], DataFrame | tuple[DataFrame, DataFrame]] | None = None,
     acked: str | None = None,
     quarantine: str | None = None,
     on_batch: Callable[[DataFrame, int], None] | None = None,
@@ -100,7 +105,8 @@ def publish_stream(
 ) -> StreamingQuery:
     """Run a stream of events (or of captured messages, with ``prepare``) out.
 
-    ``prepare`` turns a micro-batch into events. ``acked`` and ``quarantine`` are
+    ``prepare`` turns a micro-batch into events, or into events and rejected messages,
+    which go to the quarantine with the rejected events. ``acked`` and ``quarantine`` are
     folders for positions and rejected events. ``on_batch`` is called with the
     delivered events after everything is stored; it may be called again for the
     same batch. A failure anywhere fails the batch, which then runs again.
@@ -110,7 +116,7 @@ def publish_stream(
         require_target(spark, target)
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
-        events = prepare(batch, batch_id) if prepare else batch
+        events, rejects = with_rejects(prepare(batch, batch_id) if prepare else batch)
         events = events.persist()
         try:
             good = publishable(accepted(events))
@@ -118,7 +124,10 @@ def publish_stream(
                 to_messages(good, prefix), f"{target}/batch_id={batch_id}", "overwrite"
             )
             if quarantine is not None:
-                store_batch(rejected(events), quarantine, batch_id)
+                bad = rejected(events)
+                if rejects is not None:
+                    bad = bad.unionByName(rejects, allowMissingColumns=True)
+                store_batch(bad, quarantine, batch_id)
             if acked is not None:
                 store_batch(acked_positions(good), acked, batch_id)
             if on_batch is not None:

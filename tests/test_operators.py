@@ -228,6 +228,23 @@ def test_bootstrap_and_merge(spark):
     assert {r.source: r["count"] for r in both.groupBy("source").count().collect()} == {"a": 5, "b": 4}
 
 
+def test_bootstrap_keys_per_table(spark):
+    base = feed(spark, *[event(None, data=json.dumps({"id": str(i), "doc": "d"})) for i in range(3)],
+                *[event(None, table="orders", data=json.dumps({"no": str(i)})) for i in range(4)],
+                event(None, data='{"id":null}'), event(None, table="plain", data='{"x":"1"}'))
+    live = feed(spark, event(1, data='{"id":0, "doc":"new"}'), event(2, data='{"id":null}'),
+                event(3, "UPDATE", data='{"old":{"id":1, "doc":null}, "new":{"id":1, "doc":"unchanged"}}'),
+                event(4, "DELETE", "orders", data='{"no":2}'), event(5, table="plain", data='{"x":1}'))
+
+    def left(key):
+        return sorted(r.data for r in bootstrap(base, live, key).filter("from_snapshot").collect())
+
+    users = ['{"id": "1", "doc": "d"}', '{"id": "2", "doc": "d"}', '{"id":null}', '{"x":"1"}']
+    assert left(["id"]) == sorted(users + [f'{{"no": "{i}"}}' for i in range(4)])
+    want = sorted(users + [f'{{"no": "{i}"}}' for i in (0, 1, 3)])
+    assert left({"users": ["id"], "public.orders": ["no"]}) == want
+
+
 def test_observed_counts(spark):
     from pyspark.sql import Observation
 

@@ -22,6 +22,7 @@ from changefeed.streaming import (
 )
 from tests.test_operators import EVENTS, event, feed
 from tests.test_sources import BINLOG, binlog_rows
+from changefeed.sources.wal import wal_rejects
 from tests.test_wal import USERS, WAL, ins, rel, upd, wal_of
 
 
@@ -164,3 +165,16 @@ def test_heartbeat_timer(spark, tmp_path):
         query.stop()
     assert {(r.source, r.type, r.lsn) for r in got} == {("s", "HEARTBEAT", "0/2"), ("t", "HEARTBEAT", "0/7")}
     assert {r.idx for r in got if r.source == "s"} >= {1, 2}
+
+
+def test_undecoded_messages_reach_the_quarantine(spark, tmp_path):
+    wal = wal_of(spark, wal_messages())
+    lost = wal.filter("substring(payload, 1, 1) <> X'52'")  # without relation messages nothing is known
+    land(lost, str(tmp_path / "in"), 1, "lsn")
+    publish_stream(
+        stream(spark, str(tmp_path / "in"), WAL), str(tmp_path / "out"), str(tmp_path / "cp"),
+        prepare=wal_decoder(str(tmp_path / "layouts")), quarantine=str(tmp_path / "bad"),
+    ).awaitTermination(120)
+    bad = spark.read.parquet(str(tmp_path / "bad"))
+    want = sorted((r.lsn, r.reject_reason) for r in wal_rejects(lost).collect())
+    assert want and sorted((r.lsn, r.reject_reason) for r in bad.filter("payload is not null").collect()) == want
