@@ -136,17 +136,21 @@ from documents left join kept using (doc_id)
 """
 
 
-def _kd_sql(levels: int = 3) -> str:
-    """``levels`` cuts in two, each at the weighted median of every node's widest dimension."""
-    name = "('0x' || substr(md5({x}), 1, 8))::bigint"
-    crc_table = [0] * 256
+def _crc_table() -> list[int]:
+    table = [0] * 256
     for i in range(256):
         c = i
         for _ in range(8):
             c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
-        crc_table[i] = c
+        table[i] = c
+    return table
+
+
+def _kd_sql(levels: int = 3) -> str:
+    """``levels`` cuts in two, each at the weighted median of every node's widest dimension."""
+    name = "('0x' || substr(md5({x}), 1, 8))::bigint"
     steps = [
-        f"""crc_table as (select {crc_table}::bigint[] as t),
+        f"""crc_table as (select {_crc_table()}::bigint[] as t),
 crc as (
     select distinct text, case when text is null or text = '' then 0 else xor(list_reduce(
         list_prepend(4294967295::bigint, list_transform(range(0, strlen(text)), lambda i: ('0x' || hex(encode(text))[2 * i + 1:2 * i + 2])::bigint)),
@@ -185,4 +189,48 @@ crc as (
     )
 
 
-ORACLE = {"op1_license_scan": _license_sql(), "op2_line_chunks": OP2, "op9_kd_shards": _kd_sql(), "op3_decontaminate": OP3, "op8_rule_cascade": OP8}
+OP13 = rf"""
+with crc_table as (select {_crc_table()}::bigint[] as t),
+turn as (
+    select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+           row_number() over (partition by conv_id order by turn nulls first) as i
+    from conversations where conv_id is not null
+), conv as (
+    select conv_id, conv_id - conv_id % 100 as family, xor(list_reduce(
+        list_prepend(4294967295::bigint, list_transform(range(1, strlen(conv_id::varchar) + 1), lambda p: ascii(substr(conv_id::varchar, p, 1))::bigint)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::bigint) % 6 as h
+    from (select distinct conv_id from turn), crc_table
+), mixed as (
+    select c.conv_id, 0 as own, t.i, t.role, t.text from conv c join turn t on t.conv_id = c.family and t.i <= c.h
+    union all
+    select c.conv_id, 1, t.i, t.role, t.text from conv c join turn t on t.conv_id = c.conv_id and t.i > c.h
+), said as (
+    select conv_id, list(md5(role || chr(0) || text) order by own, i) as seq, list(length(text) order by own, i) as size
+    from mixed group by 1
+), whole as (
+    select conv_id, coalesce(seq, []) as seq, coalesce(size, []) as size from conv left join said using (conv_id)
+), prefix as (
+    select conv_id, d, array_to_string(seq[1:d], ' ') as key, d = len(seq) as ends, case when d = 0 then 0 else size[d] end as size
+    from whole, unnest(range(0, len(seq) + 1)) as t(d)
+), node as (
+    select key, d, min(conv_id) as conv_id, count(*) as n_convs, min(size) as size,
+           sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where ends), '')) as ends_sha256
+    from prefix group by 1, 2
+), parent as (
+    select n.key, u.conv_id as parent_conv_id, u.key as up
+    from node n join whole w on w.conv_id = n.conv_id join node u on u.d = n.d - 1 and u.key = array_to_string(w.seq[1:n.d - 1], ' ')
+), child as (select up as key, count(*) as n_children from parent group by 1),
+below as (
+    select array_to_string(w.seq[1:k], ' ') as key, sum((n.n_convs - 1) * n.size) as saved_tokens, count(*) filter (where c.key is null) as n_leaves
+    from node n join whole w on w.conv_id = n.conv_id left join child c on c.key = n.key, unnest(range(0, n.d + 1)) as t(k)
+    group by 1
+)
+select n.conv_id, n.d as depth, parent_conv_id, n_convs, coalesce(n_children, 0) as n_children, n_leaves,
+       saved_tokens::bigint as saved_tokens, ends_sha256
+from node n left join parent using (key) left join child using (key) join below using (key)
+"""
+
+ORACLE = {
+    "op1_license_scan": _license_sql(), "op2_line_chunks": OP2, "op9_kd_shards": _kd_sql(), "op3_decontaminate": OP3,
+    "op8_rule_cascade": OP8, "op13_prefix_trie": OP13,
+}
