@@ -230,7 +230,38 @@ select n.conv_id, n.d as depth, parent_conv_id, n_convs, coalesce(n_children, 0)
 from node n left join parent using (key) left join child using (key) join below using (key)
 """
 
+def _cluster_sql(rounds: int = 5, centroids: int = 40, width: int = 64) -> str:
+    steps = [
+        f"""kept as (
+    select row_number() over (order by sha256('2:' || vec_id), vec_id) - 1 as r, vec_id,
+           list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+    from embeddings where len(embedding) = {width} and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = {width}
+), cell as materialized (select r, j, v[j] as x from kept, unnest(range(1, {width + 1})) as t(j)),
+mid0 as (select r as c, j, x from cell where r < {centroids})"""
+    ]
+    for k in range(rounds + 1):
+        steps.append(
+            f"""far{k} as materialized (
+    select r, c, sum((cell.x - m.x) * (cell.x - m.x))::bigint as d from cell join mid{k} m using (j) group by 1, 2
+), near{k} as materialized (select r, arg_min(c, (d, c)) as c, min(d) as d from far{k} group by 1)"""
+        )
+        if k < rounds:
+            steps.append(
+                f"""mid{k + 1} as materialized (
+    select m.c, j, coalesce(n.x, m.x) as x from mid{k} m left join (
+        select c, j, ((s - ((s % n) + n) % n) // n)::bigint as x
+        from (select c, j, sum(x)::bigint as s, count(*) as n from near{k} join cell using (r) group by 1, 2)) n using (c, j))"""
+            )
+    return (
+        "with " + ", ".join(steps)
+        + f""", sha as (select c, sha256(string_agg(x::varchar, ',' order by j)) as centroid_sha256 from mid{rounds} group by 1)
+select vec_id, c::int as cluster, d as distance, sum(d) over (partition by c)::bigint as cluster_inertia,
+       sum(d) over ()::bigint as inertia, centroid_sha256
+from near{rounds} join kept using (r) join sha using (c)"""
+    )
+
+
 ORACLE = {
     "op1_license_scan": _license_sql(), "op2_line_chunks": OP2, "op9_kd_shards": _kd_sql(), "op3_decontaminate": OP3,
-    "op8_rule_cascade": OP8, "op13_prefix_trie": OP13,
+    "op8_rule_cascade": OP8, "op12_va_clusters": _cluster_sql(), "op13_prefix_trie": OP13,
 }
