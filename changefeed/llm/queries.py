@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from changefeed.llm.common import table
 import public_tokenizers
 from changefeed.llm import cotraining, kd_shards, licenses, line_chunks, pieces, repair_store, suffix_dedup, va_clusters
+from changefeed.llm.cross_polytope import nearest_neighbours
 from changefeed.llm.prefix_trie import prefix_trie
 from changefeed.llm.decontaminate import find_contamination, judge
 from changefeed.llm.rules import cascade
@@ -87,6 +88,11 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest found of every hundredth vector."""
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op12_va_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cluster of each vector after five exact rounds."""
     return va_clusters.with_inertia(*va_clusters.cluster(table(spark, sf_dir, "embeddings")))
@@ -101,6 +107,6 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_license_scan, op2_line_chunks, op3_decontaminate, op4_repair_tokens, op5_cotraining,
         op6_suffix_dedup, op7_piece_viterbi, op8_rule_cascade, op9_kd_shards, op10_golay_simhash,
-        op12_va_clusters, op13_prefix_trie,
+        op11_cross_polytope, op12_va_clusters, op13_prefix_trie,
     )
 }
