@@ -1,8 +1,8 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 A unit vector is turned by fast pseudo-rotations (three times: random signs, then a
-Hadamard transform) and assigned to the nearest signed axis. ``TABLES`` independent
-rotations give as many tables; ``AXES`` of them joined make one code. A query probes
+Hadamard transform) and assigned to the nearest signed axis. ``AXES`` of them
+joined make a code, and ``TABLES`` independent codes as many tables. A query probes
 in each table the ``PROBES`` codes it is nearest to, in order of the inner product with
 their axes. All rows in a probed bucket are compared with the query, exactly, in
 double precision, and the nearest of all tables' buckets stay.
@@ -14,8 +14,8 @@ probe it. A bucket with more than ``BLOCK`` points is dealt out to blocks of abo
 that size, to each of which its queries are sent, so none is held whole however
 full it is. A block returns its nearest points for each query, never a pair list.
 
-A query whose buckets hold too few points looks into all buckets of the first table,
-that is at every point; so a list is short only if there are too few rows.
+A query whose buckets hold too few points looks into all buckets of a table, that is
+at every point; so a list is short only if there are too few rows.
 
 Cases: vectors that are null, empty or zero, or hold a null, NaN or infinity take no
 part, nor do rows without an id; equal rows count once, rows with one id and different
@@ -37,6 +37,8 @@ TABLES, AXES, PROBES = 4, 1, 24
 BLOCK = 16_384
 QUERIES_EVERY, NEAREST = 100, 10
 SEED = 11
+# More than any table has codes: every bucket is probed.
+EVERY_CODE = 1 << 30
 # Queries compared together, and copies of a query's list where many queries share a vector.
 _TOGETHER, _SALTS = 128, 8
 
@@ -70,19 +72,19 @@ def _nearness(x: np.ndarray, number: int) -> np.ndarray:
     return np.stack([y, -y], axis=2).reshape(len(y), -1)
 
 
-def codes(x: np.ndarray, table: int) -> np.ndarray:
+def codes(x: np.ndarray, table: int, axes: int = AXES) -> np.ndarray:
     """The code of each row in a table."""
     out = np.zeros(len(x), np.int64)
-    for number in range(table * AXES, (table + 1) * AXES):
+    for number in range(table * axes, (table + 1) * axes):
         near = _nearness(x, number)
         out = out * near.shape[1] + near.argmax(axis=1)
     return out
 
 
-def probes(x: np.ndarray, table: int, most: int = PROBES) -> np.ndarray:
+def probes(x: np.ndarray, table: int, most: int = PROBES, axes: int = AXES) -> np.ndarray:
     """The codes each row is nearest to, best first, at most ``most``."""
     found, score = np.zeros((len(x), 1), np.int64), np.zeros((len(x), 1))
-    for number in range(table * AXES, (table + 1) * AXES):
+    for number in range(table * axes, (table + 1) * axes):
         near = _nearness(x, number)
         total = (score[:, :, None] + near[:, None, :]).reshape(len(x), -1)
         names = (found[:, :, None] * near.shape[1] + np.arange(near.shape[1])).reshape(len(x), -1)
@@ -115,18 +117,15 @@ def _by_length(batch: pa.RecordBatch):
         yield int(n), batch.take(pa.array(np.flatnonzero(sizes == n)))
 
 
-def _index(points: DataFrame, of_queries: bool, tables: int, every: bool = False) -> DataFrame:
-    """(n, t, code, point, v, ids): an entry for each table, or for each probe of it (``every``: all codes of table 0)."""
+def _index(points: DataFrame, tables: int, axes: int, most: int | None = None) -> DataFrame:
+    """(n, t, code, point, v, ids): an entry for each table, or with ``most`` for each of so many probes of it."""
 
     def run(batches):
         for whole in batches:
             for n, batch in _by_length(whole):
                 x = _matrix(batch.column(1))
-                for t in range(1 if every else tables):
-                    if not of_queries:
-                        found = codes(x, t)[:, None]
-                    else:
-                        found = probes(x, t, (2 * (1 << max(0, n - 1).bit_length())) ** AXES if every else PROBES)
+                for t in range(tables):
+                    found = codes(x, t, axes)[:, None] if most is None else probes(x, t, most, axes)
                     for at in range(0, len(x), 256):
                         part = found[at : at + 256]
                         rows = batch.take(pa.array(np.repeat(np.arange(at, at + len(part)), part.shape[1])))
@@ -211,18 +210,18 @@ def _blocks(most: int):
     return run
 
 
-def _search(points: DataFrame, queries: DataFrame, most: int, tables: int, every: bool = False) -> DataFrame:
+def _search(points: DataFrame, queries: DataFrame, most: int, tables: int, axes: int, asked: int) -> DataFrame:
     """(point, distance, vec_id): the nearest ids of each query point found in the buckets it probes."""
-    entries = _index(points, False, 1 if every else tables)
+    entries = _index(points, tables, axes)
     bucket = ["n", "t", "code"]
-    asked = _index(queries, True, tables, every)
+    probed = _index(queries, tables, axes, asked)
     sizes = entries.groupBy(*bucket).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     sizes = bounded_broadcast(settle(sizes), 64)
     zero = F.lit(0)
     held = entries.join(sizes, bucket).select(
         *bucket, F.pmod(F.xxhash64("point"), "blocks").cast("int").alias("block"), zero.alias("asks"), "point", "v", "ids"
     )
-    sent = asked.join(sizes, bucket).select(
+    sent = probed.join(sizes, bucket).select(
         *bucket, F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("block"), F.lit(1).alias("asks"), "point", "v", "ids"
     )
     place = [*bucket, "block"]
@@ -239,13 +238,15 @@ def _search(points: DataFrame, queries: DataFrame, most: int, tables: int, every
 
 
 def nearest_neighbours(
-    vectors: DataFrame, every: int = QUERIES_EVERY, most: int = NEAREST, tables: int = TABLES,
-    key: str = "vec_id", vector: str = "embedding", is_query: Column | None = None,
+    vectors: DataFrame, every: int = QUERIES_EVERY, most: int = NEAREST, tables: int = TABLES, axes: int = AXES,
+    asked: int = PROBES, key: str = "vec_id", vector: str = "embedding", is_query: Column | None = None,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``most`` nearest found for each query among all other rows.
 
     Queries are the rows for which ``is_query`` (on vec_id) holds: those with an id
-    divisible by ``every`` unless given.
+    divisible by ``every`` unless given. Codes of ``axes`` rotations make (2 d)**axes
+    buckets of each table, of which a query probes ``asked``: with one, buckets hold
+    hundreds of rows at 10**5 rows; from about 10**8 rows two are due, and more probes.
     """
     rows = settle(_usable(vectors, key, vector))
     asks = F.col("vec_id") % every == 0 if is_query is None else is_query
@@ -257,10 +258,10 @@ def nearest_neighbours(
     )
     asking = rows.filter(asks)
     queries = settle(points.join(asking.select("v").distinct(), "v", "left_semi"))
-    found = settle(_search(points, queries, most + 1, tables))
+    found = settle(_search(points, queries, most + 1, tables, axes, asked))
     full = found.groupBy("point").agg(F.count("*").alias("c")).filter(F.col("c") > most).select("point")
     short = settle(queries.join(full, "point", "left_anti"))
-    more = _search(points, short, most + 1, tables, every=True)
+    more = _search(points, short, most + 1, 1, 1, EVERY_CODE)
     nearest = found.join(short.select("point"), "point", "left_anti").unionByName(more)
     lists = nearest.groupBy("point").agg(F.array_sort(F.collect_list(F.struct("distance", "vec_id"))).alias("near"))
     # many queries may share one vector: its list goes out in copies, they are dealt out among them
