@@ -241,9 +241,10 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return whole
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    # the given tables are one row group each; captured logs are many files
-    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
+def _in_log_order(df: DataFrame, *order: str) -> DataFrame:
+    # the given tables are one row group each; captured logs are many files, one after the other
+    files = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartitionByRange(files, *order).sortWithinPartitions(*order)
 
 
 def _row_messages(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -272,7 +273,7 @@ def captured_wal(spark: SparkSession, sf_dir: str, names: list[str] | None = Non
 
     def write(path: str) -> None:
         rows = [_row_messages(spark, sf_dir, name) for name in chosen]
-        _spread(_union([_announcements(spark), *rows])).write.parquet(path)
+        _in_log_order(_union([_announcements(spark), *rows]), "lsn", "seq").write.parquet(path)
 
     path = stored(spark, "wal-" + "-".join(chosen), sf_dir, write)
     return spark.read.parquet(path)
@@ -351,7 +352,7 @@ def event_wal(spark: SparkSession, sf_dir: str) -> DataFrame:
                                F.lit("_cdc_ddl_log"), ddl_layout),
             )
         ]
-        _spread(_union([changes, again, *first])).write.parquet(path)
+        _in_log_order(_union([changes, again, *first]), "lsn", "seq").write.parquet(path)
 
     path = stored(spark, "event-wal", sf_dir, write)
     return spark.read.parquet(path)
@@ -432,7 +433,7 @@ def captured_binlog(spark: SparkSession, sf_dir: str) -> DataFrame:
                       query=F.lit("ALTER TABLE orders ADD x INT")),
             ]
         )
-        _spread(whole).write.parquet(path)
+        _in_log_order(whole, "seq").write.parquet(path)
 
     path = stored(spark, "binlog", sf_dir, write)
     return spark.read.parquet(path)

@@ -365,17 +365,16 @@ ORACLE: dict[str, str] = {
         _EVENT_WAL, _WITH_CLICK,
     ),
     "wal_merged_layouts": _with(
-        f"""select type, "table", count(*) as events, cast(sum(length(data)) as bigint) as bytes
-        from (select type, event_type as "table", {_event_data()} as data from versions
+        f"""select {_pos_text('pos')} as lsn, type, "table", data, idx
+        from (select pos, type, event_type as "table", {_event_data()} as data, 0 as idx from versions
                 where type in ('INSERT','UPDATE','DELETE') and announced is not null
-            union all select 'TRUNCATE', "table", '{{"options":1}}' from hits
-            union all select type, '', '' from typed where type in ('BEGIN', 'COMMIT')
-            union all select 'INSERT', '_cdc_ddl_log', '{{"id":' || event_id ||
+            union all select pos, 'TRUNCATE', "table", '{{"options":1}}', idx from hits
+            union all select pos, type, '', '', 0 from typed where type in ('BEGIN', 'COMMIT')
+            union all select pos, 'INSERT', '_cdc_ddl_log', '{{"id":' || event_id ||
                 ', "command_tag":"ALTER TABLE", "object_type":"table", "schema_name":"public", '
                 || '"object_identity":"public.' || event_type || '", "query":' ||
                 case when user_id % 2 = 0 then 'null' else '"ALTER TABLE ' || event_type || '"' end
-                || '}}' from typed where type = 'DDL')
-        group by type, "table" """,
+                || '}}', 0 from typed where type = 'DDL')""",
         _EVENT_WAL, _WITH_CLICK, _TRUNCATES.replace("from versions", "from versions2"),
     ),
     "binlog_decode": f"""with {_STAMPED}, {_BINLOG_EVENTS}

@@ -389,11 +389,9 @@ def wal_unknown_relations(spark, sf):
 
 @query
 def wal_merged_layouts(spark, sf):
-    """The same decode without any broadcast: layouts carried along the log."""
+    """The same decode without a broadcast of versions: layouts carried along the log."""
     events = decode_wal(fixtures.event_wal(spark, sf), broadcast=False)
-    return events.groupBy("type", "table").agg(
-        F.count("*").alias("events"), F.sum(F.length("data")).alias("bytes")
-    )
+    return events.select("lsn", "type", "table", "data", "idx")
 
 
 # --- captured binlog events ----------------------------------------------------

@@ -11,7 +11,7 @@ import struct
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changefeed.functions.json_text import bare_quote, json_quote
@@ -31,7 +31,9 @@ from changefeed.functions.values import (
 )
 from changefeed.operators.ddl import DDL_LOG_TABLE
 from changefeed.operators.envelope import EVENT_COLUMNS, make_event
-from changefeed.operators.ordered import asof_join
+from changefeed.operators.log_scan import carry_along
+from changefeed.operators.ordered import asof_join, is_small
+from changefeed.session import settle
 from changefeed.sources.tuples import row_tuples
 
 # Message type bytes.
@@ -42,6 +44,10 @@ KNOWN_MESSAGES = [BEGIN, COMMIT, INSERT, UPDATE, DELETE, TRUNCATE]
 UNKNOWN_RELATION = "unknown relation"
 CUT_SHORT = "truncated message"
 
+REJECT_COLUMNS = [
+    "source", "type", "rel_id", "lsn", "pos_hi", "pos_lo", "seq", "idx", "payload", "reject_reason",
+]
+
 RELATION_SCHEMA = (
     "source string, lsn_pos bigint, seq bigint, timestamp bigint, rel_id bigint, "
     "namespace string, name string, "
@@ -87,44 +93,67 @@ def _relation_fields(body: bytes) -> tuple[int, str, str, list[dict]]:
     return rel_id, namespace.decode("utf-8", "replace"), name.decode("utf-8", "replace"), columns
 
 
+def _layout_or_nothing(payload: bytes) -> tuple:
+    """Fields of a RELATION message; of one cut short at most its id."""
+    try:
+        return _relation_fields(payload[1:])
+    except (struct.error, ValueError):
+        rel_id = struct.unpack_from(">I", payload, 1)[0] if len(payload) >= 5 else None
+        return rel_id, None, None, None
+
+
+_LAYOUT = [
+    ("rel_id", pa.int64()),
+    ("namespace", pa.string()),
+    ("name", pa.string()),
+    ("columns", pa.list_(pa.struct([("name", pa.string()), ("typeName", pa.string()), ("typeOid", pa.int64())]))),
+]
+
+
 def _decode_relations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    column = pa.struct(
-        [("name", pa.string()), ("typeName", pa.string()), ("typeOid", pa.int64())]
-    )
-    schema = pa.schema(
-        [
-            ("source", pa.string()),
-            ("lsn_pos", pa.int64()),
-            ("seq", pa.int64()),
-            ("timestamp", pa.int64()),
-            ("rel_id", pa.int64()),
-            ("namespace", pa.string()),
-            ("name", pa.string()),
-            ("columns", pa.list_(column)),
-        ]
-    )
+    """Replace the last column, a RELATION payload, by its fields."""
     for batch in batches:
-        rows = []
-        for row in batch.to_pylist():
-            try:
-                fields = _relation_fields(row.pop("payload")[1:])
-            except (struct.error, ValueError):
-                continue  # cut short: announces nothing, its rows are rejected later
-            row.update(zip(("rel_id", "namespace", "name", "columns"), fields))
-            rows.append(row)
-        yield pa.RecordBatch.from_pylist(rows, schema=schema)
-
-
-def read_relations(wal: DataFrame) -> DataFrame:
-    """Every RELATION message as one row with its column layout."""
-    messages = _with_capture_time(wal).filter(message_type(F.col("payload")) == RELATION)
-    return messages.select(
+        found = [_layout_or_nothing(p.as_py()) for p in batch.columns[-1]]
+        columns = zip(*found) if found else [()] * len(_LAYOUT)
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:-1], *[pa.array(c, kind) for c, (_, kind) in zip(columns, _LAYOUT)]],
+            names=[*batch.schema.names[:-1], *[name for name, _ in _LAYOUT]],
+        )
+
+
+def _announced(wal: DataFrame) -> DataFrame:
+    return _with_capture_time(wal).filter(message_type(F.col("payload")) == RELATION)
+
+
+def read_relations(wal: DataFrame, with_cut: bool = False) -> DataFrame:
+    """Every RELATION message as one row with its column layout.
+
+    ``with_cut`` also keeps messages that end too early, with nulls for their layout:
+    rows after one have no known layout until the next announcement.
+    """
+    found = _announced(wal).select(
         "source",
         F.col("lsn").alias("lsn_pos"),
         F.col("seq").cast("bigint").alias("seq"),
         F.col("captured_at").alias("timestamp"),
         "payload",
     ).mapInArrow(_decode_relations, RELATION_SCHEMA)
+    return found if with_cut else found.filter(F.col("name").isNotNull())
+
+
+def _cut_relations(wal: DataFrame) -> DataFrame:
+    """RELATION messages that end too early, as rejected messages."""
+    lsn = F.col("lsn")
+    return (
+        _announced(wal).select("source", lsn, F.col("seq").cast("bigint").alias("seq"), "payload", F.col("payload").alias("_p"))
+        .mapInArrow(_decode_relations, "source string, lsn bigint, seq bigint, payload binary, " + RELATION_SCHEMA.split("timestamp bigint, ")[1])
+        .filter(F.col("name").isNull())
+        .select(
+            "source", F.lit("RELATION").alias("type"), "rel_id", format_lsn(lsn).alias("lsn"),
+            lsn_high(lsn).alias("pos_hi"), lsn_low(lsn).alias("pos_lo"), "seq", F.lit(0).alias("idx"),
+            "payload", F.lit(CUT_SHORT).alias("reject_reason"),
+        )
+    )
 
 
 def changed_layouts(relations: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
@@ -145,64 +174,115 @@ def changed_layouts(relations: DataFrame, earlier: DataFrame | None = None) -> D
     return marked.filter(~F.col("_print").eqNullSafe(F.col("_prev"))).drop("_print", "_prev")
 
 
-def _layouts(relations: DataFrame) -> DataFrame:
-    """Relations with all that depends on columns only worked out once."""
-    return relations.select(
-        "source",
-        F.col("lsn_pos").alias("lsn"),
-        "seq",
-        "rel_id",
+def _layout_columns() -> list[Column]:
+    """All that depends on columns only, worked out once for each layout."""
+    return [
         "namespace",
         F.col("name").alias("rel_name"),
         F.transform("columns", lambda c: json_key(c["name"])).alias("keys"),
         F.transform("columns", lambda c: c["name"]).alias("names"),
         F.transform("columns", lambda c: pg_kind(c["typeOid"])).alias("kinds"),
-    )
+    ]
+
+
+_LAYOUT_NAMES = ["namespace", "rel_name", "keys", "names", "kinds"]
 
 
 def attach_relations(
     messages: DataFrame, relations: DataFrame, broadcast: bool = True
 ) -> DataFrame:
     """Give each message the newest layout of its relation at its position."""
-    return asof_join(
-        messages,
-        _layouts(relations),
-        ["source", "rel_id"],
-        ["lsn", "seq"],
-        ["namespace", "rel_name", "keys", "names", "kinds"],
-        broadcast=broadcast,
+    layouts = relations.select("source", F.col("lsn_pos").alias("lsn"), "seq", "rel_id", *_layout_columns())
+    return asof_join(messages, layouts, ["source", "rel_id"], ["lsn", "seq"], _LAYOUT_NAMES, broadcast=broadcast)
+
+
+def _without_repeats(relations: DataFrame) -> DataFrame | None:
+    """The announcements that change a layout, if all of them are few; else None."""
+    relations = settle(relations)
+    if not is_small(relations):
+        return None
+    layout = F.struct("namespace", "name", "columns")
+    earlier = Window.partitionBy("source", "rel_id").orderBy("lsn_pos", "seq")
+    marked = relations.withColumn("_first", F.row_number().over(earlier) == 1).withColumn(
+        "_same", layout.eqNullSafe(F.lag(layout).over(earlier))
     )
+    return marked.filter(F.col("_first") | ~F.col("_same")).drop("_first", "_same")
+
+
+def _interned(wal: DataFrame) -> DataFrame | None:
+    """Messages with their layouts where the log lies in order, without moving a payload.
+
+    Announcements are carried along the log as numbers, one for each different layout;
+    the layouts themselves, of which there are few, are joined last. None if the log is
+    in no order, or has too many layouts.
+    """
+    payload = F.col("payload")
+    number = F.xxhash64(payload)
+    known = _announced(wal).select(number.alias("_layout"), "payload").dropDuplicates(["payload"])
+    known = settle(known.mapInArrow(_decode_relations, f"_layout bigint, {RELATION_SCHEMA.split('timestamp bigint, ')[1]}"))
+    once = known.agg(F.count("*") == F.count_distinct("_layout")).first()[0]
+    if not (once and is_small(known)):
+        return None
+    messages = _messages(wal, [*KNOWN_MESSAGES, RELATION])
+    announces = F.col("kind") == RELATION
+    carried = carry_along(
+        messages, [F.col("lsn"), F.col("seq"), F.col("idx")], ["rel_id"], announces, F.when(announces, number)
+    )
+    if carried is None:
+        return None
+    layouts = known.select("_layout", *_layout_columns())
+    return (
+        carried.filter(~announces).join(F.broadcast(layouts), F.col("_value") == F.col("_layout"), "left")
+        .select(*messages.columns, *_LAYOUT_NAMES)
+    )
+
+
+def _with_layouts(wal: DataFrame, relations: DataFrame | None, broadcast: bool) -> DataFrame:
+    """Messages and their layouts: from a kept catalogue, or from the same log.
+
+    Few layout changes are broadcast. Else they are carried along a log that lies in
+    order; only one in no order is shuffled.
+    """
+    if relations is not None:
+        return attach_relations(_messages(wal), relations, broadcast)
+    changes = _without_repeats(read_relations(wal, with_cut=True)) if broadcast else None
+    if changes is not None:
+        return attach_relations(_messages(wal), changes)
+    found = _interned(wal)
+    if found is None:
+        found = attach_relations(_messages(wal), read_relations(wal, with_cut=True), broadcast=False)
+    return found
 
 
 # --- tuples ----------------------------------------------------------------
 
 
-def _image(cells: Column, keys: Column, kinds: Column, plain: Column) -> Column:
-    def image(quote: Callable[[Column], Column]) -> Column:
-        return json_object(
-            F.transform(
-                cells,
-                lambda cell, i: F.concat(
-                    F.coalesce(F.get(keys, i), positional_key(i)),
-                    render_pg_cell(
-                        cell["m"],
-                        cell["t"].cast("string"),
-                        F.coalesce(F.get(kinds, i), F.lit("text")),
-                        quote,
-                    ),
+def _members(cells: Column, keys: Column, kinds: Column, plain: Column) -> Column:
+    """The cells of a tuple as ``"name":value`` texts."""
+
+    def members(quote: Callable[[Column], Column]) -> Column:
+        return F.transform(
+            cells,
+            lambda cell, i: F.concat(
+                F.coalesce(F.get(keys, i), positional_key(i)),
+                render_pg_cell(
+                    cell["m"],
+                    cell["t"].cast("string"),
+                    F.coalesce(F.get(kinds, i), F.lit("text")),
+                    quote,
                 ),
-            )
+            ),
         )
 
     # whether anything needs escaping is known per row: most rows need nothing
-    return F.when(cells.isNotNull(), F.when(plain, image(bare_quote)).otherwise(image(json_quote)))
+    return F.when(cells.isNotNull(), F.when(plain, members(bare_quote)).otherwise(members(json_quote)))
 
 
 # --- messages --------------------------------------------------------------
 
 
-def _messages(wal: DataFrame) -> DataFrame:
-    """Known messages; TRUNCATE becomes one row per named relation."""
+def _messages(wal: DataFrame, kinds: list[str] = KNOWN_MESSAGES) -> DataFrame:
+    """Messages of some kinds; TRUNCATE becomes one row per named relation."""
     payload = F.col("payload")
     kind = message_type(payload)
     named = F.sequence(F.lit(0).cast("bigint"), _unsigned(payload, 2, 4) - 1)
@@ -212,7 +292,7 @@ def _messages(wal: DataFrame) -> DataFrame:
         F.transform(named, lambda i: _unsigned(payload, i * 4 + 7, 4)),
     )
     relations = (
-        F.when(kind.isin(ROW_MESSAGES), F.array(_unsigned(payload, 2, 4)))
+        F.when(kind.isin([*ROW_MESSAGES, RELATION]), F.array(_unsigned(payload, 2, 4)))
         .when((kind == TRUNCATE) & (_unsigned(payload, 2, 4) != 0), truncated)
         .when(kind == TRUNCATE, F.array().cast("array<bigint>"))
         .otherwise(F.array(F.lit(None).cast("bigint")))
@@ -221,7 +301,7 @@ def _messages(wal: DataFrame) -> DataFrame:
     relations = F.coalesce(relations, F.array(F.lit(None).cast("bigint")))
     return (
         _with_capture_time(wal)
-        .filter(kind.isin(KNOWN_MESSAGES))
+        .filter(kind.isin(kinds))
         .select(
             "source",
             "lsn",
@@ -241,10 +321,7 @@ def _decoded(
     capture_ddl: bool,
     broadcast: bool,
 ) -> DataFrame:
-    if relations is None:
-        relations = read_relations(wal)
-    rows = attach_relations(_messages(wal), relations, broadcast)
-
+    rows = _with_layouts(wal, relations, broadcast)
     kind, payload = F.col("kind"), F.col("payload")
     about_table = kind.isin([*ROW_MESSAGES, TRUNCATE])
     is_ddl = F.lit(False)
@@ -274,8 +351,9 @@ def _decoded(
     )
     keys, kinds = F.col("keys"), F.col("kinds")
     plain = F.col("_tuples.plain")
-    image_one = _image(one, keys, kinds, plain)
-    image_two = _image(two, keys, kinds, plain)
+    members_one = _members(one, keys, kinds, plain)
+    members_two = _members(two, keys, kinds, plain)
+    image_one, image_two = json_object(members_one), json_object(members_two)
     old_image = F.when(has_old, image_one)
     new_image = F.when(has_old, image_two).otherwise(image_one)
     data = (
@@ -331,12 +409,35 @@ def _decoded(
         "idx",
         F.when(kind.isin(UPDATE, DELETE) & after_id.isin("K", "O"), after_id).alias("old_kind"),
         F.when(kind.isin(ROW_MESSAGES), unchanged).alias("unchanged_cols"),
+        F.when(kind.isin(ROW_MESSAGES), names).alias("names"),
+        F.when(has_old, members_one).alias("old_members"),
+        F.when(kind.isin(ROW_MESSAGES), F.when(has_old, members_two).otherwise(members_one)).alias("members"),
         "rel_id",
         "payload",
         "reject_reason",
     )
 
 
+def decode_messages(
+    wal: DataFrame,
+    relations: DataFrame | None = None,
+    tables: Iterable[str] | None = None,
+    capture_ddl: bool = False,
+    broadcast: bool = True,
+) -> DataFrame:
+    """Events and rejected messages in one table, told apart by ``reject_reason``.
+
+    Every message of a known kind is one or the other, also a RELATION message that
+    ends too early (type RELATION).
+    """
+    rows = _decoded(wal, relations, tables, capture_ddl, broadcast)
+    decoded = rows.select(
+        *EVENT_COLUMNS, "old_kind", "unchanged_cols",
+        *[F.when(F.col("reject_reason").isNotNull(), F.col(c)).alias(c) for c in ("rel_id", "payload")], "reject_reason",
+    )
+    return decoded.unionByName(_cut_relations(wal), allowMissingColumns=True)
+
+
 def decode_wal(
     wal: DataFrame,
     relations: DataFrame | None = None,
@@ -362,10 +463,25 @@ def wal_rejects(
     relations: DataFrame | None = None,
     tables: Iterable[str] | None = None,
     broadcast: bool = True,
+    capture_ddl: bool = False,
 ) -> DataFrame:
     """Messages that yield no event, with the reason and the raw payload."""
+    rows = _decoded(wal, relations, tables, capture_ddl, broadcast)
+    rejects = rows.filter(F.col("reject_reason").isNotNull()).select(*REJECT_COLUMNS)
+    return rejects.unionByName(_cut_relations(wal))
+
+
+def decode_images(
+    wal: DataFrame,
+    relations: DataFrame | None = None,
+    tables: Iterable[str] | None = None,
+    broadcast: bool = True,
+) -> DataFrame:
+    """Row events with their images in parts: ``names``, ``members`` and ``old_members``.
+
+    A member is the ``"name":value`` text of one cell; ``members`` is the newest image.
+    """
     rows = _decoded(wal, relations, tables, False, broadcast)
-    return rows.filter(F.col("reject_reason").isNotNull()).select(
-        "source", "type", "rel_id", "lsn", "pos_hi", "pos_lo", "seq", "idx", "payload",
-        "reject_reason",
+    return rows.filter(F.col("reject_reason").isNull() & F.col("type").isin("INSERT", "UPDATE", "DELETE")).select(
+        *EVENT_COLUMNS, "old_kind", "unchanged_cols", "names", "members", "old_members"
     )

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from changefeed.functions.positions import combined_position
 from changefeed.operators.transactions import assign_transactions
 from changefeed.sources.binlog import current_files, decode_binlog, stamp_binlog_file
-from changefeed.sources.wal import RELATION_SCHEMA, changed_layouts, decode_wal, read_relations, wal_rejects
+from changefeed.sources.wal import RELATION_SCHEMA, changed_layouts, decode_messages, read_relations
 from changefeed.streaming.publish import load_batches, store_batch, with_rejects
 
-# Events alone, or events and rejected messages.
+# Events alone, events and rejected messages, or both in one table with a ``reject_reason``.
 Prepare = Callable[[DataFrame, int], DataFrame | tuple[DataFrame, DataFrame]]
 
 FILE_SCHEMA = "source string, file string"
@@ -32,17 +32,17 @@ def wal_decoder(
 
     New layouts are stored before the rows are decoded, so a layout and its rows
     may arrive in one batch. Repeated announcements are not stored: the catalogue
-    grows with schema changes only. Messages that yield no event come second.
+    grows with schema changes only. Messages that yield no event have a ``reject_reason``.
     """
 
-    def prepare(batch: DataFrame, batch_id: int) -> tuple[DataFrame, DataFrame]:
+    def prepare(batch: DataFrame, batch_id: int) -> DataFrame:
         spark = batch.sparkSession
         earlier = load_batches(spark, catalogue, RELATION_SCHEMA, before=batch_id)
-        new = changed_layouts(read_relations(batch), earlier.drop("batch_id"))
+        new = changed_layouts(read_relations(batch, with_cut=True), earlier.drop("batch_id"))
         store_batch(new, catalogue, batch_id)
         known = load_batches(spark, catalogue, RELATION_SCHEMA, before=batch_id + 1)
         known = known.drop("batch_id")
-        return decode_wal(batch, known, tables, capture_ddl), wal_rejects(batch, known, tables)
+        return decode_messages(batch, known, tables, capture_ddl)
 
     return prepare
 

@@ -19,6 +19,7 @@ from changefeed.operators.delivery import acked_positions
 from changefeed.operators.envelope import to_messages
 from changefeed.operators.filters import publishable
 from changefeed.operators.validation import accepted, rejected
+from changefeed.sources.wal import REJECT_COLUMNS
 
 ACKED_SCHEMA = "source string, lsn string, pos_hi bigint, pos_lo bigint"
 
@@ -88,7 +89,15 @@ def load_acked(spark: SparkSession, path: str) -> DataFrame:
 
 def with_rejects(prepared) -> tuple[DataFrame, DataFrame | None]:
     """What a ``prepare`` returned, as events and rejected messages."""
-    return prepared if isinstance(prepared, tuple) else (prepared, None)
+    if isinstance(prepared, tuple):
+        return prepared
+    if "reject_reason" not in prepared.columns:
+        return prepared, None
+    good = F.col("reject_reason").isNull()
+    return (
+        prepared.filter(good).drop("rel_id", "payload", "reject_reason"),
+        prepared.filter(~good).select(*[c for c in REJECT_COLUMNS if c in prepared.columns]),
+    )
 
 
 def publish_stream(
@@ -116,8 +125,10 @@ def publish_stream(
         require_target(spark, target)
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
-        events, rejects = with_rejects(prepare(batch, batch_id) if prepare else batch)
-        events = events.persist()
+        prepared = prepare(batch, batch_id) if prepare else batch
+        # both sides of one table are decoded once
+        held = (prepared[0] if isinstance(prepared, tuple) else prepared).persist()
+        events, rejects = with_rejects(prepared)
         try:
             good = publishable(accepted(events))
             _write_messages(
@@ -133,7 +144,7 @@ def publish_stream(
             if on_batch is not None:
                 on_batch(good, batch_id)
         finally:
-            events.unpersist()
+            held.unpersist()
 
     return (
         df.writeStream.foreachBatch(deliver)
