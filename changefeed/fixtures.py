@@ -283,7 +283,7 @@ EVENT_RELATIONS = ["click", "error", "purchase", "signup", "view"]
 _DDL_RELATION = 99
 
 
-def event_wal(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_wal_path(spark: SparkSession, sf_dir: str) -> str:
     """A mixed message stream, one or two messages per row of ``events``.
 
     Markers, row changes, truncates of two relations and DDL log rows follow the
@@ -354,8 +354,51 @@ def event_wal(spark: SparkSession, sf_dir: str) -> DataFrame:
         ]
         _in_log_order(_union([changes, again, *first]), "lsn", "seq").write.parquet(path)
 
-    path = stored(spark, "event-wal", sf_dir, write)
-    return spark.read.parquet(path)
+    return stored(spark, "event-wal", sf_dir, write)
+
+
+def event_wal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages of ``event_wal_path``."""
+    return spark.read.parquet(event_wal_path(spark, sf_dir))
+
+
+def damaged_wal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_wal`` with every seventh announcement and every other DDL row cut short."""
+    payload, event_id = F.col("payload"), F.call_function("div", F.col("lsn") - 16777216, F.lit(1000003))
+    kind = F.substring(payload, 1, 1).cast("string")
+    is_ddl = (kind == "I") & (F.hex(F.substring(payload, 2, 4)) == F.lpad(F.hex(F.lit(_DDL_RELATION)), 8, "0"))
+    cut = ((kind == "R") & (F.col("lsn") > 1) & (event_id % 140 == 0)) | (is_ddl & (event_id % 2 == 0))
+    return event_wal(spark, sf_dir).withColumn(
+        "payload", F.when(cut, F.substring(payload, F.lit(1), F.octet_length(payload) - 3)).otherwise(payload)
+    )
+
+
+_NOTES_RELATION = 50
+
+
+def notes_wal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates of one row per user of ``events``, most of which leave values out.
+
+    ``props`` is sent with every third event, ``value`` not with every fifth.
+    """
+
+    def write(path: str) -> None:
+        rows = table(spark, sf_dir, "events")
+        left_out = byte("u")
+        cells = [
+            cell(_text("user_id")),
+            F.when(F.col("event_id") % 5 == 0, left_out).otherwise(cell(_money("value"))),
+            F.when(F.col("event_id") % 3 == 0, cell(F.col("props"))).otherwise(left_out),
+        ]
+        payload = F.concat(byte("U"), be(F.lit(_NOTES_RELATION), 4), byte("N"), tuple_bytes(cells))
+        layout = [(F.lit("id"), 20), (F.lit("value"), 1700), (F.lit("props"), 3802)]
+        first = _captured(
+            spark.range(1), F.lit(1), relation_bytes(F.lit(_NOTES_RELATION), F.lit("public"), F.lit("notes"), layout)
+        )
+        changes = _captured(rows, F.col("event_id") * 1000003 + 16777216, payload)
+        _in_log_order(first.unionByName(changes), "lsn", "seq").write.parquet(path)
+
+    return spark.read.parquet(stored(spark, "notes-wal", sf_dir, write))
 
 
 # --- captured binlog events --------------------------------------------------

@@ -84,10 +84,10 @@ def to_envelope_json() -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "true"})
 
 
-def to_messages(df: DataFrame, prefix: Column | str = DEFAULT_PREFIX) -> DataFrame:
+def to_messages(df: DataFrame, prefix: Column | str = DEFAULT_PREFIX, keep: list[str] | None = None) -> DataFrame:
     """Events as ``key`` (subject), ``value`` (envelope JSON) and ``headers``.
 
-    This is the row shape message-bus sinks of Spark expect.
+    This is the row shape message-bus sinks of Spark expect; ``keep`` columns stay beside it.
     """
     address = subject(F.col("schema"), F.col("table"), prefix)
     headers = F.array(
@@ -95,7 +95,7 @@ def to_messages(df: DataFrame, prefix: Column | str = DEFAULT_PREFIX) -> DataFra
         F.struct(F.lit("lsn").alias("key"), F.encode("lsn", "UTF-8").alias("value")),
     )
     return df.select(
-        address.alias("key"), to_envelope_json().alias("value"), headers.alias("headers")
+        address.alias("key"), to_envelope_json().alias("value"), headers.alias("headers"), *(keep or [])
     )
 
 

@@ -156,7 +156,7 @@ class _Carried:
         self.runs: dict[tuple, int] = {}
         self.marks: dict[tuple, tuple[list, list]] = {}
         self.ordered = True
-        starts = sorted({r[:7] for r in rows})
+        starts = sorted(r[:7] for r in rows if r[7 + n_on] is None)
         previous = None
         for number, r in enumerate(starts):
             if previous is not None and previous[0] == r[0] and not previous[4:7] < r[1:4]:

@@ -490,4 +490,71 @@ ORACLE: dict[str, str] = {
             select 'postgres' as source, "schema", "table", type from pub
             union all select 'mysql', "schema", "table", type from binlog where type <> 'COMMIT')
         group by source, "schema", "table", type""",
+    "wal_damaged": _with(
+        f"""select {_pos_text('pos')} as lsn, type, cast(rel_id as bigint) as rel_id, idx, reject_reason from (
+            select pos + 1 as pos, 'RELATION' as type, list_position(['click','error','purchase','signup','view'], event_type) + 9
+                as rel_id, 0 as idx, 'truncated message' as reject_reason from marks where event_id % 140 = 0
+            union all select pos, 'DDL', 99, 0, 'truncated message' from typed where type = 'DDL' and event_id % 2 = 0
+            union all select pos, type, list_position(['click','error','purchase','signup','view'], event_type) + 9, 0,
+                'unknown relation' from versions where type in ('INSERT','UPDATE','DELETE','TRUNCATE')
+                and (announced is null or announced % 140 = 0)
+            union all select pos, type, 77, 2, 'unknown relation' from versions where type = 'TRUNCATE'
+            union all select pos, type, 10, 1, 'unknown relation' from versions v where type = 'TRUNCATE' and coalesce(
+                (select max(m.event_id) from marks m where m.event_type = 'click' and m.event_id < v.event_id), 0) % 140 = 0)""",
+        _EVENT_WAL,
+    ),
+    "log_source": _with("""
+        select lsn, type, '' as "schema", '' as "table", '' as data,
+            case type when 'BEGIN' then "timestamp" else 0 end as "sourceTimestamp"
+        from feed where type in ('BEGIN', 'COMMIT') and pos > 2000000000"""),
+    "filled_images": f"""
+        with sent as (select event_id, event_id * 1000003 + 16777216 as pos, user_id,
+                case when event_id % 5 <> 0 then cast(cast(value as decimal(12,2)) as varchar) end as v,
+                case when event_id % 3 = 0 then props end as p from events),
+        known as (select *, last_value(v ignore nulls) over w as value, last_value(p ignore nulls) over w as props
+            from sent window w as (partition by user_id order by event_id rows between unbounded preceding and current row))
+        select {_pos_text('pos')} as lsn, 'notes' as "table",
+            '{{"new":{{"id":' || user_id || ', "value":' || coalesce(value, '"unchanged"') || ', "props":' ||
+            coalesce(props, '"unchanged"') || '}}}}' as data,
+            concat_ws(',', case when value is null then 'value' end, case when props is null then 'props' end) as unchanged
+        from known""",
+    "dump_lines": """
+        with dumped as (
+            select 0 as rank, 'customer' as "table", c_custkey as key from customer
+            union all select 1, 'orders', o_orderkey from orders
+            union all select 2, 'documents', doc_id from documents),
+        lines as (
+            select key % 8 as part, rank, "table", key, key as place from dumped
+            union all select part, rank, null, null, place from range(8) p(part), range(3) r(rank),
+                (values (-1), (4611686018427387904), (4611686018427387905)) m(place)),
+        numbered as (select *, row_number() over (order by part, rank, place) - 1 as seq from lines)
+        select "table", key, seq, 0 as idx from numbered where "table" is not null""",
+    "subject_index": _with(r"""
+        select pattern, 'reads ' || pattern as subscriber, count(*) as events, min(lsn) as first_lsn,
+            cast(sum(event_id) as bigint) as seqs
+        from (select distinct pattern from (
+                select distinct subject, unnest([
+                    '*.' || split_part(subject, '.', 2) || '.' || split_part(subject, '.', 3),
+                    split_part(subject, '.', 1) || '.*.' || split_part(subject, '.', 3),
+                    split_part(subject, '.', 1) || '.' || split_part(subject, '.', 2) || '.*',
+                    '>', split_part(subject, '.', 1) || '.>',
+                    split_part(subject, '.', 1) || '.' || split_part(subject, '.', 2) || '.>', subject]) as pattern from named))
+            join named on regexp_full_match(subject,
+                replace(replace(replace(pattern, '.', '\.'), '*', '[^.]+'), '>', '.+'))
+        group by pattern"""),
+    "publish_roundtrip": _with("""
+        select n.subject, n.type, n."schema", n."table", n.data, n.lsn, n."timestamp"
+        from named n join pub p on p.event_id = n.event_id"""),
+    "audit_snapshot": """
+        select 'db0' as source, count(*) as expected,
+            count(*) filter (where c_nationkey <> 3) + count(*) filter (where c_nationkey = 5) as delivered,
+            count(*) filter (where c_nationkey <> 3) as distinct_delivered,
+            count(*) filter (where c_nationkey = 5) as duplicates,
+            count(*) filter (where c_nationkey = 3) as missing, cast(0 as bigint) as unexpected
+        from customer""",
+    "resume_snapshot": _with(f"""
+        select source, "schema", "table", lsn, data from feed f where source <> 'db2' and pos > (
+            select max(pos) from pub p where p.source = f.source and p."timestamp" < 1705276800000 and p.source <> 'db2')
+        union all select 'db0', 'public', 'nation', '', {_object([
+            ("n_nationkey", _text("n_nationkey")), ("n_name", _text("n_name")), ("n_regionkey", _text("n_regionkey"))])} from nation"""),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,15 +52,17 @@ from changefeed.operators import (
 )
 from changefeed.operators.envelope import ENVELOPE
 from changefeed.plans import live_mysql, live_postgres, start_feed, subject_counts
-from changefeed.session import configure
+from changefeed.session import configure, gone_at_exit, shared_dir
 from changefeed.sources import (
     chunk_at,
     decode_binlog,
+    decode_images,
     decode_wal,
     dump_position,
     keyset_chunks,
     next_chunk,
     offset_chunks,
+    read_log,
     read_mysql_dump,
     read_pg_dump,
     read_relations,
@@ -68,6 +71,10 @@ from changefeed.sources import (
     wal_rejects,
 )
 
+from changefeed.operators.subscriptions import subscribe
+from changefeed.operators.unchanged import fill_unchanged
+from changefeed.streaming import publish, read_published
+
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
@@ -197,6 +204,26 @@ def route_everything(spark, sf):
     return route_all(accepted(_feed(spark, sf)), "audit").select("subscriber", "lsn", "type")
 
 
+@query
+def subject_index(spark, sf):
+    """All patterns that one star or a tail makes of every subject, matched at once."""
+    rows = add_subject(_feed(spark, sf))
+    tokens = F.split("subject", r"\.")
+    starred = F.transform(
+        F.sequence(F.lit(0), F.size(tokens) - 1),
+        lambda k: F.array_join(F.transform(tokens, lambda t, i: F.when(i == k, "*").otherwise(t)), "."),
+    )
+    tails = F.transform(
+        F.sequence(F.lit(0), F.size(tokens) - 1),
+        lambda k: F.array_join(F.concat(F.slice(tokens, F.lit(1), k), F.array(F.lit(">"))), "."),
+    )
+    patterns = rows.select(F.explode(F.concat(starred, tails, F.array("subject"))).alias("pattern")).distinct()
+    subscriptions = patterns.select(F.concat(F.lit("reads "), "pattern").alias("subscriber"), "pattern")
+    return subscribe(rows, subscriptions).groupBy("pattern", "subscriber").agg(
+        F.count("*").alias("events"), F.min("lsn").alias("first_lsn"), F.sum("seq").alias("seqs")
+    )
+
+
 # --- positions -----------------------------------------------------------------
 
 
@@ -394,6 +421,29 @@ def wal_merged_layouts(spark, sf):
     return events.select("lsn", "type", "table", "data", "idx")
 
 
+@query
+def wal_damaged(spark, sf):
+    """Cut announcements and DDL rows come out as rejects, and so do rows whose layout is lost."""
+    return wal_rejects(fixtures.damaged_wal(spark, sf), capture_ddl=True).select(
+        "lsn", "type", "rel_id", "idx", "reject_reason"
+    )
+
+
+@query
+def log_source(spark, sf):
+    """Markers past a position, read from the log's files by their own data source."""
+    log = read_log(spark, fixtures.event_wal_path(spark, sf), kinds=["B", "C"], after=2_000_000_000)
+    return decode_wal(log).select("lsn", "type", "schema", "table", "data", "sourceTimestamp")
+
+
+@query
+def filled_images(spark, sf):
+    """Values that updates left out, taken from the last message that had them."""
+    images = decode_images(fixtures.notes_wal(spark, sf))
+    filled = fill_unchanged(images, {"notes": ["id"]})
+    return filled.select("lsn", "table", "data", F.array_join("unchanged_cols", ",").alias("unchanged"))
+
+
 # --- captured binlog events ----------------------------------------------------
 
 
@@ -437,6 +487,14 @@ def dump_positions(spark, sf):
     return found.select("log_file", "log_pos", "pos_hi")
 
 
+@query
+def dump_lines(spark, sf):
+    """Every dumped row with the number of its line in the whole dump."""
+    events = read_pg_dump(spark, fixtures.pg_dump_path(spark, sf))
+    key = F.regexp_extract("data", r'^\{"[a-z_]+":"([0-9]+)"', 1).cast("bigint")
+    return events.select("table", key.alias("key"), "seq", "idx")
+
+
 # --- DDL and schema history ----------------------------------------------------
 
 
@@ -552,7 +610,7 @@ def _delivered_before(spark, sf):
 
 @query
 def resume_after(spark, sf):
-    rest = resume_from(_feed(spark, sf), acked_positions(_delivered_before(spark, sf)))
+    rest = resume_from(_feed(spark, sf), acked_positions(_delivered_before(spark, sf)), "earliest")
     return rest.select("source", "lsn")
 
 
@@ -598,3 +656,34 @@ def merge_two_databases(spark, sf):
     my = decode_binlog(stamp_binlog_file(fixtures.captured_binlog(spark, sf)))
     both = merge_feeds({"postgres": pg, "mysql": publishable(accepted(my))})
     return both.groupBy("source", "schema", "table", "type").agg(F.count("*").alias("events"))
+
+
+@query
+def publish_roundtrip(spark, sf):
+    """Two batches published, the first one twice, and what readers see of them."""
+    target = f"{shared_dir(spark)}/published-{uuid.uuid4().hex}"
+    early = F.col("seq") % 3 == 0
+    for batch, rows in (("a", early), ("a", early), ("b", ~early)):
+        publish(_feed(spark, sf).filter(rows), target, batch=batch)
+    gone_at_exit(spark, target)
+    events, _ = parse_envelope(read_published(spark, target))
+    return events.select("subject", "type", "schema", "table", "data", "lsn", "timestamp")
+
+
+@query
+def audit_snapshot(spark, sf):
+    """Equal rows of a table without a key, some lost and some delivered twice."""
+    rows = fixtures.table(spark, sf, "customer").select("c_nationkey", "c_mktsegment")
+    events = rows_to_events(rows, "public", "customer", source="db0")
+    nation = F.get_json_object("data", "$.c_nationkey").cast("int")
+    arrived = events.filter(nation != 3).unionByName(events.filter(nation == 5))
+    return delivery_audit(events, arrived)
+
+
+@query
+def resume_snapshot(spark, sf):
+    """Snapshot rows have no position: none of them counts as delivered."""
+    nations = rows_to_events(fixtures.table(spark, sf, "nation"), "public", "nation", source="db0")
+    whole = _feed(spark, sf).unionByName(nations)
+    rest = resume_from(whole, acked_positions(_delivered_before(spark, sf)))
+    return rest.select("source", "schema", "table", "lsn", "data")

@@ -50,6 +50,13 @@ def gone_at_exit(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none if it is missing."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in system.listStatus(where)] if system.exists(where) else []
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into reliable storage and go on from there."""
     spark = df.sparkSession

@@ -65,16 +65,41 @@ def _object(tuple_text: Column, names: Column) -> Column:
     )
 
 
-def _statements(lines: DataFrame) -> DataFrame:
+UNREAD = "unread text in statement"
+NO_PLAIN_INSERT = "no plain insert"
+WRONG_COUNT = "wrong number of values"
+UNREAD_VALUE = "unread text in tuple"
+
+
+def _inserts(lines: DataFrame) -> DataFrame:
+    """Lines that begin an INSERT, with their table and the text after the head."""
     # A line that records a log position is never also a statement.
     text = F.col("value")
-    return lines.filter(
-        text.startswith("INSERT INTO `") & text.rlike(INSERT_HEAD) & ~text.rlike(LOG_POSITION)
-    ).select(
-        "file", "block", "line",
-        F.regexp_extract("value", INSERT_HEAD, 1).alias("table"),
-        F.regexp_replace("value", INSERT_HEAD, "").alias("body"),
+    head = F.nullif(F.regexp_extract("value", INSERT_HEAD, 1), F.lit(""))
+    return lines.filter(text.startswith("INSERT INTO ") & ~text.rlike(LOG_POSITION)).select(
+        "file", "line", "value", head.alias("table"), F.regexp_replace("value", INSERT_HEAD, "").alias("body"),
+    )
+
+
+def _names(columns: Mapping[str, list[str]] | None) -> Column:
+    names = F.lit(None).cast("array<string>")
+    for table, listed in (columns or {}).items():
+        names = F.when(F.col("table") == table, F.array(*[F.lit(name) for name in listed])).otherwise(names)
+    return names
+
+
+def _tuples(statements: DataFrame, columns: Mapping[str, list[str]] | None) -> DataFrame:
+    """One row per value tuple; ``reject_reason`` tells those that yield no event."""
+    tuples = statements.select(
+        "file", "table", "line", _names(columns).alias("_names"),
+        F.posexplode(F.regexp_extract_all("body", F.lit(TUPLE), F.lit(0))).alias("idx", "_tuple"),
     )
+    tuples = tuples.withColumn("_n", F.size(F.regexp_extract_all("_tuple", F.lit(VALUE), F.lit(0))))
+    # without its values a tuple is commas in parentheses, one fewer than values
+    frame = F.regexp_replace(F.regexp_replace("_tuple", VALUE, ""), r"\s+", "")
+    whole = frame == F.concat(F.lit("("), F.repeat(F.lit(","), F.greatest(F.col("_n") - 1, F.lit(0))), F.lit(")"))
+    reason = F.when(~whole, UNREAD_VALUE).when(F.col("_names").isNotNull() & (F.size("_names") != F.col("_n")), WRONG_COUNT)
+    return tuples.withColumn("reject_reason", reason)
 
 
 def read_mysql_dump(
@@ -88,20 +113,12 @@ def read_mysql_dump(
 ) -> DataFrame:
     """One INSERT event per value tuple.
 
-    Values are named ``col_i`` unless ``columns`` lists a table's names.
+    Values are named ``col_i`` unless ``columns`` lists a table's names; then a tuple
+    needs as many values. ``seq`` is the number of the line in the whole dump, ``idx``
+    that of the tuple in it. What yields no event is told by ``mysql_dump_rejects``.
     """
-    statements = filter_tables(_statements(read_lines(spark, path)), tables)
-    names = F.lit(None).cast("array<string>")
-    for table, listed in (columns or {}).items():
-        names = F.when(
-            F.col("table") == table, F.array(*[F.lit(name) for name in listed])
-        ).otherwise(names)
-    tuples = statements.select(
-        "table",
-        "line",
-        names.alias("_names"),
-        F.posexplode(F.regexp_extract_all("body", F.lit(TUPLE), F.lit(0))).alias("idx", "_tuple"),
-    )
+    inserts = _inserts(read_lines(spark, path)).filter(F.col("table").isNotNull())
+    tuples = _tuples(filter_tables(inserts, tables), columns).filter(F.col("reject_reason").isNull())
     data = _object(F.col("_tuple"), F.col("_names"))
     event = make_event("INSERT", schema, F.col("table"), data, "", timestamp)
     nothing = F.lit(None).cast("bigint")
@@ -115,6 +132,33 @@ def read_mysql_dump(
     ).select(*EVENT_COLUMNS)
 
 
+def mysql_dump_rejects(
+    spark: SparkSession,
+    path: str,
+    tables: Iterable[str] | None = None,
+    columns: Mapping[str, list[str]] | None = None,
+) -> DataFrame:
+    """What the INSERT lines of a dump hold beside events: (file, line, idx, table, value, reject_reason).
+
+    Whole statements whose head is not understood, tuples with text that is no value or
+    with a wrong number of values, and what is left of a statement without its tuples.
+    """
+    inserts = _inserts(read_lines(spark, path))
+    known = filter_tables(inserts.filter(F.col("table").isNotNull()), tables)
+    none = F.lit(None).cast("int").alias("idx")
+    odd = inserts.filter(F.col("table").isNull()).select(
+        "file", "line", none, "table", "value", F.lit(NO_PLAIN_INSERT).alias("reject_reason")
+    )
+    rest = F.trim(F.regexp_replace("body", TUPLE, ""))
+    unread = known.withColumn("_rest", rest).filter(~F.col("_rest").rlike(r"^(\s*,\s*)*;?$")).select(
+        "file", "line", none, "table", F.col("_rest").alias("value"), F.lit(UNREAD).alias("reject_reason")
+    )
+    bad = _tuples(known, columns).filter(F.col("reject_reason").isNotNull()).select(
+        "file", "line", "idx", "table", F.col("_tuple").alias("value"), "reject_reason"
+    )
+    return odd.unionByName(unread).unionByName(bad)
+
+
 def dump_position(spark: SparkSession, path: str) -> DataFrame:
     """The last log position each dump file records, where streaming starts.
 
@@ -122,11 +166,11 @@ def dump_position(spark: SparkSession, path: str) -> DataFrame:
     """
     lines = read_lines(spark, path).filter(F.col("value").rlike(LOG_POSITION))
     found = lines.select(
-        "file", "block", "line",
+        "file", "line",
         F.regexp_extract("value", LOG_POSITION, 1).alias("log_file"),
         F.regexp_extract("value", LOG_POSITION, 2).cast("bigint").alias("log_pos"),
     )
-    last = F.max_by(F.struct("log_file", "log_pos"), F.struct("block", "line"))
+    last = F.max_by(F.struct("log_file", "log_pos"), F.col("line"))
     return (
         found.groupBy("file")
         .agg(last.alias("_p"))

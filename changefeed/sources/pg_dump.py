@@ -16,8 +16,8 @@ from changefeed.functions.json_text import json_quote
 from changefeed.functions.values import json_key, json_object
 from changefeed.operators.envelope import EVENT_COLUMNS, make_event
 from changefeed.operators.filters import filter_tables
-from changefeed.operators.ordered import asof_join, is_small, running_number
-from changefeed.session import compute_once, settle
+from changefeed.operators.ordered import asof_join, is_small, lookup_join, running_number
+from changefeed.session import settle
 from changefeed.sources.snapshot import IDENTIFIER, position_halves
 
 # The block header, the closing line and the null mark.
@@ -33,12 +33,14 @@ COPY_ESCAPES = [
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their place: file, byte offset of the split, row in the split.
+    """Lines with their number in the whole dump: value, file, line (from 0).
 
-    Splits of one file ascend by offset and rows ascend inside a split, so
-    ``(block, line)`` is the order of the lines in the file.
+    Files follow each other by name. A first scan counts the lines of each split; a
+    line's number is what splits before it hold and its place in its own, so it is the
+    same however the files are cut, and no line is shuffled to be numbered. Both
+    scans must cut the files alike; a line outside its split's count fails the query.
     """
-    return (
+    cut = (
         spark.read.option("lineSep", "\n")
         .text(path)
         .select(
@@ -47,9 +49,17 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
             .alias("value"),
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
+            F.monotonically_increasing_id().alias("_id"),
         )
     )
+    # one row for each split
+    splits = settle(cut.groupBy("file", "block").agg(F.min("_id").alias("_first"), F.count("*").alias("_n")))
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    place = F.col("_id") - F.col("_first")
+    moved = F.raise_error(F.lit("input splits changed between two scans")).cast("bigint")
+    line = F.when(place.between(0, F.col("_n") - 1), F.col("_start") + place).otherwise(moved)
+    return lookup_join(cut, starts, ["file", "block"], "left").select("value", "file", line.alias("line"))
 
 
 def copy_blocks(lines: DataFrame) -> DataFrame:
@@ -65,7 +75,7 @@ def copy_blocks(lines: DataFrame) -> DataFrame:
             "_ends", F.col("value") == COPY_END
         )
     )
-    order = ["block", "line"]
+    order = ["line"]
     ends = marks.filter("_ends")
     if is_small(marks):
         by_file = Window.partitionBy("file").orderBy(*order)
@@ -126,19 +136,11 @@ def _copy_row(value: Column, names: Column, raw: bool) -> Column:
 def _dump_rows(spark: SparkSession, path: str) -> DataFrame:
     lines = read_lines(spark, path)
     blocks = copy_blocks(lines)
-    blocks = blocks.withColumn("mark", F.struct("block", "line"))
-    placed = asof_join(
-        lines, blocks, ["file"], ["block", "line"],
-        ["open", "schema", "table", "names", "mark"],
-    )
-    # The two scans must cut the files alike: a closing line has to find itself.
-    is_end = F.col("value") == COPY_END
-    is_mark = F.col("mark").eqNullSafe(F.struct("block", "line"))
-    keep = F.when(
-        is_end & ~is_mark, F.raise_error(F.lit("input splits changed between two scans"))
-    ).otherwise(F.col("open") & ~is_mark)
-    # kept out of the join condition, where it would be asked of other pairs too
-    return compute_once(placed, "_keep", keep).filter("_keep").drop("mark", "_keep")
+    blocks = blocks.withColumn("mark", F.col("line"))
+    placed = asof_join(lines, blocks, ["file"], ["line"], ["open", "schema", "table", "names", "mark"])
+    # header and closing lines find themselves
+    inside = F.col("open") & ~F.col("mark").eqNullSafe(F.col("line"))
+    return placed.filter(inside).drop("mark")
 
 
 def _good_names() -> Column:
@@ -157,8 +159,8 @@ def read_pg_dump(
     """One INSERT event per data line of every COPY block.
 
     Values are quoted texts with COPY escapes decoded, or as written with
-    ``raw``; short lines end in nulls, surplus values are dropped. ``seq`` and
-    ``idx`` keep the order of the lines in their file.
+    ``raw``; short lines end in nulls, surplus values are dropped. ``seq`` is the line's
+    number in the whole dump, the same for any size of splits.
     """
     rows = filter_tables(_dump_rows(spark, path).filter(_good_names()), tables)
     data = _copy_row(F.col("value"), F.col("names"), raw)
@@ -182,7 +184,7 @@ def pg_dump_rejects(spark: SparkSession, path: str) -> DataFrame:
         _dump_rows(spark, path)
         .filter(~_good_names())
         .select(
-            "file", "block", "line", "schema", "table", "value",
+            "file", "line", "schema", "table", "value",
             F.lit("invalid identifier").alias("reject_reason"),
         )
     )

@@ -105,6 +105,11 @@ def offset_chunks(df: DataFrame, n: int = CHUNK_ROWS) -> DataFrame:
     return _chunk(number_rows(df, df.columns, "_row"), n)
 
 
+def numbered_rows(df: DataFrame, name: str = "row_no") -> DataFrame:
+    """Number the rows of a table without a key, in the order of all its columns."""
+    return number_rows(df, df.columns, name)
+
+
 def _chunk(numbered: DataFrame, n: int) -> DataFrame:
     chunk = F.call_function("div", F.col("_row") - 1, F.lit(n))
     return numbered.withColumn("chunk_id", chunk).drop("_row")
@@ -165,13 +170,15 @@ def rows_to_events(
     timestamp: Column | None = None,
     lsn: str = "",
     keep: list[str] | None = None,
+    number: str | None = None,
 ) -> DataFrame:
     """One INSERT event per row; ``keep`` columns stay beside the event.
 
-    ``lsn`` is the log position the snapshot was taken at, if known.
+    ``lsn`` is the log position the snapshot was taken at, if known. ``number`` names
+    a column that becomes ``seq`` and tells equal rows apart (see ``numbered_rows``).
     """
     kept = keep or []
-    image = df.drop(*kept)
+    image = df.drop(*kept, *([number] if number else []))
     event = make_event("INSERT", schema, table, row_image(image, typed), lsn, timestamp)
     hi, lo = position_halves(F.lit(lsn))
     return df.select(
@@ -179,7 +186,7 @@ def rows_to_events(
         *[value.alias(name) for name, value in event.items()],
         hi.alias("pos_hi"),
         lo.alias("pos_lo"),
-        F.lit(0).cast("bigint").alias("seq"),
+        (F.col(number) if number else F.lit(0)).cast("bigint").alias("seq"),
         F.lit(0).alias("idx"),
         *kept,
     ).select(*EVENT_COLUMNS, *kept)

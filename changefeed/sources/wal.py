@@ -85,7 +85,7 @@ def _relation_fields(body: bytes) -> tuple[int, str, str, list[dict]]:
     columns, rest = [], tail[3:]
     for _ in range(count):
         label, rest = rest[1:].split(b"\0", 1)
-        (oid,) = struct.unpack_from(">I", rest)
+        oid, _ = struct.unpack_from(">Ii", rest)
         columns.append(
             {"name": label.decode("utf-8", "replace"), "typeName": None, "typeOid": oid}
         )

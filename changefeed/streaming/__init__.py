@@ -3,6 +3,7 @@
 from changefeed.streaming.decode import binlog_decoder, framed, wal_decoder
 from changefeed.streaming.heartbeats import heartbeat_stream
 from changefeed.streaming.publish import (
+    committed_batches,
     load_acked,
     publish,
     publish_stream,
@@ -12,6 +13,7 @@ from changefeed.streaming.publish import (
 
 __all__ = [
     "binlog_decoder",
+    "committed_batches",
     "framed",
     "heartbeat_stream",
     "load_acked",

@@ -191,7 +191,7 @@ def test_resume_and_audit(spark):
     rows = feed(spark, *[event(p) for p in range(1, 11)], *[event(p, source="new") for p in (1, 2)])
     done = acked_positions(rows.filter("source = 's' and pos_lo <= 6").unionByName(feed(spark, event(None))))
     assert [(r.source, r.lsn, r.pos_lo) for r in done.collect()] == [("s", "0/6", 6)]
-    rest = resume_from(rows, done)
+    rest = resume_from(rows, done, "earliest")
     assert sorted((r.source, r.pos_lo) for r in rest.collect()) == [
         ("new", 1), ("new", 2), ("s", 7), ("s", 8), ("s", 9), ("s", 10)]
     assert {r.source for r in resume_from(rows, done, "latest").collect()} == {"s"}
@@ -263,7 +263,7 @@ def test_rows_without_a_position(spark):
     events = spark.createDataFrame(rows, schema)
     acked = spark.createDataFrame([("a", 1, 1)], "source string, pos_hi bigint, pos_lo bigint")
     assert drop_redelivered(events.unionByName(events)).count() == 20
-    assert resume_from(events, acked).count() == 20
+    assert resume_from(events, acked, "earliest").count() == 20
     audit = delivery_audit(events, events).first()
     assert (audit.expected, audit.delivered, audit.missing, audit.unexpected) == (20, 20, 0, 0)
 
