@@ -3,17 +3,26 @@
 *Content*: words and runs of signs, each present or not, kept where they tell the
 classes apart. *Metadata*: language, source and layout (length, lines, shares of
 signs, digits, capitals and different words), cut into steps. Each view has its
-own logistic regression. In each round either view labels the unlabelled rows it
-is surest of for the other one. At the end both are calibrated on labelled rows
-kept aside, combined, and applied to every document.
-
-Training uses bounded samples: at most ``LABELLED`` labelled and ``POOL``
-unlabelled rows, those with the lowest hash of their id, so a run can be repeated;
-of near copies among them one is used. Scoring covers all rows in one pass without a shuffle.
+own logistic regression. In each round either view labels, for the other one, all
+unlabelled documents it is sure of; both are fitted anew on the labelled rows and
+these. At the end both are calibrated on labelled rows kept aside, combined, and
+applied to every document.
+
+The exchange covers the whole table. One pass turns texts into columns: the numbers
+of a document's 0/1 features, some dozens of bytes. Every step of a fit is a scan of
+those: a task adds up the gradient over its pseudo-labelled rows, and sums of fixed
+size (views x classes x columns) reach the driver. Pseudo-labels of a class weigh as
+much as its labelled rows together, however many there are, so the fit behaves alike at
+every size. The curvature comes from the labelled rows.
+
+Only the labelled rows that are fitted on are a bounded sample: at most ``LABELLED``,
+those with the lowest hash of their id, so a run can be repeated; of near copies among
+them one is used. They also choose the words and the steps.
 
 Cases: null texts count as empty, null metadata as a value of its own; with fewer
 than ``LEAST`` rows of either class there is nothing to learn and every document
-is kept with score 1; repeated labels count as often as they occur.
+is kept with score 1; repeated labels count as often as they occur; a document with any
+label takes no part in the exchange; without unlabelled rows the views stay as fitted.
 """
 
 from __future__ import annotations
@@ -26,12 +35,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, ShortType, StructField, StructType
 
 from changefeed.llm.common import utf8
+from changefeed.session import settle
 
-LABELLED, POOL, LEAST, SKETCH = 10_000, 4_000, 8, 4
-ROUNDS, SURE, EACH_ROUND = 3, 0.98, 300
+LABELLED, LEAST, SKETCH = 10_000, 8, 4
+ROUNDS, SURE, STEPS_EACH = 3, 0.98, 3
 FEATURES, LEAST_Z, STEPS = 512, 4.5, 8
 
 TOKEN = re.compile(r"[^\W\d_]+|[^\w\s]+")
@@ -134,46 +144,137 @@ class Model:
 
     def scores(self, rows: list, dense: np.ndarray) -> np.ndarray:
         """Columns: calibrated content view, calibrated metadata view, both combined."""
-        logits = np.stack(
-            [self.views[0].logit(present(rows, self.chosen)), self.views[1].logit(stepped(dense, self.cuts))], axis=1
-        )
+        return self.calibrated([self.views[0].logit(present(rows, self.chosen)), self.views[1].logit(stepped(dense, self.cuts))])
+
+    def calibrated(self, logits: list[np.ndarray]) -> np.ndarray:
+        logits = np.stack(logits, axis=1)
         logits = np.stack([a * logits[:, k] + b for k, (a, b) in enumerate(self.calibration)], axis=1)
         both = self.combined.logit(logits)
         return 1 / (1 + np.exp(-np.clip(np.column_stack([logits, both]), -30, 30)))
 
 
-def co_train(rows: list, dense: np.ndarray, y: np.ndarray, pool_rows: list, pool_dense: np.ndarray) -> Model | None:
-    """Both views after their exchange, from labelled rows and a pool without labels."""
-    if min(y.sum(), len(y) - y.sum()) < LEAST:
-        return None
-    aside = np.arange(len(y)) % 4 == 3
-    train = np.flatnonzero(~aside)
-    chosen = {name: j for j, name in enumerate(telling([rows[i] for i in train], y[train]))}
-    cuts = [
-        np.unique(np.quantile(dense[train, j], np.linspace(0, 1, STEPS + 1)[1:-1])) for j in range(DENSE)
-    ]
-    x = [present(rows, chosen), stepped(dense, cuts)]
-    pool = [present(pool_rows, chosen), stepped(pool_dense, cuts)]
-    sets = [[x[k][train]] for k in range(2)]
-    labels = [[y[train]], [y[train]]]
-    free = np.ones(len(pool_rows), bool)
-    for _ in range(ROUNDS):
-        views = [fit(np.vstack(sets[k]), np.concatenate(labels[k])) for k in range(2)]
+def _chance(logit: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+
+
+class _Start:
+    """What the labelled rows fix: words, steps, their 0/1 columns, and the views fitted on them alone."""
+
+    def __init__(self, rows: list, dense: np.ndarray, y: np.ndarray):
+        self.y, self.aside = y, np.arange(len(y)) % 4 == 3
+        train = ~self.aside
+        self.chosen = {name: j for j, name in enumerate(telling([r for r, t in zip(rows, train) if t], y[train]))}
+        self.cuts = [np.unique(np.quantile(dense[train, j], np.linspace(0, 1, STEPS + 1)[1:-1])) for j in range(DENSE)]
+        self.x = [present(rows, self.chosen), stepped(dense, self.cuts)]
+        self.views = [fit(x[train], y[train]) for x in self.x]
+
+    def step(self, k: int, view: View, pseudo: np.ndarray, counts: np.ndarray, decay: float = 1.0) -> View:
+        """One Newton step of view k; ``pseudo`` has the summed gradient of its pseudo-labelled rows for each class."""
+        train = ~self.aside
+        x, y = np.hstack([self.x[k][train], np.ones((train.sum(), 1))]).astype(np.float64), self.y[train]
+        w = np.append(view.weights, view.bias)
+        penalty = np.full(len(w), decay)
+        penalty[-1] = 1e-6
+        p = _chance(x @ w)
+        gradient = x.T @ (p - y) + penalty * w
+        weight = np.ones(len(y))
+        for c in (0, 1):
+            if counts[c]:
+                n = (y == c).sum()
+                gradient += pseudo[c] * (n / counts[c])
+                weight[y == c] += 1
+        curvature = (x * (weight * (p * (1 - p) + 1e-6))[:, None]).T @ x + np.diag(penalty)
+        move = np.linalg.solve(curvature, gradient)
+        w = w - move / max(1.0, np.abs(move).max() / 4)  # far steps are cut: the curvature is that of labelled rows
+        return View(w[:-1], float(w[-1]))
+
+    def model(self, views: list[View]) -> Model:
+        held = np.stack([views[k].logit(self.x[k][self.aside]) for k in range(2)], axis=1)
+        y = self.y[self.aside]
+        calibration = []
         for k in range(2):
-            p = 1 / (1 + np.exp(-np.clip(views[k].logit(pool[k]), -30, 30)))
-            for sure, value in ((p, 1.0), (1 - p, 0.0)):
-                best = [i for i in np.argsort(-sure, kind="stable")[:EACH_ROUND] if free[i] and sure[i] >= SURE]
-                free[best] = False
-                sets[1 - k].append(pool[1 - k][best])
-                labels[1 - k].append(np.full(len(best), value))
-    views = tuple(fit(np.vstack(sets[k]), np.concatenate(labels[k])) for k in range(2))
-    held = np.stack([views[k].logit(x[k][aside]) for k in range(2)], axis=1)
-    calibration = []
-    for k in range(2):
-        one = fit(held[:, k : k + 1], y[aside], decay=1e-2)
-        calibration.append((float(one.weights[0]), one.bias))
-    level = np.stack([a * held[:, k] + b for k, (a, b) in enumerate(calibration)], axis=1)
-    return Model(chosen, cuts, views, tuple(calibration), fit(level, y[aside], decay=1e-2))
+            one = fit(held[:, k : k + 1], y, decay=1e-2)
+            calibration.append((float(one.weights[0]), one.bias))
+        level = np.stack([a * held[:, k] + b for k, (a, b) in enumerate(calibration)], axis=1)
+        return Model(self.chosen, self.cuts, tuple(views), tuple(calibration), fit(level, y, decay=1e-2))
+
+
+def _columns(lists: pa.Array, width: int) -> np.ndarray:
+    """0/1 columns from lists of their numbers."""
+    x = np.zeros((len(lists), width), np.float32)
+    sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+    x[np.repeat(np.arange(len(lists)), sizes), lists.flatten().to_numpy(zero_copy_only=False)] = 1
+    return x
+
+
+def _numbered(rows: DataFrame, start: _Start) -> DataFrame:
+    """(key, words, steps) of rows (key, text, lang, source): the numbers of the columns that are 1."""
+    schema = StructType([rows.schema["key"], *[StructField(c, ArrayType(ShortType())) for c in ("words", "steps")]])
+    chosen, cuts = start.chosen, start.cuts
+
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                words, dense = [], []
+                for raw, lang, source in zip(utf8(batch.column(1)), batch.column(2), batch.column(3)):
+                    text = raw.decode() if raw else ""
+                    words.append(sorted({chosen[c] for c in content(text) if c in chosen}))
+                    dense.append(layout(text, lang.as_py(), source.as_py()))
+                steps = np.nonzero(stepped(np.array(dense), cuts))[1].reshape(batch.num_rows, -1)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0), pa.array(words, pa.list_(pa.int16())),
+                        pa.array(steps.astype(np.int16).tolist(), pa.list_(pa.int16())),
+                    ],
+                    names=["key", "words", "steps"],
+                )
+
+    return rows.mapInArrow(run, schema)
+
+
+def _exchange(free: DataFrame, start: _Start, sure: list[View], views: list[View]) -> tuple[list, np.ndarray]:
+    """Gradients of both views over the rows the other one of ``sure`` is sure of: ([view][class] vectors, counts)."""
+    widths = [x.shape[1] for x in start.x]
+    shared = free.sparkSession.sparkContext.broadcast((sure, views))
+
+    def run(batches):
+        sure, views = shared.value
+        total = [np.zeros((2, w + 2)) for w in widths]
+        for batch in batches:
+            x = [_columns(batch.column(1 + k), widths[k]) for k in range(2)]
+            chance = [_chance(sure[k].logit(x[k])) for k in range(2)]
+            for k in range(2):
+                p = _chance(views[k].logit(x[k]))
+                for c, rows in enumerate((chance[1 - k] <= 1 - SURE, chance[1 - k] >= SURE)):
+                    error = p[rows] - c
+                    total[k][c, :-2] += error @ x[k][rows]
+                    total[k][c, -2:] += error.sum(), rows.sum()
+        view, label, at = zip(*[(k, c, j) for k in range(2) for c in range(2) for j in range(widths[k] + 2)])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(view, pa.int32()), pa.array(label, pa.int32()), pa.array(at, pa.int32()),
+                pa.array(np.concatenate([t.ravel() for t in total])),
+            ],
+            names=["view", "label", "j", "total"],
+        )
+
+    sums = free.mapInArrow(run, "view int, label int, j int, total double").groupBy("view", "label", "j").agg(F.sum("total").alias("total"))
+    out = [np.zeros((2, w + 2)) for w in widths]
+    for k, c, j, total in sums.collect():  # views x classes x columns
+        out[k][c, j] = total
+    return [o[:, :-1] for o in out], np.array([o[:, -1] for o in out])
+
+
+def co_train(free: DataFrame, start: _Start) -> Model:
+    """Both views after their exchange over all rows of ``free`` (key, words, steps)."""
+    views = start.views
+    for _ in range(ROUNDS):
+        sure = views
+        for _ in range(STEPS_EACH):
+            gradients, counts = _exchange(free, start, sure, views)
+            views = [start.step(k, views[k], gradients[k], counts[k]) for k in range(2)]
+    return start.model(views)
 
 
 def _features(docs: DataFrame) -> DataFrame:
@@ -198,37 +299,79 @@ def _column(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("string") if name in df.columns else F.lit(None).cast("string")
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Model | None:
-    """Fit on bounded samples of labelled and unlabelled rows; good is quality 1 and not toxic."""
-    order = [F.xxhash64(F.col("key").cast("string")), F.col("key")]
-    good = F.expr("cast(quality = 1 and coalesce(toxic, 0) = 0 as double)")
-    marks = labels.filter("quality is not null").select(F.col(key).alias("key"), good.alias("label")).dropna()
-    sample = marks.orderBy(*order).limit(LABELLED)
-    rows = docs.select(
+def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(
         F.col(key).alias("key"), F.col(text).alias("text"), _column(docs, "lang").alias("lang"),
         _column(docs, "source").alias("source"),
     )
-    # both samples are bounded by their limits, whatever the input
-    labelled = rows.join(F.broadcast(sample), "key").select("key", "text", "lang", "source", "label")
-    unmarked = rows.select("key").dropna().distinct().join(marks.select("key"), "key", "left_anti")
-    free = unmarked.orderBy(*order).limit(POOL)
-    pool = rows.join(F.broadcast(free), "key").select("key", "text", "lang", "source", F.lit(None).cast("double").alias("label"))
-    both = _features(labelled.unionByName(pool).drop("key")).toArrow()
-    y = both.column("label").to_numpy()
-    lists = [v.values.to_numpy() for chunk in both.column("content").chunks for v in chunk]
-    dense = np.array(both.column("dense").to_pylist(), np.float64).reshape(-1, DENSE + 2)
+
+
+def _labelled(docs: DataFrame, labels: DataFrame, key: str) -> DataFrame:
+    good = F.expr("cast(quality = 1 and coalesce(toxic, 0) = 0 as double)")
+    return labels.filter("quality is not null").select(F.col(key).alias("key"), good.alias("label")).dropna()
+
+
+def _start(docs: DataFrame, marks: DataFrame, key: str, text: str) -> _Start | None:
+    """The bounded labelled sample, brought to the driver as features."""
+    sample = marks.orderBy(F.xxhash64(F.col("key").cast("string")), "key", "label").limit(LABELLED)
+    # a repeated id does not make the sample larger than its bound
+    labelled = _rows(docs, key, text).join(F.broadcast(sample), "key").select("text", "lang", "source", "label")
+    found = _features(labelled).orderBy(F.xxhash64("content", "dense"), "label").limit(LABELLED).toArrow()
+    y = found.column("label").to_numpy()
+    lists = [v.values.to_numpy() for chunk in found.column("content").chunks for v in chunk]
+    dense = np.array(found.column("dense").to_pylist(), np.float64).reshape(-1, DENSE + 2)
     # task order varies, so rows are put in an order of their own
-    place = sorted(range(len(y)), key=lambda i: (np.isnan(y[i]), dense[i].tolist(), lists[i].tolist()))
+    place = sorted(range(len(y)), key=lambda i: (dense[i].tolist(), lists[i].tolist(), y[i]))
     # Copies would pass for evidence: of rows with the same lowest hashes one is enough.
     first: dict[tuple, int] = {}
     for i in place:
-        first.setdefault((np.isnan(y[i]), *(lists[i][:SKETCH].tolist() or [i])), i)
+        first.setdefault(tuple(lists[i][:SKETCH].tolist() or [i]), i)
     place = list(first.values())
-    marked = [i for i in place if not np.isnan(y[i])]
-    loose = [i for i in place if np.isnan(y[i])]
-    return co_train(
-        [lists[i] for i in marked], dense[marked], y[marked], [lists[i] for i in loose], dense[loose]
-    )
+    if min(y[place].sum(), len(place) - y[place].sum()) < LEAST:
+        return None
+    return _Start([lists[i] for i in place], dense[place], y[place])
+
+
+def _trained(docs: DataFrame, labels: DataFrame, key: str, text: str) -> tuple[Model | None, DataFrame | None]:
+    """The model, and the numbered columns of all documents."""
+    marks = _labelled(docs, labels, key)
+    start = _start(docs, marks, key, text)
+    if start is None:
+        return None, None
+    numbered = settle(_numbered(_rows(docs, key, text), start))
+    return co_train(settle(numbered.join(marks.select("key").distinct(), "key", "left_anti")), start), numbered
+
+
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Model | None:
+    """Fit on a bounded sample of labelled rows and all unlabelled ones; good is quality 1 and not toxic."""
+    return _trained(docs, labels, key, text)[0]
+
+
+def train_and_score(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.5
+) -> DataFrame:
+    """(key, p_content, p_metadata, score, kept) for every row; texts are read once for training and scores."""
+    model, numbered = _trained(docs, labels, key, text)
+    if model is None:
+        one = F.lit(1.0)
+        return docs.select(
+            key, one.alias("p_content"), one.alias("p_metadata"), one.alias("score"), F.lit(True).alias("kept")
+        )
+    widths = [len(model.chosen), len(model.views[1].weights)]
+    schema = StructType([
+        numbered.schema["key"], *[StructField(c, DoubleType()) for c in ("p_content", "p_metadata", "score")], StructField("kept", BooleanType())
+    ])
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        model = shared.value
+        for batch in batches:
+            p = model.calibrated([model.views[k].logit(_columns(batch.column(1 + k), widths[k])) for k in range(2)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *[pa.array(p[:, k]) for k in range(3)], pa.array(p[:, 2] >= least)], names=schema.names
+            )
+
+    return numbered.mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
 def score_documents(docs: DataFrame, model: Model | None, text: str = "text", least: float = 0.5) -> DataFrame:
@@ -261,7 +404,25 @@ def score_documents(docs: DataFrame, model: Model | None, text: str = "text", le
     return named.mapInArrow(run, schema)
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that the classifier does not reject."""
-    scored = score_documents(docs, train(docs, labels, key, text), text)
-    return scored.filter("kept").select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, that the classifier does not reject; each goes through once and whole."""
+    model = train(docs, labels, key, text)
+    if model is None:
+        return docs
+    shared, names = docs.sparkSession.sparkContext.broadcast(model), docs.columns
+    place = {c: names.index(c) for c in (text, "lang", "source") if c in names}
+
+    def run(batches):
+        model = shared.value
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                meta = [
+                    [None if v is None else str(v) for v in batch.column(place[c]).to_pylist()] if c in place else [None] * batch.num_rows
+                    for c in ("lang", "source")
+                ]
+                texts = [raw.decode() if raw else "" for raw in utf8(batch.column(place[text]))]
+                p = model.scores([content(t) for t in texts], np.array([layout(*m) for m in zip(texts, *meta)]))
+                yield batch.filter(pa.array(p[:, 2] >= least))
+
+    return docs.mapInArrow(run, docs.schema)

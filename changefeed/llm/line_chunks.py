@@ -1,7 +1,7 @@
 r"""Line dedup over content-defined chunks of lines.
 
 A text is split at ``\n``. Each line has a hash; a rolling hash over ``WINDOW``
-line hashes ends a chunk where it is 0 modulo ``DIVISOR``, so boundaries depend
+line hashes, modulo ``MODULUS``, ends a chunk where it is 0 modulo ``DIVISOR``, so boundaries depend
 on nearby lines alone and move along with inserted or removed lines. Of equal
 chunks of at least ``MIN_LINES`` lines anywhere in the table, the first one (by
 document id, then position) stays and all others are removed. Hashes only choose
@@ -36,6 +36,8 @@ from changefeed.llm.common import BROADCAST_BYTES, bounded_broadcast, utf8
 from changefeed.session import settle
 
 WINDOW, DIVISOR, MIN_LINES = 2, 3, 2
+# Multiplier and modulus of the rolling hash, both prime and no multiples of the divisor.
+FACTOR, MODULUS = 31, 1_000_003
 
 
 def with_chunks(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -47,11 +49,11 @@ def with_chunks(docs: DataFrame, key: str, text: str) -> DataFrame:
     df = df.withColumn("h", F.explode(F.expr(
         "array(transform(lines, l -> cast(conv(substring(md5(l), 1, 8), 16, 10) as bigint)))"
     )))
-    rolling = " + ".join(f"{3 ** d} * h[k - {d}]" for d in range(WINDOW))
+    rolling = " + ".join(f"{FACTOR ** d} * h[k - {d}]" for d in range(WINDOW))
     df = df.withColumn("ends", F.explode(F.expr(
         f"""array(case when size(lines) = 0 then cast(array() as array<int>) else
             filter(sequence(0, size(lines) - 1),
-                   k -> k = size(lines) - 1 or (k >= {WINDOW - 1} and ({rolling}) % {DIVISOR} = 0)) end)"""
+                   k -> k = size(lines) - 1 or (k >= {WINDOW - 1} and ({rolling}) % {MODULUS} % {DIVISOR} = 0)) end)"""
     ))).drop("h")
     df = df.withColumn("chunks", F.explode(F.expr(
         r"""array(transform(ends, (e, i) -> named_struct(

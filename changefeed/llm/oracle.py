@@ -116,7 +116,7 @@ with line as (
     from (select doc_id, string_split(text, chr(10)) as lines from documents where text is not null),
          unnest(range(1, len(lines) + 1)) as t(i)
 ), ended as (
-    select *, i = n_lines or (i >= 2 and (h + 3 * lag(h) over (partition by doc_id order by i)) % 3 = 0) as ends from line
+    select *, i = n_lines or (i >= 2 and (h + 31 * lag(h) over (partition by doc_id order by i)) % 1000003 % 3 = 0) as ends from line
 ), numbered as (
     select *, coalesce(sum(ends::int) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as idx
     from ended

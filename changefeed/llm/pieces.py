@@ -8,14 +8,17 @@ covers becomes its UTF-8 bytes, at ten below the lowest piece score.
 
 Texts are cut where no piece can reach across (before a run of blanks, around
 characters that occur in no longer piece), which changes no result but lets each
-task keep the encodings of the cuts it has seen, up to ``CACHE`` of them.
+task keep the encodings of the cuts it has seen, in ``CACHE_BYTES``; a cut of more
+than ``LONGEST_KEPT`` characters is not kept.
 
 As in the library, blanks become U+2581 and one is put before the text. Cases: a
-null text has null ids and decodes to null; an empty text has no ids.
+null text has null ids and decodes to null; an empty text has no ids; U+2581 in a text
+stands for a blank, so such a text comes back with blanks (``round_trip`` false).
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from array import array
@@ -24,14 +27,17 @@ from functools import cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from changefeed.llm.common import utf8
 
 BLANK = "▁"
-CACHE = 200_000
+CACHE_BYTES, LONGEST_KEPT = 32 * 1024 * 1024, 64
+# What a kept cut takes besides its characters and ids, and bytes of text worked on together.
+_ENTRY, _TOGETHER = 200, 1 << 20
 
 
 class Pieces:
@@ -53,6 +59,7 @@ class Pieces:
         word = f"{BLANK}*[{inner}]+|{BLANK}+|." if inner else f"{BLANK}+|."
         self.cut = re.compile(".+" if crossing else word, re.DOTALL)
         self.known: dict[str, bytes] = {}
+        self.held = 0  # bytes of the kept cuts
 
     def viterbi(self, text: str) -> list[int]:
         """Ids of the best split of a text in which blanks are already replaced."""
@@ -98,9 +105,13 @@ class Pieces:
         for cut in self.cut.findall(BLANK + text.replace(" ", BLANK)):
             ids = known.get(cut)
             if ids is None:
-                if len(known) >= CACHE:
-                    known.clear()
-                ids = known[cut] = array("i", self.viterbi(cut)).tobytes()
+                ids = array("i", self.viterbi(cut)).tobytes()
+                if len(cut) <= LONGEST_KEPT:
+                    if self.held > CACHE_BYTES:
+                        known.clear()
+                        self.held = 0
+                    known[cut] = ids
+                    self.held += _ENTRY + 4 * len(cut) + len(ids)
             out.append(ids)
         return np.frombuffer(b"".join(out), np.int32)
 
@@ -124,6 +135,50 @@ def load(model: str) -> Pieces:
     return Pieces(ordinary, byte_ids)
 
 
+def _parts(batches, column: int):
+    """Batches cut to about ``_TOGETHER`` bytes of text."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes) // _TOGETHER
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
+        for a, b in zip(edges[:-1], edges[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
+def round_trip(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, ids, ids_crc32, decoded_sha256, round_trip): encoded, decoded and compared in one pass; texts stay behind.
+
+    ids_crc32 is that of the ids as little-endian 32-bit numbers.
+    """
+    named = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    schema = StructType([
+        named.schema["key"], StructField("ids", ArrayType(IntegerType())), StructField("ids_crc32", LongType()),
+        StructField("decoded_sha256", StringType()), StructField("round_trip", BooleanType()),
+    ])
+
+    def run(batches):
+        pieces = load(model)
+        for part in _parts(batches, 1):
+            ids, sums, digests, same = [], [], [], []
+            for raw in utf8(part.column(1)):
+                found = None if raw is None else pieces.encode(raw.decode())
+                back = None if found is None else pieces.decode(found.tolist()).encode()
+                ids.append(found)
+                sums.append(zlib.crc32(b"" if found is None else found.astype("<u4").tobytes()))
+                digests.append(None if back is None else hashlib.sha256(back).hexdigest())
+                same.append(back == raw)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(sums, pa.int64()),
+                    pa.array(digests, pa.string()), pa.array(same, pa.bool_()),
+                ],
+                names=["key", "ids", "ids_crc32", "decoded_sha256", "round_trip"],
+            )
+
+    return named.mapInArrow(run, schema).withColumnRenamed("key", key)
+
+
 def encode_pieces(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, text, ids): the piece ids of each text."""
     named = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))

@@ -53,8 +53,7 @@ def op4_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of both views and the verdict for every document."""
     docs = table(spark, sf_dir, "documents")
-    scored = cotraining.score_documents(docs, cotraining.train(docs, table(spark, sf_dir, "labels")))
-    return scored.select("row.doc_id", "p_content", "p_metadata", "score", "kept")
+    return cotraining.train_and_score(docs, table(spark, sf_dir, "labels"))
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,12 +62,9 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and whether decoding them gives the text back."""
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = pieces.encode_pieces(table(spark, sf_dir, "documents"), model)
-    return pieces.decode_pieces(encoded, model).select(
-        "doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("bigint").alias("n_tokens"), "ids_crc32",
-        F.sha2("decoded", 256).alias("decoded_sha256"), F.expr("decoded <=> text").alias("round_trip"),
-    )
+    found = pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    n_tokens = F.coalesce(F.size("ids"), F.lit(0)).cast("bigint")
+    return found.select("doc_id", n_tokens.alias("n_tokens"), "ids_crc32", "decoded_sha256", "round_trip")
 
 
 def op8_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:

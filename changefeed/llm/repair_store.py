@@ -1,9 +1,14 @@
 """Token ids in Re-Pair grammar files.
 
 Documents are put in order of their id by a range partitioning, encoded and cut
-into blocks of about ``BLOCK_IDS`` ids. Each block has a grammar of its own: in
-rounds, the most frequent neighbouring id pairs that do not cross a document's
-end become nonterminals and are replaced everywhere in the block.
+into blocks of about ``BLOCK_IDS`` ids. Each block has a grammar of its own: the
+most frequent neighbouring id pairs that do not cross a document's end become
+nonterminals and are replaced everywhere in the block, in rounds, until no pair is
+left that pays for its rule (a rule is three numbers, a replaced pair saves one, so
+it pays from ``LEAST_COUNT`` on). A round replaces all pairs that pay; where two of them
+overlap the more frequent one is taken, in a run of equal ones every other from the
+left. Pairs are counted once: later rounds look at pairs with a symbol of the round
+before, and at what was left over.
 
 File format: Parquet rows, one for each block, in the order of ``part, block``:
 
@@ -21,7 +26,7 @@ inside it is found by the running sum of the lengths. Parquet pages are
 compressed on top. Spark's writer commits whole files only, so a lost executor
 repeats its blocks and leaves no half-written ones.
 
-Words are encoded once per worker and remembered (up to ``CACHE``): the tokenizer
+Words are encoded once per worker and remembered (in about ``CACHE_BYTES``): the tokenizer
 drops blanks and never joins across them, so whole texts give the same ids.
 
 Cases: a null or empty text is the end id alone; rows of equal ids stand together
@@ -41,13 +46,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from changefeed.llm.common import in_parts, utf8
-from changefeed.session import gone_at_exit, shared_dir
+from changefeed.llm.common import bounded_broadcast, in_parts, utf8
+from changefeed.session import gone_at_exit, settle, shared_dir
 
 BLOCK_IDS = 500_000
-CACHE = 500_000
+CACHE_BYTES = 64 * 1024 * 1024
 LATIN_END = chr(0x180)  # letters below are composed and have simple lower cases
-ROUNDS, PAIRS, LEAST_COUNT = 4, 2048, 8
+LEAST_COUNT = 4
+_ENTRY, _BINS = 180, 1 << 18
 
 
 class WordEncoder:
@@ -67,6 +73,7 @@ class WordEncoder:
         self.bare = Tokenizer(self.whole.model)
         self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.known: dict[bytes, bytes] = {}
+        self.held = 0  # bytes of the remembered words
         self.signs = dict(zip(b".,", _encoded(self.whole, [".", ","])))
 
     def _learn(self, words: set[bytes]) -> None:
@@ -84,12 +91,15 @@ class WordEncoder:
             self.known.update(zip(found, _encoded(tokenizer, list(found.values()))))
         for w in signed:
             self.known[w] = self.known[w[:-1]] + self.signs[w[-1]]
+        learnt = stems.union(signed)
+        self.held += sum(_ENTRY + len(w) + len(self.known[w]) for w in learnt)
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         out = []
         for at in range(0, len(texts), 64):
-            if len(self.known) > CACHE:
+            if self.held > CACHE_BYTES:
                 self.known.clear()
+                self.held = 0
             part = texts[at : at + 64]
             cut = [None if b"<|" in t else t.lower().replace(b"\n", b" ").split(b" ") for t in part]
             self._learn(set().union(*filter(None, cut)))
@@ -110,51 +120,81 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def _apart(at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Which of the ascending places to take so that no two are neighbours, heavier ones first; neighbours differ in weight."""
+    chosen = np.zeros(len(at), bool)
+    left = np.arange(len(at))
+    while len(left):
+        near, w = np.diff(at[left]) == 1, weight[left]
+        wins = np.concatenate(([True], ~near | (w[1:] > w[:-1]))) & np.concatenate((~near | (w[:-1] > w[1:]), [True]))
+        chosen[left[wins]] = True
+        beside = np.zeros(len(left), bool)
+        beside[1:] |= near & wins[:-1]
+        beside[:-1] |= near & wins[1:]
+        left = left[~(wins | beside)]
+    return chosen
+
+
+def _every_other(at: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """False for every second place in a run of neighbouring pairs of one symbol, which overlap."""
+    follows = np.concatenate(([False], (np.diff(at) == 1) & same[1:] & same[:-1]))
+    begins = np.maximum.accumulate(np.where(follows, 0, np.arange(len(at))))
+    return (np.arange(len(at)) - begins) % 2 == 0
+
+
 def compress(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, int, np.ndarray, np.ndarray]:
     """(symbols, starts, base, rules, lengths) of one block of documents."""
     symbols = ids.astype(np.int64)
     base = int(symbols.max(initial=0)) + 1
-    rules, lengths = np.empty((0, 2), np.int64), np.empty(0, np.int64)
+    rules, lengths = [], [np.ones(base, np.int64)]
     last = np.zeros(len(symbols), bool)  # the last symbol of a document
     last[starts[1:] - 1] = True
-    for _ in range(ROUNDS):
-        if len(symbols) < 2:
-            break
-        width = base + len(rules)
-        codes = symbols[:-1] * width + symbols[1:]
-        codes[last[:-1]] = -1
-        ordered = np.sort(codes)
-        edges = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1], [True])))
-        counts, values = np.diff(edges), ordered[edges[:-1]]
-        good = (counts >= LEAST_COUNT) & (values >= 0)
-        counts, values = counts[good], values[good]
-        top = np.sort(values[np.argsort(-counts, kind="stable")[:PAIRS]])
-        if not len(top):
+    width = base
+    look = np.ones(len(symbols), bool)  # pairs to count, by their left symbol
+    while len(symbols) > 1:
+        at = np.flatnonzero(look[:-1] & ~last[:-1])
+        code = symbols[at] * width + symbols[at + 1]
+        # rare pairs share few bins: most of them go before anything is sorted
+        bins = (code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(46)).astype(np.int64)
+        often = np.bincount(bins, minlength=_BINS)[bins] >= LEAST_COUNT
+        at, code = at[often], code[often]
+        again = at
+        once = _every_other(at, symbols[at] == symbols[at + 1])
+        at, code = at[once], code[once]
+        values, pair, counts = np.unique(code, return_inverse=True, return_counts=True)
+        good = counts[pair] >= LEAST_COUNT
+        at, pair = at[good], pair[good]
+        # each pair has a weight of its own, so the most frequent one is replaced wherever it stands
+        rank = np.empty(len(values), np.int64)
+        rank[np.argsort(counts, kind="stable")] = np.arange(len(values))
+        taken = _apart(at, rank[pair])
+        pays = np.bincount(pair[taken], minlength=len(values)) >= LEAST_COUNT
+        if not pays.any():
             break
-        place = np.searchsorted(top, codes)
-        place[place == len(top)] = 0
-        hit = top[place] == codes
-        # of matches that overlap in a run, every other one from the left is taken
-        at = np.flatnonzero(hit)
-        begins = np.concatenate(([True], np.diff(at) > 1)) if len(at) else np.empty(0, bool)
-        run_start = at[np.maximum.accumulate(np.where(begins, np.arange(len(at)), 0))] if len(at) else at
-        at = at[(at - run_start) % 2 == 0]
-        new = np.stack([top // width, top % width], axis=1)
-        known = np.concatenate((np.ones(base, np.int64), lengths))
-        lengths = np.concatenate((lengths, known[new[:, 0]] + known[new[:, 1]]))
-        rules = np.concatenate((rules, new))
-        symbols[at] = width + place[at]
-        last[at] = last[at + 1]
+        taken &= pays[pair]
+        number = width + np.cumsum(pays) - 1
+        new = np.stack([values[pays] // width, values[pays] % width], axis=1)
+        known = np.concatenate(lengths)
+        lengths.append(known[new[:, 0]] + known[new[:, 1]])
+        rules.append(new)
+        look[:] = False
+        look[again] = True
+        where = at[taken]
+        symbols[where] = number[pair[taken]]
+        last[where] = last[where + 1]
+        look[where] = True
+        look[np.maximum(where - 1, 0)] = True
         keep = np.ones(len(symbols), bool)
-        keep[at + 1] = False
-        symbols, last = symbols[keep], last[keep]
+        keep[where + 1] = False
+        symbols, last, look = symbols[keep], last[keep], look[keep]
+        # a pair whose left symbol was swallowed to its left begins with the new symbol now
+        width += len(new)
     ends = np.flatnonzero(last) + 1
-    return symbols, np.concatenate(([0], ends)), base, rules, lengths
+    rules = np.concatenate(rules) if rules else np.empty((0, 2), np.int64)
+    return symbols, np.concatenate(([0], ends)), base, rules, np.concatenate(lengths[1:]) if len(lengths) > 1 else np.empty(0, np.int64)
 
 
-def expand(symbols: np.ndarray, base: int, rules: np.ndarray) -> np.ndarray:
-    """The ids that symbols stand for; rules only use symbols before them."""
-    symbols = symbols.astype(np.int64)
+def _unfold(symbols: np.ndarray, base: int, rules: np.ndarray) -> np.ndarray:
     while len(symbols) and symbols.max() >= base:
         inner = symbols >= base
         out = np.empty(len(symbols) + int(inner.sum()), np.int64)
@@ -166,6 +206,26 @@ def expand(symbols: np.ndarray, base: int, rules: np.ndarray) -> np.ndarray:
     return symbols
 
 
+def expand(symbols: np.ndarray, base: int, rules: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The ids that symbols stand for: each rule in use is unfolded once, then copied to its places."""
+    symbols = symbols.astype(np.int64)
+    inner = symbols >= base
+    if not inner.any():
+        return symbols
+    used, rank = np.unique(symbols[inner], return_inverse=True)
+    flat = _unfold(used, base, rules)
+    begin = np.concatenate(([0], np.cumsum(lengths[used - base])[:-1]))
+    # terminals follow the unfolded rules, one place each
+    source = np.empty(len(symbols), np.int64)
+    source[inner] = begin[rank.reshape(-1)]
+    source[~inner] = len(flat) + np.arange(int((~inner).sum()))
+    pool = np.concatenate((flat, symbols[~inner]))
+    size = np.ones(len(symbols), np.int64)
+    size[inner] = lengths[symbols[inner] - base]
+    ends = np.cumsum(size)
+    return pool[np.arange(ends[-1]) + np.repeat(source - (ends - size), size)]
+
+
 def ids_between(symbols: np.ndarray, base: int, rules: np.ndarray, lengths: np.ndarray, start: int, stop: int) -> np.ndarray:
     """Ids ``start`` to ``stop`` of a sequence, expanding only the symbols that hold them."""
     sizes = np.where(symbols < base, 1, 0).astype(np.int64)
@@ -173,7 +233,7 @@ def ids_between(symbols: np.ndarray, base: int, rules: np.ndarray, lengths: np.n
     upto = np.cumsum(sizes)
     first, past = np.searchsorted(upto, start, "right"), np.searchsorted(upto, stop, "left") + 1
     skipped = int(upto[first - 1]) if first else 0
-    return expand(symbols[first:past], base, rules)[start - skipped : stop - skipped]
+    return expand(symbols[first:past], base, rules, lengths)[start - skipped : stop - skipped]
 
 
 _BLOCK = {
@@ -242,22 +302,33 @@ def read_store(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame
     stored = spark.read.schema(_BLOCK_SQL).parquet(path)
     # one narrow row for each block
     counts = stored.select("part", "block", "offsets").mapInArrow(_block_sizes, "part int, block int, n bigint")
-    before = Window.orderBy("part", "block").rowsBetween(Window.unboundedPreceding, -1)
-    begins = counts.select("part", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
+    # blocks are numbered inside their part, and parts, of which there is one a task, among each other
+    inside = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
+    parts = counts.groupBy("part").agg(F.sum("n").alias("n")).select("part", F.coalesce(F.sum("n").over(earlier), zero).alias("base_ids"))
+    begins = settle(
+        counts.withColumn("inside", F.coalesce(F.sum("n").over(inside), zero)).join(parts, "part")
+        .select("part", "block", (F.col("inside") + F.col("base_ids")).alias("begin"))
+    )
 
     def decode(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                symbols, starts, offsets = _numbers(row["symbols"]), _numbers(row["starts"]), _numbers(row["offsets"])
-                rules = _numbers(row["rules"]).reshape(-1, 2)
-                ids = expand(symbols, row["base"], rules).astype("<u4")
-                for i, doc in enumerate(row["docs"]):
-                    own = ids[offsets[i] : offsets[i + 1]]
-                    yield doc, row["begin"] + int(offsets[i]), len(own), crc32(own.tobytes()), own.tobytes()
+            column = {name: batch.column(name) for name in batch.schema.names}
+            for i in range(batch.num_rows):
+                symbols, offsets, rules, lengths = (
+                    _numbers(column[c][i].as_buffer()) for c in ("symbols", "offsets", "rules", "lengths")
+                )
+                ids = expand(symbols, column["base"][i].as_py(), rules.reshape(-1, 2), lengths).astype("<u4").tobytes()
+                begin = column["begin"][i].as_py()
+                edges = offsets.tolist()
+                for doc, a, b in zip(column["docs"][i].values.to_pylist(), edges[:-1], edges[1:]):
+                    own = ids[4 * a : 4 * b]
+                    yield doc, begin + a, b - a, crc32(own), own
 
     names = [key, "start", "n_tokens", "ids_crc32", "ids"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    return stored.join(F.broadcast(begins), ["part", "block"]).mapInArrow(
+    return stored.join(bounded_broadcast(begins, 40), ["part", "block"]).mapInArrow(
         lambda b: in_parts(decode(b), names, types, 2000),
         f"`{key}` bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids binary",
     )

@@ -220,12 +220,19 @@ def link_fingerprints(fps: DataFrame) -> DataFrame:
     return components(known.unionByName(across)).toDF("fp", "component")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
-    """(key, fp, component_id): the smallest key reachable over links, for every row."""
+def _labelled(docs: DataFrame, key: str, text: str, width: int) -> tuple[DataFrame, DataFrame]:
+    """((key, fp) of every row, (fp, label) of every fingerprint)."""
     found = settle(fingerprints(docs, key, text, width))
-    classes = settle(found.groupBy("fp").agg(F.min(key).alias("first")))
+    classes = settle(found.select("fp").distinct())
     linked = link_fingerprints(classes)
-    labelled = classes.join(linked, "fp", "left").withColumn("label", F.coalesce("component", "fp"))
+    return found, classes.join(linked, "fp", "left").select("fp", F.coalesce("component", "fp").alias("label"))
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
+    """(key, fp, component_id): the smallest key reachable over links, for every row."""
+    found, labelled = _labelled(docs, key, text, width)
+    classes = found.groupBy("fp").agg(F.min(key).alias("first"))
+    labelled = settle(classes.join(labelled, "fp"))
     smallest = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
     resolved = settle(labelled.select("fp", "label").join(smallest, "label").select("fp", "component_id"))
     # a fingerprint may own a third of all rows: the lookup goes to the rows where it fits
@@ -235,21 +242,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
     """The rows of ``docs``, all columns: of each component the row with the smallest key.
 
-    Of several rows with that key one stays. Rows without a key cannot be told
-    apart and all stay.
+    Rows are told apart by key and text, so rows of one key stay if their texts are in
+    different components. Of equal rows one stays. Rows without a key all stay.
     """
-    return keep_first(docs, near_duplicates(docs, key, text, width), key)
-
-
-def keep_first(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
-    """The rows of ``docs`` whose key is a component id in ``found``, one for each, and those without a key."""
-    kept = settle(
-        found.filter(F.col(key) == F.col("component_id")).groupBy(key).agg(F.count("*").alias("n"))
-    ).withColumnRenamed(key, "_kept")
-    match = F.col(key) == F.col("_kept")
-    once = docs.join(bounded_broadcast(kept.filter("n = 1"), 40), match, "left_semi")
-    out = once.unionByName(docs.filter(F.col(key).isNull()))
-    if kept.filter("n > 1").limit(1).count():
-        several = docs.join(bounded_broadcast(kept.filter("n > 1"), 40), match, "left_semi")
-        out = out.unionByName(several.dropDuplicates([key]))
-    return out
+    marked = docs.select(F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("mark")).alias("place"), F.col(text).alias("text"))
+    found, labelled = _labelled(marked.filter("place.key is not null"), "place", "text", width)
+    classes = found.groupBy("fp").agg(F.min("place").alias("first")).join(labelled, "fp")
+    return keep_first(docs, classes.groupBy("label").agg(F.min("first").alias("first")).select("first.key", "first.mark"), key, text)
+
+
+def keep_first(docs: DataFrame, chosen: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows of ``docs`` chosen by (key, mark), mark being the hash of the text; one of equal ones, and those without a key."""
+    chosen = settle(chosen)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("key"), F.xxhash64(text).alias("mark"))
+    kept = rows.join(bounded_broadcast(chosen, 48), ["key", "mark"], "left_semi")
+    copies = settle(kept.groupBy("key", "mark").count().filter("count > 1").select("key", "mark"))
+    if copies.limit(1).count():
+        copies = bounded_broadcast(copies, 48)
+        kept = kept.join(copies, ["key", "mark"], "left_anti").unionByName(
+            kept.join(copies, ["key", "mark"], "left_semi").dropDuplicates(["key", "mark"])
+        )
+    return kept.unionByName(rows.filter("key is null")).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

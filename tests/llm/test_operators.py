@@ -147,9 +147,7 @@ def _near_copies():
     return list(enumerate(" ".join(w) for w in base)) + [(1000, None), (1001, " "), (1002, "two words"), (1003, "Two  words")]
 
 
-@pytest.mark.parametrize("members", [128, 2])
-def test_keep_one_similar_brute(spark, members, monkeypatch):
-    monkeypatch.setattr(similar, "PLAIN_MEMBERS", members)
+def test_keep_one_similar_brute(spark):
     rows = _near_copies()
 
     def grams(text):
@@ -165,6 +163,18 @@ def test_keep_one_similar_brute(spark, members, monkeypatch):
     assert got == sorted([*want, None], key=str)
 
 
+def test_keep_one_tells_rows_of_one_id_apart(spark):
+    """Two texts under one id both stay, copies go, and no column name clashes."""
+    other = " ".join(f"z{i}" for i in range(80))
+    rows = [(1, PASSAGE, 0, "a", 1), (1, other, 0, "a", 1), (2, PASSAGE, 0, "a", 1), (1, PASSAGE, 0, "a", 1), (None, other, 0, "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _kept int, `key` string, mark int")
+    for keep in (similar.keep_one_similar, simhash.keep_one):
+        got = keep(docs)
+        assert got.columns == docs.columns
+        assert sorted(((r.doc_id, r.text == other) for r in got.collect()), key=str) == [(1, False), (1, True), (None, True)]
+        assert keep(docs.limit(0)).count() == 0
+
+
 def test_contamination(spark, odd):
     items = [(10, PASSAGE), (11, "some words"), (11, "some words"), (None, "an"), (12, None), (13, "...")]
     bench = spark.createDataFrame(items, "item_id bigint, text string")
@@ -256,11 +266,44 @@ def test_repair_random_access():
     starts = np.arange(0, 5001, 250)
     symbols, begins, base, grammar, lengths = repair_store.compress(ids, starts)
     assert len(symbols) < len(ids) and len(begins) == len(starts)
-    assert (repair_store.expand(symbols, base, grammar) == ids).all()
+    assert (repair_store.expand(symbols, base, grammar, lengths) == ids).all()
     for a, b in ((0, 5000), (17, 18), (900, 1100), (4999, 5000)):
         assert (repair_store.ids_between(symbols, base, grammar, lengths, a, b) == ids[a:b]).all()
 
 
+def test_repair_leaves_no_pair_that_pays():
+    """Random and repeated sequences: exact round trips, and no pair occurs often enough for another rule."""
+    rng = np.random.default_rng(5)
+    for trial in range(200):
+        ids = rng.integers(0, rng.integers(1, 9), rng.integers(1, 600))
+        if trial % 5 == 0:
+            ids = np.tile(ids[:7], 90)
+        starts = np.unique(np.concatenate(([0, len(ids)], rng.integers(0, len(ids) + 1, 3))))
+        symbols, begins, base, grammar, lengths = repair_store.compress(ids, starts)
+        assert (repair_store.expand(symbols, base, grammar, lengths) == ids).all()
+        left = Counter()
+        for a, b in zip(begins[:-1], begins[1:]):
+            at = a
+            while at < b - 1:  # occurrences that do not overlap
+                pair = (symbols[at], symbols[at + 1])
+                left[pair] += 1
+                at += 2 if at + 2 < b and symbols[at + 1 : at + 3].tolist() == list(pair) and pair[0] == pair[1] else 1
+        assert max(left.values(), default=0) < repair_store.LEAST_COUNT
+    long = repair_store.compress(np.zeros(100_000, np.int64), np.array([0, 100_000]))
+    assert long[4].max() > 10_000
+
+
+def test_caches_are_bounded_by_bytes():
+    vocabulary = pieces.load(MODEL)
+    vocabulary.known.clear()
+    vocabulary.held = 0
+    vocabulary.encode("x" * 1_000_001)
+    assert not vocabulary.known
+    encoder = repair_store.word_encoder(WORD_BPE)
+    encoder.encode_all([b"y" * 3_000_000])
+    assert encoder.held > 3_000_000
+
+
 def test_cotraining_held_out(spark):
     rng = random.Random(4)
     vocabulary = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(400)]
@@ -280,6 +323,30 @@ def test_cotraining_held_out(spark):
     assert cotraining.keep_good(docs, marks.limit(0)).count() == len(rows)
 
 
+def test_cotraining_exchange_brute(spark, docs):
+    """The gradients of the exchange are those of all unlabelled rows, whatever the partitions."""
+    marks = cotraining._labelled(docs, table(spark, SF, "labels"), "doc_id")
+    start = cotraining._start(docs, marks, "doc_id", "text")
+    numbered = cotraining._numbered(cotraining._rows(docs, "doc_id", "text"), start)
+    views = [cotraining.View(v.weights * 3, v.bias) for v in start.views]
+    got, counts = cotraining._exchange(numbered.repartition(5), start, start.views, views)
+    rows = numbered.collect()
+    x = [np.zeros((len(rows), m.shape[1])) for m in start.x]
+    for i, r in enumerate(rows):
+        x[0][i, r.words] = 1
+        x[1][i, r.steps] = 1
+    chance = [1 / (1 + np.exp(-np.clip(start.views[k].logit(x[k]), -30, 30))) for k in range(2)]
+    for k in range(2):
+        p = 1 / (1 + np.exp(-np.clip(views[k].logit(x[k]), -30, 30)))
+        for c, sure in enumerate((chance[1 - k] <= 0.02, chance[1 - k] >= 0.98)):
+            error = (p - c) * sure
+            assert counts[k][c] == sure.sum()
+            assert got[k][c] == pytest.approx(np.append(error @ x[k], error.sum()), abs=1e-3)
+    scored = {r.doc_id: r.score for r in cotraining.train_and_score(docs, table(spark, SF, "labels")).collect()}
+    kept = {r.doc_id for r in cotraining.keep_good(docs, table(spark, SF, "labels")).collect()}
+    assert kept == {i for i, p in scored.items() if p >= 0.5}
+
+
 def test_cotraining_odd_rows(spark, odd):
     scored = cotraining.score_documents(odd, cotraining.train(odd, table(spark, SF, "labels")))
     assert scored.count() == len(ODD)
@@ -329,6 +396,9 @@ def test_pieces_brute(spark, odd):
     vocabulary = pieces.load(MODEL)
     scores = {library.id_to_piece(i): library.get_score(i) for i in vocabulary.raw if not library.is_byte(i)}
     rows = pieces.decode_pieces(pieces.encode_pieces(odd, MODEL), MODEL).collect()
+    once = pieces.round_trip(odd, MODEL).collect()
+    assert all(r.round_trip for r in once) and pieces.round_trip(odd.limit(0), MODEL).count() == 0
+    assert sorted((str(r.doc_id), r.ids_crc32, str(r.ids)) for r in once) == sorted((str(r.doc_id), r.ids_crc32, str(r.ids)) for r in rows)
     for row in rows:
         assert row.decoded == row.text
         if row.text and len(row.text) < 2000:
