@@ -67,7 +67,7 @@ def _object(tuple_text: Column, names: Column) -> Column:
 
 UNREAD = "unread text in statement"
 NO_PLAIN_INSERT = "no plain insert"
-WRONG_COUNT = "wrong number of values"
+TOO_FEW = "too few values"
 UNREAD_VALUE = "unread text in tuple"
 
 
@@ -98,7 +98,7 @@ def _tuples(statements: DataFrame, columns: Mapping[str, list[str]] | None) -> D
     # without its values a tuple is commas in parentheses, one fewer than values
     frame = F.regexp_replace(F.regexp_replace("_tuple", VALUE, ""), r"\s+", "")
     whole = frame == F.concat(F.lit("("), F.repeat(F.lit(","), F.greatest(F.col("_n") - 1, F.lit(0))), F.lit(")"))
-    reason = F.when(~whole, UNREAD_VALUE).when(F.col("_names").isNotNull() & (F.size("_names") != F.col("_n")), WRONG_COUNT)
+    reason = F.when(~whole, UNREAD_VALUE).when(F.col("_names").isNotNull() & (F.size("_names") > F.col("_n")), TOO_FEW)
     return tuples.withColumn("reject_reason", reason)
 
 
@@ -114,7 +114,7 @@ def read_mysql_dump(
     """One INSERT event per value tuple.
 
     Values are named ``col_i`` unless ``columns`` lists a table's names; then a tuple
-    needs as many values. ``seq`` is the number of the line in the whole dump, ``idx``
+    needs a value for each, and more are named by their place. ``seq`` is the number of the line in the whole dump, ``idx``
     that of the tuple in it. What yields no event is told by ``mysql_dump_rejects``.
     """
     inserts = _inserts(read_lines(spark, path)).filter(F.col("table").isNotNull())
@@ -141,7 +141,7 @@ def mysql_dump_rejects(
     """What the INSERT lines of a dump hold beside events: (file, line, idx, table, value, reject_reason).
 
     Whole statements whose head is not understood, tuples with text that is no value or
-    with a wrong number of values, and what is left of a statement without its tuples.
+    with fewer values than names, and what is left of a statement without its tuples.
     """
     inserts = _inserts(read_lines(spark, path))
     known = filter_tables(inserts.filter(F.col("table").isNotNull()), tables)

@@ -161,15 +161,15 @@ def test_dump_lines_for_any_split(spark, tmp_path):
 
 def test_mysql_dump_rejects(spark, tmp_path):
     (tmp_path / "d.sql").write_text("\n".join([
-        "INSERT INTO `t` VALUES (1,'a'),(2,'b','c'),(3,'d');", "INSERT INTO `t` (`k`) VALUES (4);",
+        "INSERT INTO `t` VALUES (1,'a'),(2),(3,'d','more');", "INSERT INTO `t` (`k`) VALUES (4);",
         "INSERT INTO `t` VALUES (5,'e'),(6,'f", "INSERT INTO `t` VALUES (7,'g' 'h');", "INSERT INTO `u` VALUES (8),();", "-- no"]) + "\n")
     columns = {"t": ["k", "v"]}
     good = read_mysql_dump(spark, str(tmp_path), "db", columns=columns)
     assert sorted((r.seq, r.idx, r.data) for r in good.collect()) == [
-        (0, 0, '{"k":"1", "v":"a"}'), (0, 2, '{"k":"3", "v":"d"}'), (2, 0, '{"k":"5", "v":"e"}'), (4, 0, '{"col_0":"8"}'), (4, 1, "{}")]
+        (0, 0, '{"k":"1", "v":"a"}'), (0, 2, '{"k":"3", "v":"d", "col_2":"more"}'), (2, 0, '{"k":"5", "v":"e"}'), (4, 0, '{"col_0":"8"}'), (4, 1, "{}")]
     bad = mysql_dump_rejects(spark, str(tmp_path), columns=columns)
     assert sorted((r.line, r.reject_reason) for r in bad.collect()) == [
-        (0, "wrong number of values"), (1, "no plain insert"), (2, "unread text in statement"), (3, "unread text in tuple")]
+        (0, "too few values"), (1, "no plain insert"), (2, "unread text in statement"), (3, "unread text in tuple")]
 
 
 def test_fill_unchanged(spark, monkeypatch):
