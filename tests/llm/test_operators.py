@@ -163,6 +163,31 @@ def test_keep_one_similar_brute(spark):
     assert got == sorted([*want, None], key=str)
 
 
+def test_links_in_one_dense_group(spark, monkeypatch):
+    """Copies of one text with up to 9 edits, compared in many cells after one pivot: the components are those of all pairs."""
+    monkeypatch.setattr(similar, "PIVOTS", 1)
+    monkeypatch.setattr(similar, "CELL", 16)
+    rng = random.Random(5)
+    texts = []
+    for i in range(150):
+        words = [f"d{j}" for j in range(150)]
+        for at in rng.sample(range(150), rng.randint(0, 9)):
+            words[at] = f"e{i}-{at}" if rng.random() < 0.7 else f"shared{at}"
+        texts.append(" ".join(words))
+    sets = {}
+    for text in texts:
+        found = similar.shingles(text.encode())
+        sets[similar.class_id(found)] = set(found.tolist())
+    links = [(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    alone = len(set(sets) - {c for link in links for c in link})
+    assert len(links) > 300 and alone > 5
+    named = spark.createDataFrame(enumerate(texts), "key bigint, text string")
+    classes = similar._sketches(named).selectExpr("key as first", "c", "n", "bands").dropDuplicates(["c"])
+    got = dict(similar.link_classes(classes, named).collect())
+    want = _classes(links, sets)
+    assert all(got.get(c, c) == want[c] for c in sets)
+
+
 def test_keep_one_tells_rows_of_one_id_apart(spark):
     """Two texts under one id both stay, copies go, and no column name clashes."""
     other = " ".join(f"z{i}" for i in range(80))
