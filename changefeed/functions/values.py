@@ -17,7 +17,7 @@ PG_JSON_OIDS = [114, 3802]
 # MySQL type names by how they are rendered.
 MYSQL_NUMBER_TYPES = [
     "tinyint", "smallint", "mediumint", "int", "integer", "bigint",
-    "float", "double", "real", "decimal", "numeric", "year",
+    "float", "double", "real", "decimal", "numeric", "year", "bit",
 ]
 MYSQL_BOOL_TYPES = ["bool", "boolean"]
 MYSQL_INSTANT_TYPES = ["datetime", "timestamp"]

@@ -336,7 +336,9 @@ ORACLE: dict[str, str] = {
         select o_orderkey, o_custkey from orders where o_orderkey > 499
         order by o_orderkey limit 100""",
     "chunk_offset": """
-        select o_orderkey, o_custkey from orders order by o_orderkey limit 100 offset 500""",
+        select * from orders order by o_orderkey limit 100 offset 500""",
+    "chunk_ties": """
+        select l_returnflag, l_linestatus, l_shipdate from lineitem order by 1, 2, 3 limit 1000 offset 777""",
     "wal_decode": _WAL,
     "wal_filtered": f"""
         with w as ({_CUSTOMER_WAL} union all {_NATION_WAL})
@@ -379,6 +381,14 @@ ORACLE: dict[str, str] = {
     ),
     "binlog_decode": f"""with {_STAMPED}, {_BINLOG_EVENTS}
         select source, type, "schema", "table", data, lsn, seq, idx from binlog""",
+    "binlog_rejects": f"""with {_STAMPED}
+        select source, 'UPDATE' as type, 'shop' as "schema", 'orders' as "table",
+            coalesce(file || ':' || ((o_orderkey * 97) % 1073741824 + 4), '') as lsn, seq, 1 as idx,
+            '["' || o_orderkey || '","' || o_orderstatus || '","' || cast(o_totalprice as decimal(12,2)) || '","0","'
+                || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '","{{\\"p\\":\\"' || o_orderpriority || '\\"}}"]' as payload,
+            'old row without new row' as reject_reason
+        from stamped join orders using (o_orderkey)
+        where action = 'update' and o_orderpriority = '5-LOW'""",
     "binlog_file": f"with {_STAMPED} select source, seq, action, file from stamped",
     "binlog_filtered": f"""with {_STAMPED}, {_BINLOG_EVENTS}
         select case type when 'DDL' then 'cdc.shop._ddl' else 'cdc.shop.orders' end as subject, type,

@@ -54,6 +54,7 @@ from changefeed.operators.envelope import ENVELOPE
 from changefeed.plans import live_mysql, live_postgres, start_feed, subject_counts
 from changefeed.session import configure, gone_at_exit, shared_dir
 from changefeed.sources import (
+    binlog_rejects as rejected_rows,
     chunk_at,
     decode_binlog,
     decode_images,
@@ -366,7 +367,13 @@ def chunk_limit(spark, sf):
 
 @query
 def chunk_offset(spark, sf):
-    return chunk_at(fixtures.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), 500, 100)
+    return chunk_at(fixtures.table(spark, sf, "orders"), 500, 100)
+
+
+@query
+def chunk_ties(spark, sf):
+    """A chunk of a table without a key, whose edges fall into runs of equal rows."""
+    return chunk_at(fixtures.table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_shipdate"), 777, 1000)
 
 
 # --- captured Postgres messages ------------------------------------------------
@@ -453,6 +460,13 @@ def binlog_decode(spark, sf):
     return events.select("source", "type", "schema", "table", "data", "lsn", "seq", "idx")
 
 
+@query
+def binlog_rejects(spark, sf):
+    """The stray third rows of updates."""
+    stamped = stamp_binlog_file(fixtures.captured_binlog(spark, sf))
+    return rejected_rows(stamped).select("source", "type", "schema", "table", "lsn", "seq", "idx", "payload", "reject_reason")
+
+
 @query
 def binlog_file(spark, sf):
     stamped = stamp_binlog_file(fixtures.captured_binlog(spark, sf), broadcast=False)

@@ -1,6 +1,6 @@
 """Readers: captured logs, dumps and table snapshots."""
 
-from changefeed.sources.binlog import current_files, decode_binlog, stamp_binlog_file
+from changefeed.sources.binlog import binlog_rejects, current_files, decode_binlog, stamp_binlog_file
 from changefeed.sources.log_files import read_log, stream_log
 from changefeed.sources.mysql_dump import dump_position, mysql_dump_rejects, read_mysql_dump
 from changefeed.sources.pg_dump import pg_dump_rejects, read_pg_dump
@@ -25,6 +25,7 @@ from changefeed.sources.wal import (
 
 __all__ = [
     "attach_relations",
+    "binlog_rejects",
     "changed_layouts",
     "chunk_at",
     "current_files",

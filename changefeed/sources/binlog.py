@@ -23,6 +23,9 @@ from changefeed.operators.envelope import EVENT_COLUMNS, make_event
 from changefeed.operators.ordered import LOWEST, asof_join
 
 
+ROW_ACTIONS = ["insert", "update", "delete"]
+
+
 def stamp_binlog_file(
     binlog: DataFrame, initial: DataFrame | None = None, broadcast: bool = True
 ) -> DataFrame:
@@ -69,7 +72,7 @@ def decode_binlog(binlog: DataFrame) -> DataFrame:
     """Change events of captured binlog events whose ``file`` is known.
 
     One event per inserted or deleted row; update rows come in pairs of old and
-    new, an odd row at the end is ignored.
+    new, an odd row at the end yields no event (see ``binlog_rejects``).
     """
     if "captured_at" not in binlog.columns:
         binlog = binlog.withColumn("captured_at", F.unix_millis(F.current_timestamp()))
@@ -135,3 +138,42 @@ def decode_binlog(binlog: DataFrame) -> DataFrame:
         F.col("seq").cast("bigint").alias("seq"),
         "idx",
     ).select(*EVENT_COLUMNS)
+
+
+def binlog_rejects(binlog: DataFrame) -> DataFrame:
+    """What the events of ``decode_binlog`` do not hold, with the reason.
+
+    An event of an unknown action, a row event without rows, the odd row at the end of
+    an update, and a row with more values than columns, whose event holds the named
+    ones only. ``payload`` is the row as a JSON array of its values.
+    """
+    action = F.col("action")
+    size = F.coalesce(F.size("rows"), F.lit(0))
+    is_update = action == "update"
+
+    def judged(row, i):
+        reason = F.when(is_update & (size % 2 == 1) & (i == size - 1), "old row without new row").when(
+            F.size(row) > F.coalesce(F.size("columns"), F.lit(0)), "more values than columns"
+        )
+        return F.struct(
+            F.when(is_update, F.floor(i / 2).cast("int")).otherwise(i).alias("idx"),
+            F.to_json(row, {"ignoreNullFields": "false"}).alias("payload"), reason.alias("reject_reason"),
+        )
+
+    def whole(reason):
+        return F.array(
+            F.struct(F.lit(0).alias("idx"), F.lit(None).cast("string").alias("payload"), F.lit(reason).alias("reject_reason"))
+        )
+
+    known = F.coalesce(action.isin(*ROW_ACTIONS, "ddl", "xid", "rotate"), F.lit(False))
+    bad = (
+        F.when(~known, whole("unknown action"))
+        .when(action.isin(ROW_ACTIONS) & (size == 0), whole("no rows"))
+        .when(action.isin(ROW_ACTIONS), F.filter(F.transform("rows", judged), lambda r: r["reject_reason"].isNotNull()))
+    )
+    at = F.coalesce(format_binlog_pos(F.col("file"), F.col("log_pos")), F.lit(""))
+    return binlog.withColumn("_bad", F.explode(bad)).select(
+        "source", F.upper("action").alias("type"), "schema", "table", at.alias("lsn"),
+        binlog_file_number(F.col("file")).alias("pos_hi"), F.col("log_pos").cast("bigint").alias("pos_lo"),
+        F.col("seq").cast("bigint").alias("seq"), "_bad.idx", "_bad.payload", "_bad.reject_reason",
+    )

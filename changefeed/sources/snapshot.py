@@ -13,6 +13,7 @@ from changefeed.functions.positions import binlog_file_number, lsn_high, lsn_low
 from changefeed.functions.values import json_key, json_object, quoted_or_null
 from changefeed.operators.envelope import EVENT_COLUMNS, make_event
 from changefeed.operators.ordered import number_rows, running_number
+from changefeed.operators.rank_select import rows_at, selectable
 
 # Fixed value: rows per snapshot chunk unless the caller says otherwise.
 CHUNK_ROWS = 10_000
@@ -128,8 +129,14 @@ def next_chunk(
 
 
 def chunk_at(df: DataFrame, offset: int, n: int = CHUNK_ROWS) -> DataFrame:
-    """``n`` rows after skipping ``offset``, ordered on the first column."""
-    return df.orderBy(*df.columns).offset(offset).limit(n)
+    """``n`` rows after skipping ``offset``, ordered on the first column, then the others.
+
+    The edges are found by rank selection, so nothing is sorted but the ``n`` rows. A
+    table with columns of nested types is sorted.
+    """
+    if not selectable(df, df.columns):
+        return df.orderBy(*df.columns).offset(offset).limit(n)
+    return rows_at(df, offset, n).orderBy(*df.columns)
 
 
 def _typed(field: T.StructField) -> Column:

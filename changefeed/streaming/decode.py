@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from changefeed.functions.positions import combined_position
 from changefeed.operators.transactions import assign_transactions
-from changefeed.sources.binlog import current_files, decode_binlog, stamp_binlog_file
+from changefeed.sources.binlog import binlog_rejects, current_files, decode_binlog, stamp_binlog_file
 from changefeed.sources.wal import RELATION_SCHEMA, changed_layouts, decode_messages, read_relations
 from changefeed.streaming.publish import load_state, store_state, with_rejects
 
@@ -67,9 +67,9 @@ def wal_decoder(
 
 
 def binlog_decoder(state: str) -> Prepare:
-    """``prepare`` for captured binlog events; current files live in ``state``."""
+    """``prepare`` for captured binlog events; current files live in ``state``. Gives events and rejects."""
 
-    def prepare(batch: DataFrame, batch_id: int) -> DataFrame:
+    def prepare(batch: DataFrame, batch_id: int) -> tuple[DataFrame, DataFrame]:
         spark = batch.sparkSession
         earlier = load_state(spark, state, FILE_SCHEMA, before=batch_id)
         initial = earlier.groupBy("source").agg(F.max_by("file", "batch_id").alias("file"))
@@ -81,7 +81,7 @@ def binlog_decoder(state: str) -> Prepare:
             )
         )
         store_state(rotated, state, batch_id, FILE_SCHEMA, _last_of("file"))
-        return decode_binlog(stamped)
+        return decode_binlog(stamped), binlog_rejects(stamped)
 
     return prepare
 

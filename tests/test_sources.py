@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from changefeed.operators.validation import accepted
 from changefeed.plans import live_mysql
+from changefeed.operators import rank_select
 from changefeed.sources import (
+    binlog_rejects,
+    chunk_at,
     decode_binlog,
     dump_position,
     keyset_chunks,
@@ -66,6 +71,27 @@ def test_binlog(spark, broadcast):
     assert [r.idx for r in rows[1:3]] == [0, 1] and rows[-1].pos_hi == 100
 
 
+def test_binlog_rejects(spark):
+    extra = spark.createDataFrame(
+        [
+            ("m", None, 110, 11, "insert", "shop", "users", COLUMNS, [["7", "x", None, "more"], ["8", "y", None]], None, None, 5),
+            ("m", None, 120, 12, "insert", "shop", "users", COLUMNS, [], None, None, 5),
+            ("m", None, 130, 13, "truncate", "shop", "users", None, None, None, None, 5),
+            ("m", None, 140, 14, None, None, None, None, None, None, None, 5),
+        ],
+        BINLOG,
+    )
+    stamped = stamp_binlog_file(binlog_rows(spark).unionByName(extra))
+    rows = sorted(binlog_rejects(stamped).collect(), key=lambda r: r.seq)
+    assert [(r.seq, r.idx, r.payload, r.reject_reason) for r in rows] == [
+        (4, 1, '["9","odd",null]', "old row without new row"), (5, 0, '["1","odd",null]', "old row without new row"),
+        (11, 0, '["7","x",null,"more"]', "more values than columns"), (12, 0, None, "no rows"),
+        (13, 0, None, "unknown action"), (14, 0, None, "unknown action"),
+    ]
+    assert rows[0].lsn == "mysql-bin.000099:40" and rows[0].pos_hi == 99
+    assert binlog_rejects(stamped.limit(0)).count() == 0
+
+
 def test_binlog_pipeline_filters_exact_names(spark):
     kept = live_mysql(binlog_rows(spark), ["shop.us.ers"]).collect()
     assert sorted((r.type, r.subject) for r in kept) == [
@@ -211,3 +237,21 @@ def test_next_chunk_walks_a_composite_key(spark):
             break
         after = list(part[-1])
     assert seen == rows
+
+
+def test_chunk_at_finds_its_edges_by_rank(spark, monkeypatch):
+    """Any offset, also inside runs of equal rows, with nulls, NaN and clashing names; few pivots make many rounds."""
+    monkeypatch.setattr(rank_select, "SIDE", 3)
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None, "é"]), rng.choice([1.5, None, float("nan"), -2.0]), rng.randrange(6)) for _ in range(150)]
+    rows += [("b", 1.5, 2)] * 120
+    df = spark.createDataFrame(rows, "at string, hit double, k int").repartition(3).persist()
+    whole = [str(r) for r in df.orderBy("at", "hit", "k").collect()]
+    for offset, n in ((0, 1), (0, 270), (7, 40), (100, 5), (130, 100), (269, 1), (260, 50), (270, 3), (5, 0)):
+        assert [str(r) for r in chunk_at(df, offset, n).collect()] == whole[offset : offset + n]
+    assert chunk_at(df.limit(0), 0, 5).count() == 0
+    times = spark.range(60).selectExpr("timestamp_micros((id div 3) * 1800000001) as t", "cast(date'2024-01-01' + cast(id as int) as timestamp_ntz) as u")
+    assert chunk_at(times, 31, 20).collect() == times.orderBy("t", "u").collect()[31:51]
+    one = spark.createDataFrame([("x",)] * 40, "name string")
+    assert chunk_at(one, 10, 20).count() == 20 and chunk_at(one, 35, 20).count() == 5
+    df.unpersist()

@@ -97,9 +97,11 @@ def test_binlog_stream_equals_batch(spark, tmp_path):
     land(binlog, str(tmp_path / "in"), 5, "seq")
     publish_stream(
         stream(spark, str(tmp_path / "in"), BINLOG), str(tmp_path / "out"), str(tmp_path / "cp"),
-        prepare=binlog_decoder(str(tmp_path / "files")),
+        prepare=binlog_decoder(str(tmp_path / "files")), quarantine=str(tmp_path / "bad"),
     ).awaitTermination(180)
     assert messages(spark, str(tmp_path / "out")) == expected(decode_binlog(stamp_binlog_file(binlog)))
+    bad = spark.read.parquet(str(tmp_path / "bad")).filter("payload is not null").collect()
+    assert sorted((r.seq, r.reject_reason) for r in bad) == [(4, "old row without new row"), (5, "old row without new row")]
 
 
 @pytest.mark.parametrize("boundary", ["BEGIN", "COMMIT"])
