@@ -236,6 +236,8 @@ def _acked(rows: str) -> str:
 
 _BEFORE = "(select * from feed where \"timestamp\" < 1705276800000 and source <> 'db2')"
 
+_NEWEST_ROW = _EVENT_ROW[: -len("'}'")] + "', \"v' || newest || '\":null}'"
+
 ORACLE: dict[str, str] = {
     "flagship_subject_counts": _with("""
         select n.subject, n.type, count(*) as events, max(n."timestamp") as last_timestamp,
@@ -356,6 +358,14 @@ ORACLE: dict[str, str] = {
         from versions where type in ('INSERT','UPDATE','DELETE') and announced is not null""",
         _EVENT_WAL,
     ),
+    "rows_newest_layout": _with(
+        f"""select {_pos_text('pos')} as lsn, type, event_type as "table",
+            case type when 'UPDATE' then '{{"new":' || {_NEWEST_ROW} || '}}' else {_NEWEST_ROW} end as data
+        from versions join (select event_type, max(version) as newest from marks group by event_type) using (event_type)
+        where type in ('INSERT','UPDATE','DELETE') and announced is not null""",
+        _EVENT_WAL,
+    ),
+    "rows_renamed_column": _WAL.replace("c_acctbal\":", "c_balance\":"),
     "wal_unknown_relations": _with(
         f"""select {_pos_text('pos')} as lsn, type, cast(rel_id as bigint) as rel_id, idx, 'unknown relation' as reject_reason
         from (select pos, type, list_position(['click','error','purchase','signup','view'],

@@ -72,6 +72,7 @@ from changefeed.sources import (
     wal_rejects,
 )
 
+from changefeed.operators.newest_layout import in_newest_layout
 from changefeed.operators.subscriptions import subscribe
 from changefeed.operators.unchanged import fill_unchanged
 from changefeed.streaming import publish, read_published
@@ -451,6 +452,23 @@ def filled_images(spark, sf):
     return filled.select("lsn", "table", "data", F.array_join("unchanged_cols", ",").alias("unchanged"))
 
 
+def _newest(wal):
+    return in_newest_layout(decode_images(wal), schema_history(read_relations(wal)))
+
+
+@query
+def rows_newest_layout(spark, sf):
+    """Rows of every version with the columns of the newest one."""
+    events = _newest(fixtures.event_wal(spark, sf)).filter("table <> '_cdc_ddl_log'")
+    return events.select("lsn", "type", "table", "data")
+
+
+@query
+def rows_renamed_column(spark, sf):
+    """A column renamed on the way has its newest name in all rows."""
+    return _newest(fixtures.captured_wal(spark, sf)).select("source", "type", "schema", "table", "data", "lsn", "old_kind")
+
+
 # --- captured binlog events ----------------------------------------------------
 
 

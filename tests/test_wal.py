@@ -7,9 +7,10 @@ import struct
 import pyarrow as pa
 import pytest
 
+from changefeed.operators.newest_layout import in_newest_layout
 from changefeed.operators.schema_history import schema_history
 from changefeed.plans import live_postgres
-from changefeed.sources import changed_layouts, decode_wal, read_relations, wal_rejects
+from changefeed.sources import changed_layouts, decode_images, decode_wal, read_relations, wal_rejects
 from changefeed.sources.tuples import cut_tuples
 
 WAL = "source string, lsn bigint, seq bigint, payload binary, captured_at bigint"
@@ -179,3 +180,27 @@ def test_cut_tuples_on_slices_and_wide_rows():
             assert texts[0] is None and texts[1] == [b"a", b"b"]
             assert texts[2] == [str(i).encode() for i in range(300)]
             assert texts[3] is None and rows[4]["cut"] and texts[4] is None
+
+
+def test_rows_in_the_newest_layout(spark):
+    """Renamed at its place, retyped both ways, moved, dropped and added columns; tables without a layout stay."""
+    first = rel(1, "t", [("id", 23), ("name", 25), ("price", 25), ("gone", 25), ("big", 25)])
+    second = rel(1, "t", [("id", 25), ("title", 25), ("price", 1700), ("big", 25), ("note", 25)])
+    wal = wal_of(spark, [
+        first, ins(1, "1", "a", "2.50", "x", 'q"b'), ins(1, "2", None, "n/a", "x", "null"),
+        upd(1, ["3", b"u", "7", "y", b"u"], old=["3", "o", "6", "y", "B"]), dele(1, "4", None, None, None, None),
+        second, ins(1, "x5", "t", "8", "B", "n"),
+    ])
+    history = schema_history(read_relations(wal))
+    rows = in_newest_layout(decode_images(wal), history).orderBy("pos_lo").collect()
+    assert [r.data for r in rows] == [
+        '{"id":"1", "title":"a", "price":2.50, "big":"q\\"b", "note":null}',
+        '{"id":"2", "title":null, "price":"n/a", "big":"null", "note":null}',
+        '{"old":{"id":"3", "title":"o", "price":6, "big":"B", "note":null}, '
+        '"new":{"id":"3", "title":"unchanged", "price":7, "big":"unchanged", "note":null}}',
+        '{"id":"4", "title":null, "price":null, "big":null, "note":null}',
+        '{"id":"x5", "title":"t", "price":8, "big":"B", "note":"n"}',
+    ]
+    assert [r.unchanged_cols for r in rows][2] == ["title", "big"]
+    plain = in_newest_layout(decode_images(wal), history.limit(0)).orderBy("pos_lo").collect()
+    assert [r.data for r in plain] == [r.data for r in decode_images(wal).orderBy("pos_lo").collect()]
