@@ -12,6 +12,8 @@ import numpy as np
 import public_tokenizers
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from changefeed.llm import (
@@ -232,6 +234,32 @@ def test_rules_brute(spark, odd):
     assert rules.cascade(odd.limit(0)).count() == 0
 
 
+def test_rules_in_order(spark):
+    """The order follows rejections per cost among the rows left, the same each time; a dear rule comes last."""
+    texts = ["plain words of a text that is in the end good " * 8] * 3 + ["Short ## && ## bits " * 20] * 40
+    docs = spark.createDataFrame([(i, f"{t}{i} one two {i * 7} three {i * 3}") for i, t in enumerate(texts)], "key long, text string")
+    some = (
+        rules.Rule("dear", "n_symbols > 10", "1000 * word_chars"), rules.Rule("cheap", "n_symbols > 10", "1"),
+        rules.Rule("same_rows", "n_symbols > 5", "2"), rules.Rule("other_rows", "n_symbols = 0", "1"),
+        rules.Rule("null", "cast(null as boolean)", "word_chars"),
+    )
+    rows = rules._add(docs, "n_symbols", "cast(length(text) - length(replace(replace(text, '#', ''), '&', '')) as bigint)")
+    rows = rows.withColumn("word_chars", F.length("text"))
+    for parts in (1, 5):
+        names = [r.name for r in rules.in_order(rows.repartition(parts), some)]
+        assert names == ["cheap", "other_rows", "same_rows", "null", "dear"]
+    assert rules.in_order(rows.limit(0), some) and rules.in_order(rows, ()) == []
+
+
+def test_rules_sample(spark, monkeypatch):
+    monkeypatch.setattr(rules, "SAMPLE_ROWS", 20)
+    rows = spark.range(300).selectExpr("id % 100 as key", "concat('t', id % 100) as text").repartition(7)
+    few = rules.sampled(rows).collect()
+    assert len(few) == 20 == len({r.key for r in few})
+    assert sorted(map(str, few)) == sorted(map(str, rules.sampled(rows.repartition(2)).collect()))
+    assert rules.sampled(rows.limit(5)).count() <= 5 and rules.sampled(rows.limit(0)).count() == 0
+
+
 def test_licenses(spark, odd):
     text = "Words first.\nreleased under the MIT license\nLicensed under CC BY-NC 4.0."
     extra = spark.createDataFrame([(1, text), (2, None), (3, "MIT")], "doc_id bigint, text string")
