@@ -165,6 +165,28 @@ def test_keep_one_similar_brute(spark):
     assert got == sorted([*want, None], key=str)
 
 
+def test_near_copies_meet_by_simhash():
+    """Fingerprints are the majorities of their sets' bits; segments and whole ones keep pairs at 0.8 and part unrelated texts."""
+    rng = random.Random(8)
+    apart, met = [], []
+    for i in range(120):
+        words = [f"v{i}-{rng.randrange(10**6)}" for _ in range(404)]
+        copy = [*words[:355], *[f"n{i}-{j}" for j in range(5)], *words[360:]]  # 391 of 409 shingles, 0.956
+        far = [*words[:360], *[f"f{i}-{j}" for j in range(44)]]  # 356 of 444, 0.802
+        sets = [similar.shingles(" ".join(w).encode()) for w in (words, copy, far)]
+        prints = np.stack([similar.fingerprint(s) for s in sets])
+        keys = similar.segment_keys(prints)
+        assert keys.shape == (3, similar.TABLES) and len(np.unique(keys[0])) == similar.TABLES
+        bits = np.unpackbits(prints.view(np.uint8), axis=1)
+        assert ((keys[0] == keys[2]) == (bits[0] == bits[2])[similar._SEGMENTS].all(axis=1)).all()
+        apart.append((bits[0] != bits[2]).mean())
+        met.append([(keys[0] == keys[j]).any() for j in (1, 2)])
+        other = similar.fingerprint(similar.shingles(" ".join(reversed(words)).encode()))
+        assert (bits[0] != np.unpackbits(other.view(np.uint8))).sum() > similar.APART
+    assert 0.14 < np.mean(apart) < 0.165 and np.mean(np.array(apart) * similar.BITS <= similar.APART) > 0.98
+    assert all(m[0] for m in met) and np.mean(met, axis=0)[1] > 0.94
+
+
 def test_links_in_one_dense_group(spark, monkeypatch):
     """Copies of one text with up to 9 edits, compared in many cells after one pivot: the components are those of all pairs."""
     monkeypatch.setattr(similar, "PIVOTS", 1)
