@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Send rows with whole texts to Python a few at a time: a batch is held by the JVM and the worker at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+
+
 def ascii_lower(text):
     """Lower-case A-Z alone, as a column."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

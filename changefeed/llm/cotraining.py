@@ -199,6 +199,13 @@ class _Start:
         return Model(self.chosen, self.cuts, tuple(views), tuple(calibration), fit(level, y, decay=1e-2))
 
 
+def _slices(batches, rows: int = 512):
+    """Batches of few rows: each row is widened to all columns of a view."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, rows):
+            yield whole.slice(at, rows)
+
+
 def _columns(lists: pa.Array, width: int) -> np.ndarray:
     """0/1 columns from lists of their numbers."""
     x = np.zeros((len(lists), width), np.float32)
@@ -241,7 +248,7 @@ def _exchange(free: DataFrame, start: _Start, sure: list[View], views: list[View
     def run(batches):
         sure, views = shared.value
         total = [np.zeros((2, w + 2)) for w in widths]
-        for batch in batches:
+        for batch in _slices(batches):
             x = [_columns(batch.column(1 + k), widths[k]) for k in range(2)]
             chance = [_chance(sure[k].logit(x[k])) for k in range(2)]
             for k in range(2):
@@ -281,7 +288,7 @@ def _features(docs: DataFrame) -> DataFrame:
     """(label, content, dense) of rows (text, lang, source, label)."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             content_rows, dense = [], []
             for raw, lang, source in zip(utf8(batch.column(0)), batch.column(1), batch.column(2)):
                 text = raw.decode() if raw else ""
@@ -365,7 +372,7 @@ def train_and_score(
 
     def run(batches):
         model = shared.value
-        for batch in batches:
+        for batch in _slices(batches):
             p = model.calibrated([model.views[k].logit(_columns(batch.column(1 + k), widths[k])) for k in range(2)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(p[:, k]) for k in range(3)], pa.array(p[:, 2] >= least)], names=schema.names
