@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from changefeed.functions.positions import format_lsn, lsn_high, lsn_low
 from changefeed.operators.envelope import EVENT_COLUMNS
-from changefeed.session import gone_at_exit, shared_dir
+from changefeed.session import gone_at_exit, settle, shared_dir
 
 _written: dict[tuple, str] = {}
 
@@ -485,12 +485,21 @@ def captured_binlog(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- dump files --------------------------------------------------------------
 
 DUMP_FILES = 8
+PIECE_BYTES = 32 * 1024 * 1024
 
 
-def _dump_lines(parts: list[DataFrame], path: str) -> None:
-    # every file is a whole dump: its lines stay together and in order
-    lines = _union(parts).repartition(DUMP_FILES, "part")
-    ordered = lines.sortWithinPartitions("part", "rank", "place").select("part", "value")
+def _dump_lines(tables: list[DataFrame], path: str) -> None:
+    """A folder for every dump; its files are pieces of it, in order and of about ``PIECE_BYTES``.
+
+    ``tables`` follow each other in a dump; each is cut by its own size, as rows of one are much wider than another's.
+    """
+    cut = []
+    for lines in tables:
+        size = lines.agg(F.sum(F.octet_length("value"))).first()[0] or 0
+        files = max(DUMP_FILES, -(-size // PIECE_BYTES))
+        cut.append(lines.repartitionByRange(files, "part", "rank", "place"))
+    # the parts of a union follow each other, and so do the names of the files they write
+    ordered = _union(cut).sortWithinPartitions("part", "rank", "place").select("part", "value")
     ordered.write.partitionBy("part").text(path)
 
 
@@ -531,14 +540,14 @@ def pg_dump_path(spark: SparkSession, sf_dir: str) -> str:
                 line.alias("value"),
             )
             head = f"COPY public.{name} ({', '.join(columns)}) FROM stdin;"
-            for place, value in ((-1, head), (2**62, "\\."), (2**62 + 1, "")):
-                parts.append(
-                    heads.select(
-                        "part", F.lit(rank).alias("rank"),
-                        F.lit(place).cast("bigint").alias("place"), F.lit(value).alias("value"),
-                    )
+            marks = [
+                heads.select(
+                    "part", F.lit(rank).alias("rank"),
+                    F.lit(place).cast("bigint").alias("place"), F.lit(value).alias("value"),
                 )
-            parts.append(rows)
+                for place, value in ((-1, head), (2**62, "\\."), (2**62 + 1, ""))
+            ]
+            parts.append(_union([*marks, rows]))
         _dump_lines(parts, path)
 
     return stored(spark, "pg-dump", sf_dir, write)
@@ -569,7 +578,7 @@ def mysql_dump_path(spark: SparkSession, sf_dir: str) -> str:
         )
         # neighbouring keys share a statement
         batch = F.call_function("div", F.col("o_orderkey"), F.lit(16))
-        statements = (
+        statements = settle(
             orders.groupBy(batch.alias("place"))
             .agg(F.array_join(F.array_sort(F.collect_list(
                 F.struct("o_orderkey", order_tuple.alias("t")))).getField("t"), ",").alias("t"))
@@ -596,6 +605,6 @@ def mysql_dump_path(spark: SparkSession, sf_dir: str) -> str:
                 (F.col("place") * 8 + 154).cast("string"), F.lit(";"),
             ).alias("value"),
         )
-        _dump_lines([marks, statements, texts], path)
+        _dump_lines([marks.unionByName(statements), texts], path)
 
     return stored(spark, "mysql-dump", sf_dir, write)

@@ -502,27 +502,27 @@ def binlog_filtered(spark, sf):
 
 @query
 def pg_dump_scan(spark, sf):
-    events = read_pg_dump(spark, fixtures.pg_dump_path(spark, sf), start_lsn="0/1A2B3C4D")
+    events = read_pg_dump(spark, fixtures.pg_dump_path(spark, sf), start_lsn="0/1A2B3C4D", pieces=True)
     return events.select("schema", "table", "data", "lsn")
 
 
 @query
 def mysql_dump_scan(spark, sf):
     path = fixtures.mysql_dump_path(spark, sf)
-    events = read_mysql_dump(spark, path, "shop", columns=fixtures.MYSQL_COLUMNS)
+    events = read_mysql_dump(spark, path, "shop", columns=fixtures.MYSQL_COLUMNS, pieces=True)
     return events.select("schema", "table", "data")
 
 
 @query
 def dump_positions(spark, sf):
-    found = dump_position(spark, fixtures.mysql_dump_path(spark, sf))
+    found = dump_position(spark, fixtures.mysql_dump_path(spark, sf), pieces=True)
     return found.select("log_file", "log_pos", "pos_hi")
 
 
 @query
 def dump_lines(spark, sf):
     """Every dumped row with the number of its line in the whole dump."""
-    events = read_pg_dump(spark, fixtures.pg_dump_path(spark, sf))
+    events = read_pg_dump(spark, fixtures.pg_dump_path(spark, sf), pieces=True)
     key = F.regexp_extract("data", r'^\{"[a-z_]+":"([0-9]+)"', 1).cast("bigint")
     return events.select("table", key.alias("key"), "seq", "idx")
 

@@ -110,14 +110,16 @@ def read_mysql_dump(
     columns: Mapping[str, list[str]] | None = None,
     source: str = "",
     timestamp: Column | None = None,
+    pieces: bool = False,
 ) -> DataFrame:
     """One INSERT event per value tuple.
 
     Values are named ``col_i`` unless ``columns`` lists a table's names; then a tuple
     needs a value for each, and more are named by their place. ``seq`` is the number of the line in the whole dump, ``idx``
     that of the tuple in it. What yields no event is told by ``mysql_dump_rejects``.
+    ``pieces`` as for ``read_lines``.
     """
-    inserts = _inserts(read_lines(spark, path)).filter(F.col("table").isNotNull())
+    inserts = _inserts(read_lines(spark, path, pieces)).filter(F.col("table").isNotNull())
     tuples = _tuples(filter_tables(inserts, tables), columns).filter(F.col("reject_reason").isNull())
     data = _object(F.col("_tuple"), F.col("_names"))
     event = make_event("INSERT", schema, F.col("table"), data, "", timestamp)
@@ -137,13 +139,14 @@ def mysql_dump_rejects(
     path: str,
     tables: Iterable[str] | None = None,
     columns: Mapping[str, list[str]] | None = None,
+    pieces: bool = False,
 ) -> DataFrame:
     """What the INSERT lines of a dump hold beside events: (file, line, idx, table, value, reject_reason).
 
     Whole statements whose head is not understood, tuples with text that is no value or
     with fewer values than names, and what is left of a statement without its tuples.
     """
-    inserts = _inserts(read_lines(spark, path))
+    inserts = _inserts(read_lines(spark, path, pieces))
     known = filter_tables(inserts.filter(F.col("table").isNotNull()), tables)
     none = F.lit(None).cast("int").alias("idx")
     odd = inserts.filter(F.col("table").isNull()).select(
@@ -159,12 +162,12 @@ def mysql_dump_rejects(
     return odd.unionByName(unread).unionByName(bad)
 
 
-def dump_position(spark: SparkSession, path: str) -> DataFrame:
+def dump_position(spark: SparkSession, path: str, pieces: bool = False) -> DataFrame:
     """The last log position each dump file records, where streaming starts.
 
-    Files without one have no row.
+    Files without one have no row. With ``pieces`` a folder is one dump (see ``read_lines``).
     """
-    lines = read_lines(spark, path).filter(F.col("value").rlike(LOG_POSITION))
+    lines = read_lines(spark, path, pieces).filter(F.col("value").rlike(LOG_POSITION))
     found = lines.select(
         "file", "line",
         F.regexp_extract("value", LOG_POSITION, 1).alias("log_file"),

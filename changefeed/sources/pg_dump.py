@@ -32,9 +32,12 @@ COPY_ESCAPES = [
 ]
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, pieces: bool = False) -> DataFrame:
     """Lines with their number in the whole dump: value, file, line (from 0).
 
+    With ``pieces`` the files of a folder are pieces of one dump, cut between lines and in
+    the order of their names, and ``file`` is the folder.
+
     Files follow each other by name. A first scan counts the lines of each split; a
     line's number is what splits before it hold and its place in its own, so it is the
     same however the files are cut, and no line is shuffled to be numbered. Both
@@ -47,19 +50,20 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
             F.when(F.col("value").endswith("\r"), F.expr("left(value, length(value) - 1)"))
             .otherwise(F.col("value"))
             .alias("value"),
-            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_path").alias("_path"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("_id"),
         )
     )
     # one row for each split
-    splits = settle(cut.groupBy("file", "block").agg(F.min("_id").alias("_first"), F.count("*").alias("_n")))
-    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = settle(cut.groupBy("_path", "block").agg(F.min("_id").alias("_first"), F.count("*").alias("_n")))
+    before = Window.orderBy("_path", "block").rowsBetween(Window.unboundedPreceding, -1)
     starts = splits.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     place = F.col("_id") - F.col("_first")
     moved = F.raise_error(F.lit("input splits changed between two scans")).cast("bigint")
     line = F.when(place.between(0, F.col("_n") - 1), F.col("_start") + place).otherwise(moved)
-    return lookup_join(cut, starts, ["file", "block"], "left").select("value", "file", line.alias("line"))
+    file = F.regexp_replace("_path", "/[^/]*$", "") if pieces else F.col("_path")
+    return lookup_join(cut, starts, ["_path", "block"], "left").select("value", file.alias("file"), line.alias("line"))
 
 
 def copy_blocks(lines: DataFrame) -> DataFrame:
@@ -133,8 +137,8 @@ def _copy_row(value: Column, names: Column, raw: bool) -> Column:
     return json_object(F.transform(names, member))
 
 
-def _dump_rows(spark: SparkSession, path: str) -> DataFrame:
-    lines = read_lines(spark, path)
+def _dump_rows(spark: SparkSession, path: str, pieces: bool) -> DataFrame:
+    lines = read_lines(spark, path, pieces)
     blocks = copy_blocks(lines)
     blocks = blocks.withColumn("mark", F.col("line"))
     placed = asof_join(lines, blocks, ["file"], ["line"], ["open", "schema", "table", "names", "mark"])
@@ -155,14 +159,15 @@ def read_pg_dump(
     source: str = "",
     raw: bool = False,
     timestamp: Column | None = None,
+    pieces: bool = False,
 ) -> DataFrame:
     """One INSERT event per data line of every COPY block.
 
     Values are quoted texts with COPY escapes decoded, or as written with
     ``raw``; short lines end in nulls, surplus values are dropped. ``seq`` is the line's
-    number in the whole dump, the same for any size of splits.
+    number in the whole dump, the same for any size of splits. ``pieces`` as for ``read_lines``.
     """
-    rows = filter_tables(_dump_rows(spark, path).filter(_good_names()), tables)
+    rows = filter_tables(_dump_rows(spark, path, pieces).filter(_good_names()), tables)
     data = _copy_row(F.col("value"), F.col("names"), raw)
     event = make_event(
         "INSERT", F.col("schema"), F.col("table"), data, start_lsn, timestamp
@@ -178,10 +183,10 @@ def read_pg_dump(
     ).select(*EVENT_COLUMNS)
 
 
-def pg_dump_rejects(spark: SparkSession, path: str) -> DataFrame:
+def pg_dump_rejects(spark: SparkSession, path: str, pieces: bool = False) -> DataFrame:
     """Data lines of blocks whose schema or table is no plain identifier."""
     return (
-        _dump_rows(spark, path)
+        _dump_rows(spark, path, pieces)
         .filter(~_good_names())
         .select(
             "file", "line", "schema", "table", "value",
