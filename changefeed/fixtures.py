@@ -241,9 +241,13 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return whole
 
 
+# Messages of one file, few enough to be sorted in memory.
+FILE_MESSAGES = 250_000
+
+
 def _in_log_order(df: DataFrame, *order: str) -> DataFrame:
     # the given tables are one row group each; captured logs are many files, one after the other
-    files = 2 * df.sparkSession.sparkContext.defaultParallelism
+    files = max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // FILE_MESSAGES))
     return df.repartitionByRange(files, *order).sortWithinPartitions(*order)
 
 

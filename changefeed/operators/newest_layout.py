@@ -23,10 +23,13 @@ _NUMERIC = r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$"
 
 
 def newest_columns(history: DataFrame) -> DataFrame:
-    """(source, schema, table, _columns): names and kinds of the newest layout (see ``latest_schema``)."""
+    """(source, schema, table, _columns, _now, _kinds, _unique): names and kinds of the newest layout (see ``latest_schema``)."""
     shown = F.transform("columns", lambda c: F.struct(c["name"].alias("name"), pg_kind(c["typeOid"]).alias("kind")))
     newest = history.groupBy(*_TABLE).agg(F.max_by("columns", F.struct("lsn_pos", "seq")).alias("columns"))
-    return newest.select(*_TABLE, shown.alias("_columns"))
+    names = F.col("_columns.name")
+    return newest.select(*_TABLE, shown.alias("_columns")).select(
+        "*", names.alias("_now"), F.col("_columns.kind").alias("_kinds"), (F.size(F.array_distinct(names)) == F.size(names)).alias("_unique")
+    )
 
 
 def _retyped(value: Column, kind: Column) -> Column:
@@ -48,22 +51,35 @@ def in_newest_layout(images: DataFrame, history: DataFrame) -> DataFrame:
     without one stay as they are.
     """
     rows = lookup_join(images, newest_columns(history), _TABLE, "left")
-    now = F.transform("_columns", lambda c: c["name"])
+    # most rows are in the newest layout already: nothing of them is worked out again
+    same = F.lit(False)
+    if "kinds" in images.columns:
+        whole = F.size("members") == F.size("names")
+        old_whole = F.col("old_members").isNull() | (F.size("old_members") == F.size("names"))
+        same = F.coalesce(
+            F.col("_unique") & F.col("names").eqNullSafe(F.col("_now")) & F.col("kinds").eqNullSafe(F.col("_kinds")) & whole & old_whole,
+            F.lit(False),
+        )
     # where each newest column lies in the row's own layout
     place = F.transform(
-        "_columns",
-        lambda c, j: F.when(F.array_position("names", c["name"]) > 0, F.array_position("names", c["name"]).cast("int") - 1)
+        "_now",
+        lambda name, j: F.when(F.array_position("names", name) > 0, F.array_position("names", name).cast("int") - 1)
         .when(~F.array_contains(F.col("_now"), F.get("names", j)), j),
     )
-    rows = rows.withColumn("_now", now).withColumn("_place", place)
+    rows = rows.withColumn("_same", same | F.col("_columns").isNull()).withColumn("_place", F.when(~F.col("_same"), place))
 
     def image(members: str) -> Column:
-        def shown(c, j):
-            at = F.get("_place", j)
-            value = F.substr(F.get(members, at), F.length(json_key(F.get("names", at))) + 1)
-            return F.concat(json_key(c["name"]), F.coalesce(_retyped(value, c["kind"]), F.lit("null")))
+        # values first: retyping looks at one several times
+        values = F.transform(
+            "_place",
+            lambda at: F.substr(F.get(members, at), F.length(json_key(F.get("names", at))) + 1),
+        )
+
+        def shown(value, j):
+            column = F.get("_columns", j)
+            return F.concat(json_key(column["name"]), F.coalesce(_retyped(value, column["kind"]), F.lit("null")))
 
-        return json_object(F.transform("_columns", shown))
+        return json_object(F.transform(values, shown))
 
     new = image("members")
     old = F.when(F.col("old_members").isNotNull(), image("old_members"))
@@ -72,8 +88,7 @@ def in_newest_layout(images: DataFrame, history: DataFrame) -> DataFrame:
         F.col("_now"),
         lambda name, j: F.coalesce(F.array_contains("unchanged_cols", F.get("names", F.get("_place", j))), F.lit(False)),
     )
-    known = F.col("_columns").isNotNull()
     return rows.withColumns({
-        "data": F.when(known, data).otherwise(F.col("data")),
-        "unchanged_cols": F.when(known, held).otherwise(F.col("unchanged_cols")),
+        "data": F.when(F.col("_same"), F.col("data")).otherwise(data),
+        "unchanged_cols": F.when(F.col("_same"), F.col("unchanged_cols")).otherwise(held),
     }).select(*EVENT_COLUMNS, "old_kind", "unchanged_cols")

@@ -351,8 +351,9 @@ def _decoded(
     )
     keys, kinds = F.col("keys"), F.col("kinds")
     plain = F.col("_tuples.plain")
-    members_one = _members(one, keys, kinds, plain)
-    members_two = _members(two, keys, kinds, plain)
+    # the images and their members are worked out from the cells once
+    rows = rows.withColumns({"_one": _members(one, keys, kinds, plain), "_two": _members(two, keys, kinds, plain)})
+    members_one, members_two = F.col("_one"), F.col("_two")
     image_one, image_two = json_object(members_one), json_object(members_two)
     old_image = F.when(has_old, image_one)
     new_image = F.when(has_old, image_two).otherwise(image_one)
@@ -410,6 +411,7 @@ def _decoded(
         F.when(kind.isin(UPDATE, DELETE) & after_id.isin("K", "O"), after_id).alias("old_kind"),
         F.when(kind.isin(ROW_MESSAGES), unchanged).alias("unchanged_cols"),
         F.when(kind.isin(ROW_MESSAGES), names).alias("names"),
+        F.when(kind.isin(ROW_MESSAGES), kinds).alias("kinds"),
         F.when(has_old, members_one).alias("old_members"),
         F.when(kind.isin(ROW_MESSAGES), F.when(has_old, members_two).otherwise(members_one)).alias("members"),
         "rel_id",
@@ -477,11 +479,11 @@ def decode_images(
     tables: Iterable[str] | None = None,
     broadcast: bool = True,
 ) -> DataFrame:
-    """Row events with their images in parts: ``names``, ``members`` and ``old_members``.
+    """Row events with their images in parts: ``names``, ``kinds``, ``members`` and ``old_members``.
 
     A member is the ``"name":value`` text of one cell; ``members`` is the newest image.
     """
     rows = _decoded(wal, relations, tables, False, broadcast)
     return rows.filter(F.col("reject_reason").isNull() & F.col("type").isin("INSERT", "UPDATE", "DELETE")).select(
-        *EVENT_COLUMNS, "old_kind", "unchanged_cols", "names", "members", "old_members"
+        *EVENT_COLUMNS, "old_kind", "unchanged_cols", "names", "kinds", "members", "old_members"
     )
