@@ -7,6 +7,9 @@ import struct
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
+from changefeed import fixtures
 from changefeed.operators.newest_layout import in_newest_layout
 from changefeed.operators.schema_history import schema_history
 from changefeed.plans import live_postgres
@@ -204,3 +207,31 @@ def test_rows_in_the_newest_layout(spark):
     assert [r.unchanged_cols for r in rows][2] == ["title", "big"]
     plain = in_newest_layout(decode_images(wal), history.limit(0)).orderBy("pos_lo").collect()
     assert [r.data for r in plain] == [r.data for r in decode_images(wal).orderBy("pos_lo").collect()]
+
+
+def test_rows_of_the_newest_layout_keep_their_image(spark):
+    """Whole rows in the newest layout are passed on, odd ones are worked out; both ways give the same."""
+    layout = rel(1, "t", [("id", 23), ("name", 25), ("ok", 16)])
+    wal = wal_of(spark, [
+        rel(1, "t", [("id", 25), ("name", 25), ("ok", 16)]), ins(1, "7", "old", "t"),
+        layout, ins(1, "1", 'q"b', "t"), ins(1, "2", None), ins(1, "3", "c", "f", "more"),
+        upd(1, ["4", b"u", "t"], old=["4", "o", "f"]), dele(1, "5", None, None),
+    ])
+    history = schema_history(read_relations(wal))
+    images = decode_images(wal)
+    assert "kinds" in images.columns
+    passed = in_newest_layout(images, history)
+    # a mark in the image shows which rows were not worked out again
+    marked = in_newest_layout(images.withColumn("data", F.concat(F.lit("#"), "data")), history)
+    worked = in_newest_layout(images.drop("kinds"), history)
+    at = [(r.data, r.unchanged_cols) for r in passed.orderBy("pos_lo").collect()]
+    assert at == [(r.data, r.unchanged_cols) for r in worked.orderBy("pos_lo").collect()]
+    assert [r.data[0] == "#" for r in marked.orderBy("pos_lo").collect()] == [False, True, False, False, True, True]
+
+
+def test_captured_logs_are_sized_by_their_messages(spark, monkeypatch):
+    """No file of a log grows with the input, whatever the number of cores."""
+    monkeypatch.setattr(fixtures, "FILE_MESSAGES", 100)
+    rows = spark.range(10_000).selectExpr("id * 7 % 10000 as lsn", "0 as seq")
+    sizes = fixtures._in_log_order(rows, "lsn", "seq").groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 80 and max(r["count"] for r in sizes) < 400
