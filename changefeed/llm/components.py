@@ -2,16 +2,58 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changefeed.session import settle
 
+EDGES_EACH = 100_000  # edges of a task, about
+_TOGETHER = 1 << 18  # edges contracted together
+
+
+def _forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every node of some edges but the smallest of its component, and that one."""
+    nodes, at = np.unique(np.concatenate((u, v)), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, label[a], least)
+        np.minimum.at(new, label[b], least)
+        while (new != new[new]).any():
+            new = new[new]
+        if (new == label).all():
+            own = label != np.arange(len(nodes))
+            return nodes[own], nodes[label[own]]
+        label = new
+
+
+def _contracted(batches):
+    """Edges (u, v) of a task replaced by as few as connect the same nodes, u the larger end."""
+
+    def forest(held):
+        u, v = _forest(*(np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in held]) for i in (0, 1)))
+        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= _TOGETHER:
+            yield forest(held)
+            held, size = [], 0
+    if size:
+        yield forest(held)
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node with an edge.
 
-    ``edges`` has BIGINT columns u and v. Each round links all larger neighbours
+    ``edges`` has BIGINT columns u and v. First each task replaces its edges by a
+    forest over the same nodes. Each round links all larger neighbours
     of a node to its smallest neighbour, then all smaller ones, until every node
     hangs on its smallest directly. A round is grouping by minimum and joins on
     narrow rows: no neighbour list is ever gathered, however large a hub is.
@@ -33,16 +75,22 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct()
         )
 
+    def gathered(df: DataFrame, number: int) -> DataFrame:
+        """Few edges lie in few tasks."""
+        return df.coalesce(number // EDGES_EACH + 1)
+
+    def state(df: DataFrame):
+        return df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+
     # u is the larger end throughout
-    current = settle(
-        edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    )
-    seen = None
-    while True:
-        state = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
+    current = settle(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
+    current = settle(gathered(current, current.count()).mapInArrow(_contracted, "u bigint, v bigint"))
+    seen = state(current)
+    while seen[0]:
+        current = settle(gathered(starred(starred(current, True), False), seen[0]))
+        now = state(current)
+        if now == seen:
             break
-        seen = state
-        current = settle(starred(starred(current, True), False))
+        seen = now
     own = current.select(F.col("v").alias("u"), "v").distinct()
     return current.unionByName(own).select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 
@@ -83,6 +84,26 @@ def _classes(links, nodes):
     return {n: root(n) for n in nodes}
 
 
+def test_edges_are_contracted_in_their_task(monkeypatch):
+    """A task's edges become a forest over the same nodes, in pieces of bounded size."""
+    from changefeed.llm import components as module
+
+    rng = np.random.default_rng(4)
+    u, v = rng.integers(-300, 300, (2, 400))
+    u, v = np.maximum(u, v)[u != v], np.minimum(u, v)[u != v]
+    for together in (50, 1 << 18):
+        monkeypatch.setattr(module, "_TOGETHER", together)
+        batches = [pa.RecordBatch.from_arrays([pa.array(u[i : i + 30]), pa.array(v[i : i + 30])], names=["u", "v"]) for i in range(0, len(u), 30)]
+        out = pa.Table.from_batches(module._contracted(iter(batches)))
+        got = list(zip(out["u"].to_pylist(), out["v"].to_pylist()))
+        assert all(a > b for a, b in got)
+        nodes = np.unique(np.concatenate((u, v))).tolist()
+        want = _classes(list(zip(u.tolist(), v.tolist())), nodes)
+        assert _classes(got, nodes) == want
+        if together > 400:
+            assert sorted(got) == sorted((n, c) for n, c in want.items() if n != c)
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(500, i) for i in range(400, 450)]
@@ -165,6 +186,19 @@ def test_keep_one_similar_brute(spark):
     assert got == sorted([*want, None], key=str)
 
 
+def test_unlike_classes_get_no_fingerprint(spark):
+    """Of all classes only those with 0.8 of their shingles in others are fingerprinted; none with a link is lost."""
+    rows = [r for r in _near_copies() if r[1] and r[1].strip()] + [(2000 + i, " ".join(f"z{i}-{j}" for j in range(90))) for i in range(50)]
+    sets = {i: set(similar.shingles(t.encode()).tolist()) for i, t in rows}
+    named = spark.createDataFrame(rows, "key bigint, text string")
+    found = similar._named_classes(named).selectExpr("key as first", "c", "n").dropDuplicates(["c"])
+    got = {r["first"] for r in similar._able(named, found).collect()}
+    different = {r["first"]: sets[r["first"]] for r in found.collect()}
+    often = Counter(s for a in different.values() for s in a)
+    assert got == {i for i, a in different.items() if 5 * sum(often[s] > 1 for s in a) >= 4 * len(a)}
+    assert max(got) < 2000 and len(got) > 30
+
+
 def test_near_copies_meet_by_simhash():
     """Fingerprints are the majorities of their sets' bits; segments and whole ones keep pairs at 0.8 and part unrelated texts."""
     rng = random.Random(8)
