@@ -199,6 +199,18 @@ def test_unlike_classes_get_no_fingerprint(spark):
     assert max(got) < 2000 and len(got) > 30
 
 
+def test_small_groups_are_listed_by_aggregates(spark):
+    """Least, greatest and xor of its parts give every class of a group whose parts have three at most, and of no other."""
+    rng = random.Random(3)
+    groups = {k: [rng.randrange(-(1 << 62), 1 << 62) for _ in range(k % 10 + 1)] for k in range(200)}
+    rows = spark.createDataFrame([(k, c) for k, g in groups.items() for c in g], "k bigint, c bigint")
+    parts = rows.groupBy("k").agg(*[F.sum(similar._part(i).cast("int")).alias(f"x{i}") for i in range(similar.PARTS)])
+    fit = {r.k for r in parts.filter(F.greatest(*[f"x{i}" for i in range(similar.PARTS)]) <= similar.FEW).collect()}
+    found = rows.groupBy("k").agg(*similar._members()).filter(F.greatest(*similar._COUNTS) <= similar.FEW)
+    got = {r.k: sorted(r.m) for r in found.select("k", similar._listed_members().alias("m")).collect()}
+    assert got == {k: sorted(groups[k]) for k in fit} and len(fit) > 60
+
+
 def test_near_copies_meet_by_simhash():
     """Fingerprints are the majorities of their sets' bits; segments and whole ones keep pairs at 0.8 and part unrelated texts."""
     rng = random.Random(8)
