@@ -12,14 +12,14 @@ than the least that lies between its source and the source of the entry before
 it, so common prefixes are carried along and never compared again, up to ``CAP``.
 
 Queues keep at most ``HELD`` bytes and write older blocks to a temporary file of
-the task, which ends with it. Blocks are worked on as arrays of bounded size.
+the task, which ends with it. Blocks are worked on as arrays of bounded size. A text
+of many symbols for its length, as that of names, is sorted by doubling instead.
 """
 
 from __future__ import annotations
 
 import heapq
 import tempfile
-from array import array
 from collections import deque
 from collections.abc import Iterator
 
@@ -172,18 +172,39 @@ def types(text: np.ndarray) -> np.ndarray:
     return step[far] > 0
 
 
-def common(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of each pair of suffixes, up to CAP."""
+def packed(text: np.ndarray) -> tuple[np.ndarray, int]:
+    """A word of the next symbols for each place, in their order, and how many it holds; nothing is smallest, after the end."""
+    bits = (int(text.max()) + 1).bit_length()
+    each = max(1, 62 // bits)
+    padded = np.zeros(len(text) + each, np.int64)
+    padded[: len(text)] = text
+    padded[: len(text)] += 1
+    words = np.zeros(len(text), np.int64)
+    for k in range(each):
+        words <<= bits
+        words |= padded[k : k + len(text)]
+    return words, each
+
+
+def common(text: np.ndarray, words: np.ndarray, each: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of each pair of suffixes, up to CAP; ``words`` and ``each`` are the packed text."""
     n, out = len(text), np.zeros(len(a), np.int16)
-    live = np.arange(len(a))
-    for k in range(CAP):
+    live, k = np.arange(len(a)), 0
+    while len(live) and k < CAP:
         i, j = a[live] + k, b[live] + k
         inside = (i < n) & (j < n)
         live, i, j = live[inside], i[inside], j[inside]
-        live = live[text[i] == text[j]]
-        if not len(live):
-            break
-        out[live] = k + 1
+        same = words[i] == words[j]
+        # the word that differs holds the end of the prefix
+        ended, i, j = live[~same], i[~same], j[~same]
+        for step in range(each):
+            inside = (i < n) & (j < n)
+            ended, i, j = ended[inside], i[inside], j[inside]
+            equal = text[i] == text[j]
+            ended, i, j = ended[equal], i[equal] + 1, j[equal] + 1
+            out[ended] = min(k + step + 1, CAP)
+        live, k = live[same], k + each
+        out[live] = min(k, CAP)
     return out
 
 
@@ -205,8 +226,9 @@ def induced(text: np.ndarray, small: np.ndarray, starred: np.ndarray, with_share
     n = len(text)
     starred, groups = _by_symbol(text, starred)
     star_shared = np.zeros(len(starred), np.int16)
+    words, each = packed(text) if with_shared else (None, 0)
     if with_shared and len(starred) > 1:
-        star_shared[1:] = common(text, starred[:-1], starred[1:])
+        star_shared[1:] = common(text, words, each, starred[:-1], starred[1:])
     up = Inducer(text, False, with_shared)
     if not small[n - 1]:
         up.since[int(text[n - 1])] = 1
@@ -234,7 +256,7 @@ def induced(text: np.ndarray, small: np.ndarray, starred: np.ndarray, with_share
             for k in range(b, e, BLOCK):
                 places, shared = starred[k : min(e, k + BLOCK)].astype(np.int32), star_shared[k : min(e, k + BLOCK)].copy()
                 if with_shared and k == b:
-                    shared[0] = common(text, np.array([last]), places[:1].astype(np.int64))[0] if last is not None else 0
+                    shared[0] = common(text, words, each, np.array([last]), places[:1].astype(np.int64))[0] if last is not None else 0
                 up.induce(places, shared, places > 0)
     down = Inducer(text, True, with_shared)
     while True:
@@ -260,7 +282,7 @@ def induced(text: np.ndarray, small: np.ndarray, starred: np.ndarray, with_share
             if after is not None:
                 turned[0] = after
             else:
-                turned[0] = common(text, np.array([last]), places[-1:].astype(np.int64))[0] if with_shared and last is not None else 0
+                turned[0] = common(text, words, each, np.array([last]), places[-1:].astype(np.int64))[0] if with_shared and last is not None else 0
             after = shared[0]
             places = places[::-1]
             yield places, turned
@@ -269,99 +291,46 @@ def induced(text: np.ndarray, small: np.ndarray, starred: np.ndarray, with_share
             down.induce(places, turned, ok & small[places - 1])
 
 
-class ListQueue:
-    """The queue for texts of many symbols: a list for each, older parts on disk."""
+def by_doubling(text: np.ndarray) -> np.ndarray:
+    """All suffixes of a text in order, for texts whose symbols are too many for blocks to pay.
 
-    def __init__(self, symbols: int):
-        self.lists: list[list[int]] = [[] for _ in range(symbols)]
-        self.stored: dict[int, list[tuple[int, int]]] = {}
-        self.file = None
-
-    def spill(self) -> None:
-        if self.file is None:
-            self.file = tempfile.TemporaryFile()
-        self.file.seek(0, 2)
-        for symbol, held in enumerate(self.lists):
-            if held:
-                self.stored.setdefault(symbol, []).append((self.file.tell(), len(held)))
-                self.file.write(np.array(held, np.int32).tobytes())
-                self.lists[symbol] = []
-
-    def open(self, symbol: int) -> list[int]:
-        """The entries of a symbol so far; entries put from now on follow in the same list."""
-        if symbol in self.stored:
-            parts = []
-            for at, n in self.stored.pop(symbol):
-                self.file.seek(at)
-                parts.extend(np.frombuffer(self.file.read(4 * n), np.int32).tolist())
-            self.lists[symbol] = parts + self.lists[symbol]
-        return self.lists[symbol]
-
-
-def induced_one_by_one(text: np.ndarray, small: np.ndarray, starred: np.ndarray) -> Iterator[np.ndarray]:
-    """As ``induced``, without prefixes, for texts whose symbols are too many for blocks to pay."""
-    n, symbols, most = len(text), int(text.max()) + 1, HELD // 8
-    letters, is_small = array("i", text.astype(np.int32).tobytes()), small.tobytes()
-    stars, groups = _by_symbol(text, starred)
-    up, larges, held = ListQueue(symbols), ListQueue(symbols), 1
-    if not is_small[n - 1]:
-        up.lists[letters[n - 1]].append(n - 1)
-    for symbol in range(symbols):
-        own, before = up.open(symbol), held
-        lists = up.lists
-        for p in own:
-            if p and not is_small[p - 1]:
-                c = letters[p - 1]
-                if c >= symbol:
-                    lists[c].append(p - 1)
-                    held += 1
-        larges.lists[symbol], lists[symbol] = own, []
-        b, e = groups.get(symbol, (0, 0))
-        for p in stars[b:e].tolist():
-            lists[letters[p - 1]].append(p - 1)
-        held += e - b
-        if held > most:
-            up.spill()
-            larges.spill()
-            held = 0
-    down, held = ListQueue(symbols), 0
-    for symbol in range(symbols - 1, -1, -1):
-        own, lists = down.open(symbol), down.lists
-        for p in own:
-            if p and is_small[p - 1]:
-                c = letters[p - 1]
-                if c <= symbol:
-                    lists[c].append(p - 1)
-                    held += 1
-        found = larges.open(symbol)[::-1]
-        for p in found:
-            if p and is_small[p - 1]:
-                c = letters[p - 1]
-                if c <= symbol:
-                    lists[c].append(p - 1)
-                    held += 1
-        lists[symbol], larges.lists[symbol] = [], []
-        if own or found:
-            yield np.array(own + found, np.int32)
-        if held > most:
-            down.spill()
-            held = 0
-
-
-def downward(text: np.ndarray, small: np.ndarray, starred: np.ndarray) -> Iterator[np.ndarray]:
-    """All suffixes from the largest down, in blocks or one by one."""
-    if len(text) < FEW_EACH * (int(text.max()) + 1):
-        yield from induced_one_by_one(text, small, starred)
-    else:
-        for places, _ in induced(text, small, starred, False):
-            yield places
+    Suffixes are ranked by one word each, then by the ranks of what follows, twice as far in each round; only those of
+    equal rank are sorted again.
+    """
+    n = len(text)
+    words, reach = packed(text)
+    found = np.argsort(words)
+    rank, slots, key = np.empty(n, np.int64), np.arange(n), words[found]
+    while True:
+        some = found[slots]
+        heads = np.concatenate(([True], key[1:] != key[:-1]))
+        rank[some] = slots[heads][np.cumsum(heads) - 1]
+        open_ = ~(heads & np.append(heads[1:], True))
+        slots, some = slots[open_], some[open_]
+        if not len(slots):
+            return found.astype(np.int32)
+        key = rank[some] * (n + 1)
+        after = some + reach
+        inside = after < n
+        key[inside] += rank[after[inside]] + 1
+        by_key = np.argsort(key)
+        found[slots], key = some[by_key], key[by_key]
+        reach *= 2
+
+
+def _many(text: np.ndarray) -> bool:
+    return len(text) < FEW_EACH * (int(text.max()) + 1)
 
 
 def order(text: np.ndarray) -> np.ndarray:
     """All suffixes of a text in order."""
+    if not len(text):
+        return np.empty(0, np.int32)
+    if _many(text):
+        return by_doubling(text)
     small = types(text)
-    parts = list(downward(text, small, sorted_stars(text, small)))
-    return np.concatenate(parts)[::-1] if parts else np.empty(0, np.int32)
+    parts = [places for places, _ in induced(text, small, sorted_stars(text, small), False)]
+    return np.concatenate(parts)[::-1]
 
 
 def sorted_stars(text: np.ndarray, small: np.ndarray) -> np.ndarray:
@@ -372,7 +341,10 @@ def sorted_stars(text: np.ndarray, small: np.ndarray) -> np.ndarray:
     stars = np.flatnonzero(is_star)
     if len(stars) < 2:
         return stars
-    found = [places[is_star[places]] for places in downward(text, small, stars)]
+    if _many(text):
+        every = by_doubling(text)
+        return every[is_star[every]].astype(np.int64)
+    found = [places[is_star[places]] for places, _ in induced(text, small, stars, False)]
     ranked = np.concatenate(found)[::-1].astype(np.int64)
     number = np.zeros(n, np.int32)
     number[stars] = np.arange(len(stars))

@@ -497,6 +497,36 @@ def test_suffix_dedup_brute(spark):
         assert bytes(rows[i].kept) == want and rows[i].kept_sha256 == hashlib.sha256(want).hexdigest()
 
 
+def test_suffix_dedup_shuffles_texts_once(spark):
+    """Null ids, null texts and equal rows; both joins of the texts read the same shuffle files, nothing is broadcast for its size."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choices("abcdé ", k=n))
+    shared = [text(n) for n in (199, 260, 500)]
+    rows = [(i % 4 or None, text(rng.randint(0, 200)) + rng.choice(shared) + text(rng.randint(0, 200))) for i in range(30)]
+    rows += [(None, None), (7, None), (7, ""), rows[0], rows[1], (8, text(900))]
+    out = suffix_dedup.remove_repeated(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    got = sorted((r.doc_id or 0, bytes(r.kept)) for r in out.collect())
+    want = _brute_repeats([(t or "").encode() for _, t in rows], 200)
+    assert got == sorted((i or 0, kept) for (i, _), kept in zip(rows, want))
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") == 2
+
+
+def test_equal_runs_go_to_their_anchor_once():
+    k = np.array([5, 5, 6, 5, 5, 6])
+    digests = [b"a" * 16, b"b" * 16, b"a" * 16, b"a" * 16, b"a" * 8 + b"b" * 8, b"a" * 16]
+    assert suffix_dedup._copies(k, digests).tolist() == [2, 1, 2, 0, 1, 0]
+    assert suffix_dedup._copies(k[:0], []).tolist() == []
+
+
+def test_sort_by_doubling():
+    rng = random.Random(9)
+    for trial in range(100):
+        t = [rng.randint(0, rng.choice([1, 9, 1 << 40])) for _ in range(rng.randint(1, 60))]
+        t = t[:5] * 9 if trial % 5 == 0 else t
+        assert induced_sort.by_doubling(np.array(t)).tolist() == sorted(range(len(t)), key=lambda i: t[i:])
+
+
 @pytest.mark.parametrize("held", [40, 1 << 26])
 def test_induced_sort(held, monkeypatch):
     monkeypatch.setattr(induced_sort, "HELD", held)
