@@ -414,6 +414,29 @@ def test_repair_leaves_no_pair_that_pays():
     assert long[4].max() > 10_000
 
 
+def test_words_are_learnt_without_their_signs():
+    """One stem for all signs after it, ids as the library gives them, and words in use outlive a full cache."""
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(WORD_BPE)
+    encoder = repair_store.WordEncoder(WORD_BPE)
+    encoder.encode_all([b"stem stem*** stem!! Stem,&&& \xc3\xa9t\xc3\xa9. \xc4\xb0."])
+    assert {b"stem", "été".encode(), "İ.".encode()} <= set(encoder.known)
+    assert not {b"stem***", b"stem!!", b"stem,&&&", "été.".encode()} & set(encoder.known)
+    rng = random.Random(12)
+    odd = "abZ éÉßİıſKñ01.,;!?'\"#*&-_()[]<|>=\t\n\u0301\u0338\u2028\xa0字²"
+    texts = ["".join(rng.choices(odd, k=rng.randint(0, 30))) for _ in range(3000)]
+    texts += ["a <|endoftext|>. b", "it's we'll. you'd!! 's. x's. ''s", "", " "]
+    for text, ids in zip(texts, encoder.encode_all([t.encode() for t in texts])):
+        assert np.frombuffer(ids, np.uint32).tolist() == whole.encode(text, add_special_tokens=False).ids
+    encoder.held = repair_store.CACHE_BYTES
+    encoder.encode_all([b"stem"])
+    assert set(encoder.known) == {b"stem"}
+    encoder.held = repair_store.CACHE_BYTES
+    encoder.encode_all([b"other"])
+    assert b"stem" in encoder.older and len(encoder.older) == 1
+
+
 def test_caches_are_bounded_by_bytes():
     vocabulary = pieces.load(MODEL)
     vocabulary.known.clear()
