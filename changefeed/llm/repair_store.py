@@ -182,9 +182,28 @@ def _apart(at: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 def _every_other(at: np.ndarray, same: np.ndarray) -> np.ndarray:
     """False for every second place in a run of neighbouring pairs of one symbol, which overlap."""
-    follows = np.concatenate(([False], (np.diff(at) == 1) & same[1:] & same[:-1]))
-    begins = np.maximum.accumulate(np.where(follows, 0, np.arange(len(at))))
-    return (np.arange(len(at)) - begins) % 2 == 0
+    out = np.ones(len(at), bool)
+    follows = np.flatnonzero((np.diff(at) == 1) & same[1:] & same[:-1]) + 1
+    if len(follows):
+        number = np.arange(len(follows))
+        begins = np.maximum.accumulate(np.where(np.diff(follows, prepend=-1) == 1, 0, number))
+        out[follows] = (number - begins) % 2 == 1
+    return out
+
+
+def _counted(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(values, inverse, counts) of numbers from 0 on; number and place are sorted as one if they fit."""
+    bits = len(code).bit_length()
+    if int(code.max(initial=0)).bit_length() + bits > 62:
+        values, pair, counts = np.unique(code, return_inverse=True, return_counts=True)
+        return values, pair, counts
+    both = np.sort(code << bits | np.arange(len(code)))
+    ordered = both >> bits
+    heads = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(code)])
+    counts = np.diff(np.append(heads, len(code)))
+    pair = np.empty(len(code), np.int64)
+    pair[both & ((1 << bits) - 1)] = np.repeat(np.arange(len(heads)), counts)
+    return ordered[heads], pair, counts
 
 
 def compress(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, int, np.ndarray, np.ndarray]:
@@ -201,12 +220,12 @@ def compress(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
         code = symbols[at] * width + symbols[at + 1]
         # rare pairs share few bins: most of them go before anything is sorted
         bins = (code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(46)).astype(np.int64)
-        often = np.bincount(bins, minlength=_BINS)[bins] >= LEAST_COUNT
+        often = (np.bincount(bins, minlength=_BINS) >= LEAST_COUNT)[bins]
         at, code = at[often], code[often]
         again = at
         once = _every_other(at, symbols[at] == symbols[at + 1])
         at, code = at[once], code[once]
-        values, pair, counts = np.unique(code, return_inverse=True, return_counts=True)
+        values, pair, counts = _counted(code)
         good = counts[pair] >= LEAST_COUNT
         at, pair = at[good], pair[good]
         # each pair has a weight of its own, so the most frequent one is replaced wherever it stands

@@ -414,6 +414,15 @@ def test_repair_leaves_no_pair_that_pays():
     assert long[4].max() > 10_000
 
 
+def test_pairs_are_counted_as_unique_does():
+    rng = np.random.default_rng(3)
+    for most in (1, 2, 50, 1 << 40, 1 << 62):  # the last do not fit beside their places
+        for n in (0, 1, 300):
+            code = rng.integers(0, most, n)
+            want = np.unique(code, return_inverse=True, return_counts=True)
+            assert all((a == b).all() and len(a) == len(b) for a, b in zip(repair_store._counted(code), want))
+
+
 def test_words_are_learnt_without_their_signs():
     """One stem for all signs after it, ids as the library gives them, and words in use outlive a full cache."""
     from tokenizers import Tokenizer
