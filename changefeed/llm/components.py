@@ -53,7 +53,7 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node with an edge.
 
     ``edges`` has BIGINT columns u and v. First each task replaces its edges by a
-    forest over the same nodes. Each round links all larger neighbours
+    forest over the same nodes; fewer than ``EDGES_EACH`` are one task's, whose forest is the result. Each round links all larger neighbours
     of a node to its smallest neighbour, then all smaller ones, until every node
     hangs on its smallest directly. A round is grouping by minimum and joins on
     narrow rows: no neighbour list is ever gathered, however large a hub is.
@@ -84,8 +84,10 @@ def components(edges: DataFrame) -> DataFrame:
 
     # u is the larger end throughout
     current = settle(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
-    current = settle(gathered(current, current.count()).mapInArrow(_contracted, "u bigint, v bigint"))
-    seen = state(current)
+    number = current.count()
+    current = settle(gathered(current, number).mapInArrow(_contracted, "u bigint, v bigint"))
+    whole = number < EDGES_EACH <= _TOGETHER  # in one task, and there in one forest
+    seen = (0,) if whole else state(current)
     while seen[0]:
         current = settle(gathered(starred(starred(current, True), False), seen[0]))
         now = state(current)

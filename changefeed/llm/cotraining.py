@@ -28,6 +28,7 @@ label takes no part in the exchange; without unlabelled rows the views stay as f
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -46,7 +47,7 @@ FEATURES, LEAST_Z, STEPS = 512, 4.5, 8
 
 TOKEN = re.compile(r"[^\W\d_]+|[^\w\s]+")
 SIGN = re.compile(r"[^\w\s.,;:'\"!?-]")
-DENSE = 8
+DENSE, PART = 8, 512
 
 
 def content(text: str) -> set[int]:
@@ -74,20 +75,34 @@ class View:
     bias: float
 
     def logit(self, x: np.ndarray) -> np.ndarray:
-        return x @ self.weights + self.bias
+        return np.concatenate([part @ self.weights for part in _parts(x)]) + self.bias
+
+
+def _parts(x: np.ndarray):
+    """Few rows at a time as numbers: wide copies of all rows would fill the driver."""
+    for at in range(0, max(1, len(x)), PART):
+        yield x[at : at + PART].astype(np.float64)
+
+
+def _curved(x: np.ndarray, error: Callable[[np.ndarray, slice], tuple[np.ndarray, np.ndarray]], w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and curvature of rows ``x`` and a bias; ``error`` gives error and weight of some rows by their chance."""
+    gradient, curvature = np.zeros(len(w)), np.zeros((len(w), len(w)))
+    for at, part in zip(range(0, max(1, len(x)), PART), _parts(x)):
+        x1 = np.hstack([part, np.ones((len(part), 1))])
+        miss, weight = error(_chance(x1 @ w), slice(at, at + PART))
+        gradient += x1.T @ miss
+        curvature += (x1 * weight[:, None]).T @ x1
+    return gradient, curvature
 
 
 def fit(x: np.ndarray, y: np.ndarray, decay: float = 1.0, steps: int = 12) -> View:
     """Newton steps on the penalised likelihood; the bias is not penalised."""
-    x1 = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
-    w = np.zeros(x1.shape[1])
+    w = np.zeros(x.shape[1] + 1)
     penalty = np.full(len(w), decay)
     penalty[-1] = 1e-6
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
-        gradient = x1.T @ (p - y) + penalty * w
-        curvature = (x1 * (p * (1 - p) + 1e-6)[:, None]).T @ x1 + np.diag(penalty)
-        move = np.linalg.solve(curvature, gradient)
+        gradient, curvature = _curved(x, lambda p, rows: (p - y[rows], p * (1 - p) + 1e-6), w)
+        move = np.linalg.solve(curvature + np.diag(penalty), gradient + penalty * w)
         w -= move
         if np.abs(move).max() < 1e-6:
             break
@@ -96,12 +111,14 @@ def fit(x: np.ndarray, y: np.ndarray, decay: float = 1.0, steps: int = 12) -> Vi
 
 def telling(rows: list[np.ndarray], y: np.ndarray) -> list[int]:
     """The features whose presence differs most surely between the classes."""
-    flat = np.concatenate(rows) if rows else np.empty(0, np.uint32)
-    names, at = np.unique(flat, return_inverse=True)
-    owner = np.repeat(y, [len(r) for r in rows])
+    names = np.unique(np.concatenate(rows).astype(np.uint32)) if rows else np.empty(0, np.uint32)
     n, n_good = len(y), y.sum()
-    good = np.bincount(at, weights=owner, minlength=len(names))
-    found = np.bincount(at, minlength=len(names))
+    good, found = np.zeros(len(names)), np.zeros(len(names), np.int64)
+    for at in range(0, len(rows), PART):
+        part = rows[at : at + PART]
+        place = np.searchsorted(names, np.concatenate(part).astype(np.uint32))
+        good += np.bincount(place, weights=np.repeat(y[at : at + PART], [len(r) for r in part]), minlength=len(names))
+        found += np.bincount(place, minlength=len(names))
     # root of the likelihood ratio of the four counts against independence
     total = np.zeros(len(names))
     for seen, row, column in (
@@ -165,26 +182,29 @@ class _Start:
         train = ~self.aside
         self.chosen = {name: j for j, name in enumerate(telling([r for r, t in zip(rows, train) if t], y[train]))}
         self.cuts = [np.unique(np.quantile(dense[train, j], np.linspace(0, 1, STEPS + 1)[1:-1])) for j in range(DENSE)]
-        self.x = [present(rows, self.chosen), stepped(dense, self.cuts)]
+        # 0/1 columns are held in a byte each
+        self.x = [
+            np.concatenate([columns(at).astype(np.uint8) for at in range(0, len(y), PART)]) for columns in (
+                lambda at: present(rows[at : at + PART], self.chosen), lambda at: stepped(dense[at : at + PART], self.cuts),
+            )
+        ]
         self.views = [fit(x[train], y[train]) for x in self.x]
 
     def step(self, k: int, view: View, pseudo: np.ndarray, counts: np.ndarray, decay: float = 1.0) -> View:
         """One Newton step of view k; ``pseudo`` has the summed gradient of its pseudo-labelled rows for each class."""
         train = ~self.aside
-        x, y = np.hstack([self.x[k][train], np.ones((train.sum(), 1))]).astype(np.float64), self.y[train]
+        x, y = self.x[k][train], self.y[train]
         w = np.append(view.weights, view.bias)
         penalty = np.full(len(w), decay)
         penalty[-1] = 1e-6
-        p = _chance(x @ w)
-        gradient = x.T @ (p - y) + penalty * w
-        weight = np.ones(len(y))
+        weight, more = np.ones(len(y)), penalty * w
         for c in (0, 1):
             if counts[c]:
                 n = (y == c).sum()
-                gradient += pseudo[c] * (n / counts[c])
+                more += pseudo[c] * (n / counts[c])
                 weight[y == c] += 1
-        curvature = (x * (weight * (p * (1 - p) + 1e-6))[:, None]).T @ x + np.diag(penalty)
-        move = np.linalg.solve(curvature, gradient)
+        gradient, curvature = _curved(x, lambda p, rows: (p - y[rows], weight[rows] * (p * (1 - p) + 1e-6)), w)
+        move = np.linalg.solve(curvature + np.diag(penalty), gradient + more)
         w = w - move / max(1.0, np.abs(move).max() / 4)  # far steps are cut: the curvature is that of labelled rows
         return View(w[:-1], float(w[-1]))
 
@@ -285,7 +305,7 @@ def co_train(free: DataFrame, start: _Start) -> Model:
 
 
 def _features(docs: DataFrame) -> DataFrame:
-    """(label, content, dense) of rows (text, lang, source, label)."""
+    """(label, content, dense, packed) of rows (text, lang, source, label); packed: content in 4 bytes each, big-endian."""
 
     def run(batches):
         for batch in _slices(batches):
@@ -295,11 +315,14 @@ def _features(docs: DataFrame) -> DataFrame:
                 content_rows.append(sorted(content(text)))
                 dense.append(layout(text, lang.as_py(), source.as_py()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(3), pa.array(content_rows, pa.list_(pa.int64())), pa.array(dense, pa.list_(pa.float64()))],
-                names=["label", "content", "dense"],
+                [
+                    batch.column(3), pa.array(content_rows, pa.list_(pa.int64())), pa.array(dense, pa.list_(pa.float64())),
+                    pa.array([np.array(r, ">u4").tobytes() for r in content_rows], pa.binary()),
+                ],
+                names=["label", "content", "dense", "packed"],
             )
 
-    return docs.mapInArrow(run, "label double, content array<bigint>, dense array<double>")
+    return docs.mapInArrow(run, "label double, content array<bigint>, dense array<double>, packed binary")
 
 
 def _column(df: DataFrame, name: str) -> Column:
@@ -323,12 +346,13 @@ def _start(docs: DataFrame, marks: DataFrame, key: str, text: str) -> _Start | N
     sample = marks.orderBy(F.xxhash64(F.col("key").cast("string")), "key", "label").limit(LABELLED)
     # a repeated id does not make the sample larger than its bound
     labelled = _rows(docs, key, text).join(F.broadcast(sample), "key").select("text", "lang", "source", "label")
-    found = _features(labelled).orderBy(F.xxhash64("content", "dense"), "label").limit(LABELLED).toArrow()
+    chosen = _features(labelled).orderBy(F.xxhash64("content", "dense"), "label").limit(LABELLED)
+    found = chosen.select("label", F.col("packed").alias("content"), "dense").toArrow()
     y = found.column("label").to_numpy()
-    lists = [v.values.to_numpy() for chunk in found.column("content").chunks for v in chunk]
-    dense = np.array(found.column("dense").to_pylist(), np.float64).reshape(-1, DENSE + 2)
-    # task order varies, so rows are put in an order of their own
-    place = sorted(range(len(y)), key=lambda i: (dense[i].tolist(), lists[i].tolist(), y[i]))
+    lists = [np.frombuffer(v.as_buffer() or b"", ">u4") for chunk in found.column("content").chunks for v in chunk]
+    dense = np.concatenate([c.flatten().to_numpy() for c in found.column("dense").chunks] or [np.empty(0)]).reshape(-1, DENSE + 2)
+    # task order varies, so rows are put in an order of their own; bytes of ascending numbers stand in the order of these
+    place = sorted(range(len(y)), key=lambda i: (dense[i].tolist(), lists[i].tobytes(), y[i]))
     # Copies would pass for evidence: of rows with the same lowest hashes one is enough.
     first: dict[tuple, int] = {}
     for i in place:

@@ -112,6 +112,22 @@ def test_components(spark):
     assert got == want
 
 
+def test_components_of_few_edges_take_no_rounds(spark, monkeypatch):
+    """The forest of a single task is the result; edges of several tasks still take rounds."""
+    from changefeed.llm import components as module
+
+    rng = random.Random(13)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)]
+    want = _classes(edges, {n for e in edges if e[0] != e[1] for n in e})
+    frame, settled, settle = spark.createDataFrame(edges, "u bigint, v bigint").repartition(6), [], module.settle
+    monkeypatch.setattr(module, "settle", lambda df: settled.append(df) or settle(df))
+    assert {r.node: r.component for r in module.components(frame).collect()} == want
+    assert len(settled) == 2
+    monkeypatch.setattr(module, "EDGES_EACH", 40)
+    assert {r.node: r.component for r in module.components(frame).collect()} == want
+    assert len(settled) > 5
+
+
 @pytest.mark.parametrize("members", [128, 1])
 def test_simhash_links(spark, members, monkeypatch):
     monkeypatch.setattr(simhash, "PLAIN_MEMBERS", members)
@@ -500,6 +516,31 @@ def test_cotraining_exchange_brute(spark, docs):
     assert kept == {i for i, p in scored.items() if p >= 0.5}
 
 
+def test_cotraining_fits_few_rows_at_a_time():
+    """Fits of the driver copy no whole columns, and take the same steps as over all rows at once."""
+    import tracemalloc
+
+    rng = np.random.default_rng(7)
+    y = (rng.random(4000) < 0.7).astype(float)
+    rows = [np.unique(rng.integers(0, 600, 200) + 300 * int(good)) for good in y]
+    dense = np.hstack([rng.random((4000, cotraining.DENSE)), rng.integers(0, 30, (4000, 2)).astype(float)])
+    tracemalloc.start()
+    start = cotraining._Start(rows, dense, y)
+    view = start.step(0, start.views[0], np.ones((2, start.x[0].shape[1] + 1)), np.array([5.0, 0.0]))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 30e6  # 17 MB; 46 MB when all rows were widened at once
+    train = ~start.aside
+    x, good = np.hstack([start.x[0][train], np.ones((train.sum(), 1))]).astype(float), y[train]
+    w, penalty = np.append(start.views[0].weights, start.views[0].bias), np.ones(x.shape[1])
+    penalty[-1] = 1e-6
+    p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+    weight = np.where(good == 0, 2, 1)
+    gradient = x.T @ (p - good) + penalty * w + (good == 0).sum() / 5
+    move = np.linalg.solve((x * (weight * (p * (1 - p) + 1e-6))[:, None]).T @ x + np.diag(penalty), gradient)
+    assert np.append(view.weights, view.bias) == pytest.approx(w - move / max(1.0, np.abs(move).max() / 4), abs=1e-6)
+
+
 def test_cotraining_odd_rows(spark, odd):
     scored = cotraining.score_documents(odd, cotraining.train(odd, table(spark, SF, "labels")))
     assert scored.count() == len(ODD)
