@@ -439,6 +439,30 @@ def test_pairs_are_counted_as_unique_does():
             assert all((a == b).all() and len(a) == len(b) for a, b in zip(repair_store._counted(code), want))
 
 
+def test_rare_pairs_are_left_aside_while_counting():
+    rng = np.random.default_rng(4)
+    for most in (9, 60, 1 << 62):
+        code = np.concatenate([rng.integers(0, most, 300), np.full(5, most // 2)])
+        values, each = np.unique(code, return_counts=True)
+        got, pair, counts = repair_store._counted(code, 4)
+        assert got.tolist() == values[each >= 4].tolist() and counts.tolist() == each[each >= 4].tolist()
+        number = {v: i for i, v in enumerate(got.tolist())}
+        assert pair.tolist() == [number.get(c, -1) for c in code.tolist()]
+
+
+def test_words_of_letters_pass_as_bytes():
+    """The bytes of words of letters become the vocabulary's letters here, not in the tokenizer, with the ids of the library."""
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(WORD_BPE)
+    encoder = repair_store.WordEncoder(WORD_BPE)
+    assert "ByteLevel" not in str(encoder.bare.pre_tokenizer)
+    letters = [chr(c) for c in range(0x180) if chr(c).isalpha()]
+    words = [f"a{c}{d}z" for c in letters for d in random.Random(ord(c)).sample(letters, 4)]
+    for word, ids in zip(words, encoder.encode_all([w.encode() for w in words])):
+        assert np.frombuffer(ids, np.uint32).tolist() == whole.encode(word, add_special_tokens=False).ids
+
+
 def test_words_are_learnt_without_their_signs():
     """One stem for all signs after it, ids as the library gives them, and words in use outlive a full cache."""
     from tokenizers import Tokenizer
